@@ -22,9 +22,9 @@ def logs(seed, keys, **kwargs):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [5_000_000, 3, 1])
-def test_matches_walk(spark, hot_rows):
-    rows = logs(1, 400)
+@pytest.mark.parametrize("hot_rows,keys", [(5_000_000, 400), (6, 120), (3, 40), (1, 12)])
+def test_matches_walk(spark, hot_rows, keys):
+    rows = logs(keys, keys)
     spec = ScdSpec(arrival=PLAIN.arrival, hot_rows=hot_rows)
     got = rows_of(build_type2(spark.createDataFrame(rows, SCHEMA).repartition(5), spec))
     assert got == expected(rows)
@@ -59,19 +59,23 @@ def test_copies_of_one_event_never_pile_up(spark):
     assert rows_of(build_type2(spark.createDataFrame(rows, SCHEMA), spec)) == expected(rows)
 
 
-@pytest.mark.parametrize("seed,in_order,hot_rows", [(11, True, 10**6), (12, False, 10**6), (13, True, 4)])
+@pytest.mark.parametrize("seed,in_order,hot_rows", [(11, True, 10**6), (12, False, 10**6), (13, True, 20)])
 def test_buffers_one_by_one_equal_one_batch(spark, seed, in_order, hot_rows):
     spec = ScdSpec(arrival=PLAIN.arrival, hot_rows=hot_rows)
-    rows = logs(seed, 120, conflicts=False)
+    rows = logs(seed, 80, conflicts=False)
+    if hot_rows < 100:
+        for key, lsn, *_ in ((r[0], r[4]) for r in list(rows) if r[0] == 5):
+            rows += [(key, f"m{lsn}{i}", DAY0 + timedelta(hours=i // 3), "u", lsn * 100 + i, 0, f"b{i % 6}", f"k{i}")
+                     for i in range(9)]
     rng = random.Random(seed)
     if in_order:
         rows.sort(key=lambda r: r[4])
-        bounds = [0, len(rows) // 4, len(rows) // 2, 3 * len(rows) // 4, len(rows)]
+        bounds = [0, len(rows) // 3, 2 * len(rows) // 3, len(rows)]
         buffers = [rows[a:b] for a, b in zip(bounds, bounds[1:])]
     else:
-        buffers = [[], [], [], []]
+        buffers = [[], [], []]
         for row in rows:
-            buffers[rng.randrange(4)].append(row)
+            buffers[rng.randrange(3)].append(row)
     silver, seen = None, []
     for buffer in [*buffers, buffers[1]]:
         seen += buffer

@@ -23,6 +23,8 @@ CHUNK = "_chunk"
 SKETCH_ITEMS = 20_000
 SKETCH_TOP = 5_000
 SKETCH_FAN = 512
+# Below this estimated size per row of the hot threshold, input is too small to hold a hot key.
+BYTES_PER_ROW = 8
 
 
 def key_hash(keys) -> Column:
@@ -57,6 +59,8 @@ def find_hot_keys(df: DataFrame, keys, spec: ScdSpec) -> HotKeys | None:
     Reads only the key columns and shuffles only sketches of fixed size. Hash collisions merely make a
     further key count as hot, which changes where its rows are processed but not what comes out.
     """
+    if _surely_small(df, spec):
+        return None
     partial = (
         df.select(key_hash(keys).alias("_hash"), (F.spark_partition_id() % SKETCH_FAN).alias("_fan"))
         .groupBy("_fan")
@@ -84,6 +88,12 @@ def find_hot_keys(df: DataFrame, keys, spec: ScdSpec) -> HotKeys | None:
     return HotKeys(tuple(item for item, _ in hot), max(2, chunks))
 
 
+def _surely_small(df: DataFrame, spec: ScdSpec) -> bool:
+    """Whether the planner's size estimate alone rules out a key worth splitting; saves the sketch pass."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) < spec.hot_rows * BYTES_PER_ROW
+
+
 def null_safe(left: DataFrame, right: DataFrame, names) -> Column:
     return reduce(and_, (left[n].eqNullSafe(right[n]) for n in names))
 

@@ -67,22 +67,27 @@ def latest_deletes(deletes: DataFrame, spec: ScdSpec) -> DataFrame:
     return deletes.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
+def tips(silver: DataFrame, spec: ScdSpec) -> DataFrame:
+    """Most recent row of each key: its last record, or, in tables without record numbers, the current one."""
+    if RECORD_NUMBER in silver.columns and RECORD_COUNT in silver.columns:
+        return silver.where(F.col(RECORD_NUMBER) == F.col(RECORD_COUNT))
+    recency = Window.partitionBy(*spec.keys).orderBy(F.col(IS_CURRENT).desc(), F.col(spec.order_col).desc())
+    return silver.withColumn("_rn", F.row_number().over(recency)).where("_rn = 1").drop("_rn")
+
+
 def close_deleted(deletes: DataFrame, silver: DataFrame, spec: ScdSpec) -> DataFrame:
     """The most recent silver row of each deleted key, ended at the deletion time.
 
-    It keeps its own image, lineage, sequence number and record numbers.
+    It keeps its own image, lineage, sequence number and record numbers. A delete older than the row leaves
+    it alone.
     """
     keys = list(spec.keys)
     stamp_type = silver.schema[VALID_TO].dataType
     times = latest_deletes(deletes, spec).select(
         *keys, deletion_time(spec, stamp_type).alias("_ended"), F.col(spec.order_col).alias("_delete_order")
     )
-    recency = Window.partitionBy(*keys).orderBy(F.col(IS_CURRENT).desc(), F.col(spec.order_col).desc())
-    recent = (
-        silver.join(times, keys, "inner")
-        .where(F.col(spec.order_col) <= F.col("_delete_order"))
-        .withColumn("_rn", F.row_number().over(recency))
-        .where("_rn = 1")
+    recent = tips(silver, spec).join(times, keys, "inner").where(
+        F.col(spec.order_col) <= F.col("_delete_order")
     )
     replaced = {
         VALID_TO: F.col("_ended"),
@@ -99,7 +104,7 @@ def tombstones(deletes: DataFrame, silver: DataFrame | None, spec: ScdSpec) -> D
     """Deletes of keys silver does not know, as rows that are current and deleted since the begin of time."""
     unknown = latest_deletes(deletes, spec)
     if silver is not None:
-        unknown = unknown.join(silver.select(*spec.keys), list(spec.keys), "left_anti")
+        unknown = unknown.join(tips(silver, spec).select(*spec.keys), list(spec.keys), "left_anti")
     stamp_type = deletes.schema[spec.change_col].dataType
     natural = F.col(spec.keys[0]) if len(spec.keys) == 1 else F.concat_ws("-", *spec.keys)
     return unknown.select(

@@ -6,10 +6,7 @@ whole rule, for any batch, is ``versions.build_type2`` and ``incremental.extend_
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.keys import deletion_time, primary_key, sentinel, version_key
 from tidemark.spec import (
@@ -26,10 +23,6 @@ from tidemark.spec import (
 )
 
 
-def _equal(left: DataFrame, right: DataFrame, names) -> Column:
-    return reduce(and_, (left[n] == right[n] for n in names))
-
-
 def current(silver: DataFrame) -> DataFrame:
     return silver.where(F.col(IS_CURRENT))
 
@@ -42,7 +35,7 @@ def changed_upserts(upserts: DataFrame, silver: DataFrame, spec: ScdSpec) -> Dat
     """Upserts whose stamp differs from the current row's. A missing stamp equals nothing, so it is a change."""
     names = [*spec.keys, spec.change_col]
     known = current(silver).select(*names)
-    return upserts.join(known, _equal(upserts, known, names), "left_anti")
+    return upserts.join(known, names, "left_anti")
 
 
 def lineage_refresh(upserts: DataFrame, silver: DataFrame, spec: ScdSpec) -> DataFrame:

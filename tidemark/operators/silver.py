@@ -58,20 +58,19 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     if not kept_columns:
         untouched = target.join(source.select(*keys), keys, "left_anti")
         return untouched.unionByName(source, allowMissingColumns=True)
-    marked = source.withColumn("_incoming", F.lit(True))
-    condition = reduce(and_, (target[k] == marked[k] for k in keys))
-    joined = target.join(marked, condition, "full_outer")
-    incoming = marked["_incoming"].isNotNull()
+    old, new = target.alias("old"), source.withColumn("_incoming", F.lit(True)).alias("new")
+    condition = reduce(and_, (F.col(f"old.`{k}`") == F.col(f"new.`{k}`") for k in keys))
+    incoming = F.col("new._incoming").isNotNull()
 
     def value(name: str) -> Column:
         if name not in target.columns:
-            return marked[name]
+            return F.col(f"new.`{name}`")
         if name not in source.columns:
-            return target[name]
-        return F.when(incoming, marked[name]).otherwise(target[name])
+            return F.col(f"old.`{name}`")
+        return F.when(incoming, F.col(f"new.`{name}`")).otherwise(F.col(f"old.`{name}`"))
 
     names = [*target.columns, *(c for c in source.columns if c not in target.columns)]
-    return joined.select(*(value(n).alias(n) for n in names))
+    return old.join(new, condition, "full_outer").select(*(value(n).alias(n) for n in names))
 
 
 def ensure_is_deleted(silver: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tidemark.functions.timestamps import convert_timestamps, with_load_date, wi
 from tidemark.operators.evolve import BRONZE, align, desired_columns, lossy, plan_evolution
 from tidemark.operators.flatten import flatten_envelope
 from tidemark.plans.ledger import Ledger, schema_text
-from tidemark.sources.messages import BRONZE_WRITE, FLUSH_TOPIC
+from tidemark.sources.messages import BRONZE_WRITE, FLUSH_TOPIC, json_text
 from tidemark.sources.raw import CORRUPT, inferred_envelope, raw_format, read_raw
 
 log = logging.getLogger(__name__)
@@ -82,7 +82,7 @@ def ingest_bronze(
     if lost_rows:
         flat_again = with_transformed_at(with_load_date(convert_timestamps(flatten_envelope(raw.where(~damaged)))))
         unfit = flat_again.where(lossy(flat_again, desired, table_schema)).withColumn(
-            "_payload", F.to_json(F.struct("*"))
+            "_payload", json_text(F.struct("*"))
         )
         why = F.lit("a value does not fit its column")
         ledger.reject(unfit, "_payload", FLUSH_TOPIC, "ValueLost", why, source_fqn)

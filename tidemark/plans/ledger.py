@@ -8,7 +8,6 @@ import traceback
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -50,10 +49,11 @@ class Ledger:
         self.root = root.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        path = f"{self.root}/{name}"
+        location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not location.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(location):
             return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.read.schema(TABLES[name]).parquet(path)
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]

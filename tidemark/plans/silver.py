@@ -28,7 +28,7 @@ from tidemark.operators.scratch import written
 from tidemark.operators.silver import ensure_layout, type1_of_complete
 from tidemark.operators.versions import build_type2
 from tidemark.plans.ledger import Ledger, now, schema_text
-from tidemark.sources.messages import TYPE1_WRITE, TYPE2_WRITE, UPDATED_TOPIC
+from tidemark.sources.messages import TYPE1_WRITE, TYPE2_WRITE, UPDATED_TOPIC, json_text
 from tidemark.sources.tables import buffer_rows
 from tidemark.spec import RECORD_COUNT, RECORD_NUMBER, TYPE2_COLUMNS, VERSION_KEY, ScdSpec
 
@@ -80,7 +80,7 @@ def transform_buffers(
     else:
         raise ValueError(f"no bronze rows for buffers {buffers} in {bronze_table}")
     if counts["keyless"]:
-        lost = changes.where(~has_key(spec)).withColumn("_payload", F.to_json(F.struct("*")))
+        lost = changes.where(~has_key(spec)).withColumn("_payload", json_text(F.struct("*")))
         why = F.lit("change without key or sequence number")
         ledger.reject(lost, "_payload", UPDATED_TOPIC, "KeylessChange", why, bronze_table)
 

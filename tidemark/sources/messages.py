@@ -45,6 +45,8 @@ RUN_METRIC = record(
     "operation string, table_identity string, extract_buffer_id string, outcome string, rows bigint, "
     "started_at timestamp, ended_at timestamp"
 )
+JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+JSON_TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 BRONZE_WRITE = "bronze"
 TYPE1_WRITE = "silver_type_1"
 TYPE2_WRITE = "silver_type_2"
@@ -71,6 +73,8 @@ def parse_messages(values: DataFrame, schema: T.StructType, value: str = "value"
 
 def file_messages(spark: SparkSession, directory: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
     """Stream of notifications written as JSON lines into a directory; a few hundred bytes each."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(location)
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(directory)
@@ -98,6 +102,11 @@ def kafka_messages(
     return parse_messages(records, schema)
 
 
+def json_text(value: Column) -> Column:
+    """JSON with timestamps to the microsecond; by default only milliseconds would be written."""
+    return F.to_json(value, {"timestampFormat": JSON_TIMESTAMP, "timestampNTZFormat": JSON_TIMESTAMP_NTZ})
+
+
 def message_key(buffer_id: Column, table_fqn: Column) -> Column:
     """Key of a table-updated record: its buffer, else its table."""
     return F.when(present(buffer_id), buffer_id).otherwise(table_fqn)
@@ -107,7 +116,7 @@ def to_messages(records: DataFrame) -> DataFrame:
     """Records as key and JSON text, ready for a topic or a text file. Missing values are left out."""
     return records.select(
         message_key(F.col("extract_buffer_id"), F.col("table_fqn")).alias("key"),
-        F.to_json(F.struct("*")).alias("value"),
+        json_text(F.struct("*")).alias("value"),
     )
 
 

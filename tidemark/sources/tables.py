@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.spec import ScdSpec
+
 BUFFER = "_extract_buffer_id"
 
 
@@ -19,3 +21,12 @@ def buffer_rows(bronze: DataFrame, buffers: str | Iterable[str], load_dates: Ite
             wanted = wanted | ((F.col("_year") == year) & (F.col("_month") == month) & (F.col("_day") == day))
         rows = rows.where(wanted)
     return rows
+
+
+def buffer_summary(bronze: DataFrame, spec: ScdSpec) -> DataFrame:
+    """Row count and sequence range per extract buffer, as write registrations carry them."""
+    return bronze.groupBy(BUFFER).agg(
+        F.count(F.lit(1)).alias("write_row_count"),
+        F.min(spec.order_col).alias("source_min_lsn"),
+        F.max(spec.order_col).alias("source_max_lsn"),
+    )

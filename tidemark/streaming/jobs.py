@@ -15,7 +15,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.naming import table_fqn_from_file_name
+from tidemark.functions.naming import split_fqn, table_fqn_from_file_name
 from tidemark.plans.bronze import bronze_registration, ingest_bronze, table_updated
 from tidemark.plans.ledger import Ledger, schema_text
 from tidemark.plans.silver import transform_buffers
@@ -28,7 +28,7 @@ from tidemark.sources.messages import (
     file_messages,
     to_messages,
 )
-from tidemark.sources.tables import BUFFER, buffer_rows
+from tidemark.sources.tables import BUFFER, buffer_rows, buffer_summary
 from tidemark.spec import ScdSpec
 
 log = logging.getLogger(__name__)
@@ -105,7 +105,7 @@ def bronze_batch(
             log.info("%s is loaded already", flush["raw_file_path"])
             continue
         try:
-            source = table_fqn_from_file_name(flush["raw_file_path"].rsplit("/", 1)[-1])
+            source = _source_table(flush)
         except Exception as error:
             ledger.failed(error, FLUSH_TOPIC, flush, flush.get("table_name"))
             continue
@@ -117,6 +117,15 @@ def bronze_batch(
                 _load(spark, store, ledger, source, value_schema, [flush], outbox, spec, raise_errors=True)
 
 
+def _source_table(flush: dict) -> str:
+    """The table a raw file belongs to: from its name, else as the notification says."""
+    named = table_fqn_from_file_name(flush["raw_file_path"].rsplit("/", 1)[-1])
+    try:
+        return ".".join(split_fqn(named))
+    except ValueError:
+        return ".".join(split_fqn(flush["table_name"] or named))
+
+
 def _load(spark, store, ledger, source, value_schema, flushes, outbox, spec, raise_errors) -> bool:
     buffer = flushes[0]["extract_buffer_id"] if len(flushes) == 1 else None
     try:
@@ -137,8 +146,8 @@ def _load(spark, store, ledger, source, value_schema, flushes, outbox, spec, rai
         today = spark.range(1).select(
             *(f(F.lit(loaded_at)) for f in (F.year, F.month, F.dayofmonth))
         ).first()
-        per_buffer = buffer_rows(store.read(write.fqn), ids, [tuple(today)]).groupBy(BUFFER).count()
-        counts = {r[BUFFER]: r["count"] for r in per_buffer.collect()}
+        summary = buffer_summary(buffer_rows(store.read(write.fqn), ids, [tuple(today)]), spec)
+        counts = {r[BUFFER]: r["write_row_count"] for r in summary.collect()}
     table_schema = schema_text(store.schema(write.fqn))
     root = getattr(store, "root", None)
     ledger.register_writes(

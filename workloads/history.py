@@ -18,7 +18,7 @@ from tidemark.operators.skew import with_ordinals
 from tidemark.operators.versions import build_type2
 from tidemark.functions.keys import primary_key, version_key as version_key_expr
 from tidemark.spec import ScdSpec
-from workloads.registry import query, shown, table
+from workloads.registry import epoch_millis, query, shown, table
 
 SPEC = ScdSpec()
 CUT = "2024-01-15 00:00:00"
@@ -40,7 +40,7 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("updated_at"),
         F.when(kind == "error", "d").when(kind == "signup", "c").otherwise("u").alias("_op"),
         F.col("event_id").alias("_source_lsn"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("_ts_ms"),
+        epoch_millis(F.col("ts")).alias("_ts_ms"),
         F.lit("job-1").alias("_extract_job_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("_extract_buffer_id"),
         F.lit("stream").alias("_extract_type"),
@@ -74,7 +74,7 @@ def order_changes(spark: SparkSession, sf_dir: str, key: str, unit: str) -> Data
         F.date_trunc(unit, "o_orderdate").cast("timestamp_ntz").alias("updated_at"),
         F.when(F.col("o_orderstatus") == "P", "d").otherwise("u").alias("_op"),
         F.col("o_orderkey").alias("_source_lsn"),
-        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("_ts_ms"),
+        epoch_millis(F.col("o_orderdate")).alias("_ts_ms"),
         F.col("o_orderpriority").alias("_extract_buffer_id"),
     )
 

@@ -54,7 +54,8 @@ def extend_type2(
         extended = silver.join(state.where(~F.col(LATE)).select(*keys), keys, "left_semi")
         events.append(events_from_type2(extended, spec))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), events)
-    return versions_of(union, spec)
+    sources = [df for df in (changes, silver, bronze_changes) if df is not None]
+    return versions_of(union, spec, sources)
 
 
 def replace_keys(target: DataFrame, delta: DataFrame, touched: DataFrame, keys) -> DataFrame:

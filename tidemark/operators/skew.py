@@ -53,16 +53,18 @@ class HotKeys:
         return written(spread.withColumn(CHUNK, F.spark_partition_id()))
 
 
-def find_hot_keys(df: DataFrame, keys, spec: ScdSpec) -> HotKeys | None:
-    """Keys too large for one task, or None.
+def find_hot_keys(inputs: DataFrame | list[DataFrame], keys, spec: ScdSpec) -> HotKeys | None:
+    """Keys too large for one task in the union of the inputs, or None.
 
     Reads only the key columns and shuffles only sketches of fixed size. Hash collisions merely make a
     further key count as hot, which changes where its rows are processed but not what comes out.
     """
-    if _surely_small(df, spec):
+    inputs = [inputs] if isinstance(inputs, DataFrame) else inputs
+    if _surely_small(inputs, spec):
         return None
+    hashes = reduce(DataFrame.union, (df.select(key_hash(keys).alias("_hash")) for df in inputs))
     partial = (
-        df.select(key_hash(keys).alias("_hash"), (F.spark_partition_id() % SKETCH_FAN).alias("_fan"))
+        hashes.select("_hash", (F.spark_partition_id() % SKETCH_FAN).alias("_fan"))
         .groupBy("_fan")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -88,10 +90,10 @@ def find_hot_keys(df: DataFrame, keys, spec: ScdSpec) -> HotKeys | None:
     return HotKeys(tuple(item for item, _ in hot), max(2, chunks))
 
 
-def _surely_small(df: DataFrame, spec: ScdSpec) -> bool:
-    """Whether the planner's size estimate alone rules out a key worth splitting; saves the sketch pass."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) < spec.hot_rows * BYTES_PER_ROW
+def _surely_small(inputs: list[DataFrame], spec: ScdSpec) -> bool:
+    """Whether the planner's size estimates alone rule out a key worth splitting; saves the sketch pass."""
+    plans = (df._jdf.queryExecution().optimizedPlan() for df in inputs)
+    return sum(int(str(plan.stats().sizeInBytes())) for plan in plans) < spec.hot_rows * BYTES_PER_ROW
 
 
 def null_safe(left: DataFrame, right: DataFrame, names) -> Column:

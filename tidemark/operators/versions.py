@@ -37,13 +37,19 @@ from tidemark.spec import (
     ScdSpec,
 )
 
+# Event and run columns next to the row image. Neighbours' values are plain columns, not structs: that keeps
+# the windows, which are most of the work, on primitive values.
 DELETES = "_deletes"
 ENDS_AT = "_ends_at"
 SEEN = "_seen"
 TAIL = "_tail"
-NEXT = "_next"
 HAS_PREVIOUS = "_has_previous"
-INTERNAL = (DELETES, ENDS_AT, SEEN, TAIL, NEXT, HAS_PREVIOUS)
+HAS_NEXT = "_has_next"
+NEXT_DELETES = "_next_deletes"
+NEXT_STAMP = "_next_stamp"
+NEXT_ENDS_AT = "_next_ends_at"
+NEXT_SEEN = "_next_seen"
+NEXT = (HAS_NEXT, NEXT_DELETES, NEXT_STAMP, NEXT_ENDS_AT, NEXT_SEEN)
 
 
 def build_type2(changes: DataFrame, spec: ScdSpec) -> DataFrame:
@@ -90,9 +96,11 @@ def _is_tombstone(silver: DataFrame, spec: ScdSpec) -> Column:
     return F.col(VALID_FROM) == sentinel(spec.begin_of_time, silver.schema[VALID_FROM].dataType)
 
 
-def versions_of(events: DataFrame, spec: ScdSpec) -> DataFrame:
+def versions_of(events: DataFrame, spec: ScdSpec, sources: list[DataFrame] | None = None) -> DataFrame:
+    """Versions from events. ``sources`` are the relations the events come from: looking for hot keys there
+    spares running the joins between them and the events once more."""
     keys = list(spec.keys)
-    hot = find_hot_keys(events, keys, spec)
+    hot = find_hot_keys(sources or [events], keys, spec)
     if hot is None:
         return _cold_versions(events, keys, spec)
     cold = _cold_versions(hot.others(events, keys), keys, spec)
@@ -104,7 +112,12 @@ def _cold_versions(events: DataFrame, keys: list[str], spec: ScdSpec) -> DataFra
     return local_ordinals(rows, keys, [spec.order_col], RECORD_NUMBER, RECORD_COUNT)
 
 
-def _same_run(left: Column, right: Column, spec: ScdSpec) -> Column:
+def _shape(spec: ScdSpec, prefix: str = "") -> dict[str, Column]:
+    """What decides whether two neighbouring events belong to one run."""
+    return {name: F.col(prefix + name) for name in (DELETES, spec.change_col, spec.order_col)}
+
+
+def _same_run(left: dict[str, Column], right: dict[str, Column], spec: ScdSpec) -> Column:
     """Two deletes, two upserts with equal stamps (a missing stamp equals nothing), or copies of one event."""
     stamp = spec.change_col
     equal = left[DELETES] & right[DELETES]
@@ -112,14 +125,13 @@ def _same_run(left: Column, right: Column, spec: ScdSpec) -> Column:
     return F.coalesce(equal | (left[spec.order_col] == right[spec.order_col]), F.lit(False))
 
 
-def _shape(spec: ScdSpec) -> Column:
-    return F.struct(DELETES, spec.change_col, spec.order_col)
+def _tail_columns(columns, spec: ScdSpec) -> list[str]:
+    return [TAIL + name for name in (*spec.lineage_in(columns), ENDS_AT, SEEN)]
 
 
 def _runs(events: DataFrame, group: list[str], spec: ScdSpec) -> DataFrame:
     """One row per run: the first event's image, and what the last event adds (lineage, end, sequence)."""
     arrival = spec.arrival_in(events.columns)
-    lineage = spec.lineage_in(events.columns)
     ordered = Window.partitionBy(*group).orderBy(spec.order_col, *arrival)
     copies = Window.partitionBy(*group, spec.order_col).orderBy(*(arrival or [spec.order_col]))
     # Shuffled by the key up front; without this the copies window would add an exchange of its own.
@@ -127,74 +139,67 @@ def _runs(events: DataFrame, group: list[str], spec: ScdSpec) -> DataFrame:
         {name: F.first(name).over(copies) for name in (DELETES, spec.change_col, ENDS_AT)}
     )
     shape = _shape(spec)
-    marked = facts.withColumns(
-        {"_before": F.lag(shape).over(ordered), "_after": F.lead(shape).over(ordered)}
-    ).withColumns(
+    neighbours = {f"_before{name}": F.lag(column).over(ordered) for name, column in shape.items()}
+    neighbours |= {f"_after{name}": F.lead(column).over(ordered) for name, column in shape.items()}
+    marked = facts.withColumns(neighbours).withColumns(
         {
-            "_starts": ~_same_run(F.col("_before"), shape, spec),
-            "_stops": ~_same_run(shape, F.col("_after"), spec),
+            "_starts": ~_same_run(_shape(spec, "_before"), shape, spec),
+            "_stops": ~_same_run(shape, _shape(spec, "_after"), spec),
         }
     )
-    ends = marked.where(F.col("_starts") | F.col("_stops")).drop("_before", "_after")
-    tail = F.struct(*lineage, ENDS_AT, SEEN)
-    return (
-        ends.withColumn(TAIL, F.when(F.col("_stops"), tail).otherwise(F.lead(tail).over(ordered)))
-        .where(F.col("_starts"))
-        .drop("_starts", "_stops", ENDS_AT, SEEN)
-    )
+    ends = marked.where(F.col("_starts") | F.col("_stops")).drop(*neighbours)
+    tail = {
+        name: F.when(F.col("_stops"), F.col(name.removeprefix(TAIL))).otherwise(
+            F.lead(name.removeprefix(TAIL)).over(ordered)
+        )
+        for name in _tail_columns(events.columns, spec)
+    }
+    return ends.withColumns(tail).where(F.col("_starts")).drop("_starts", "_stops", ENDS_AT, SEEN)
 
 
-def _next_shape(spec: ScdSpec) -> Column:
-    return F.struct(
-        F.col(DELETES).alias(DELETES),
-        F.col(spec.change_col).alias("stamp"),
-        F.col(TAIL)[ENDS_AT].alias(ENDS_AT),
-        F.col(TAIL)[SEEN].alias(SEEN),
-    )
+def _as_next(spec: ScdSpec, tail: str = TAIL) -> dict[str, Column]:
+    """What a run tells the run before it."""
+    values = (F.lit(True), F.col(DELETES), F.col(spec.change_col), F.col(tail + ENDS_AT), F.col(tail + SEEN))
+    return dict(zip(NEXT, values))
 
 
 def _link(runs: DataFrame, group: list[str], spec: ScdSpec) -> DataFrame:
     ordered = Window.partitionBy(*group).orderBy(spec.order_col)
-    return runs.withColumns(
-        {
-            HAS_PREVIOUS: F.lag(F.lit(True), 1, False).over(ordered),
-            NEXT: F.lead(_next_shape(spec)).over(ordered),
-        }
-    )
+    following = {name: F.lead(value).over(ordered) for name, value in _as_next(spec).items()}
+    return runs.withColumns({HAS_PREVIOUS: F.lag(F.lit(True), 1, False).over(ordered), **following})
 
 
 def _finish(linked: DataFrame, spec: ScdSpec) -> DataFrame:
     """Runs that are versions, with keys, bounds and flags. No shuffle."""
     stamp_type = linked.schema[spec.change_col].dataType
     tombstone = F.col(DELETES)
-    following = F.col(NEXT)
-    last = following.isNull()
-    ended_by_delete = F.coalesce(following[DELETES], F.lit(False))
+    last = F.col(HAS_NEXT).isNull()
+    ended_by_delete = F.coalesce(F.col(NEXT_DELETES), F.lit(False))
     # With its successor's stamp missing, when a version ended is unknown.
     valid_to = (
-        F.when(tombstone, F.col(TAIL)[ENDS_AT])
+        F.when(tombstone, F.col(TAIL + ENDS_AT))
         .when(last, sentinel(spec.end_of_time, stamp_type))
-        .when(ended_by_delete, following[ENDS_AT])
-        .otherwise(just_before(following["stamp"]))
+        .when(ended_by_delete, F.col(NEXT_ENDS_AT))
+        .otherwise(just_before(F.col(NEXT_STAMP)))
     )
     valid_from = F.when(tombstone, sentinel(spec.begin_of_time, stamp_type)).otherwise(F.col(spec.change_col))
     lineage = spec.lineage_in(linked.columns)
-    base = [c for c in linked.columns if c not in INTERNAL and c != CHUNK]
+    internal = {DELETES, HAS_PREVIOUS, *NEXT, *_tail_columns(linked.columns, spec)}
+    base = [c for c in linked.columns if c not in internal]
     natural = F.col(spec.keys[0]) if len(spec.keys) == 1 else F.concat_ws("-", *spec.keys)
     kept = linked.where(~tombstone | ~F.col(HAS_PREVIOUS))
     bounded = kept.select(
         *(
-            F.when(tombstone, F.col(c)).otherwise(F.col(TAIL)[c]).alias(c) if c in lineage else F.col(c)
+            F.when(tombstone, F.col(c)).otherwise(F.col(TAIL + c)).alias(c) if c in lineage else F.col(c)
             for c in base
         ),
-        *([CHUNK] if CHUNK in linked.columns else []),
         valid_from.alias(VALID_FROM),
         valid_to.alias(VALID_TO),
         last.alias(IS_CURRENT),
         (tombstone | ended_by_delete).alias(IS_DELETED),
         primary_key(spec).alias(PRIMARY_KEY),
         natural.alias(NATURAL_KEY),
-        F.greatest(F.col(TAIL)[SEEN], F.when(ended_by_delete, following[SEEN])).alias(LAST_SEEN),
+        F.greatest(F.col(TAIL + SEEN), F.when(ended_by_delete, F.col(NEXT_SEEN))).alias(LAST_SEEN),
     )
     return bounded.withColumn(VERSION_KEY, version_key(stamp_type))
 
@@ -214,22 +219,26 @@ def _hot_versions(events: DataFrame, keys: list[str], hot: HotKeys, spec: ScdSpe
         }
     )
     edges = _edges(runs, keys, spec)
+    tail = _tail_columns(runs.columns, spec)
+    corrected = [*tail, *NEXT, HAS_PREVIOUS]
     fixes = edges.where("_starts").select(
-        *keys, order, F.col("_real_tail"), F.col("_real_next"), F.col("_real_previous")
+        *keys, order, F.lit(True).alias("_fixed"), *(f"_real{name}" for name in corrected)
     )
     small = F.broadcast(fixes)
+    # An edge without a correction continues a run of an earlier chunk.
     joined = runs.join(small, null_safe(runs, small, [*keys, order]), "left").where(
-        ~F.col("_edge") | F.col("_real_tail").isNotNull()
+        ~runs["_edge"] | small["_fixed"].isNotNull()
     )
-    base = [runs[c] for c in runs.columns if c not in (TAIL, NEXT, HAS_PREVIOUS, "_edge", "_gap", "_upserts")]
+    base = [runs[c] for c in runs.columns if c not in (*corrected, "_edge", "_gap", "_upserts")]
     linked = joined.select(
         *base,
-        F.coalesce(small["_real_tail"], runs[TAIL]).alias(TAIL),
-        F.when(runs["_edge"], small["_real_next"]).otherwise(runs[NEXT]).alias(NEXT),
-        F.coalesce(small["_real_previous"], runs[HAS_PREVIOUS]).alias(HAS_PREVIOUS),
+        *(
+            F.when(runs["_edge"], small[f"_real{name}"]).otherwise(runs[name]).alias(name)
+            for name in corrected
+        ),
     )
     merged_upsert = ~F.col("_starts") & ~F.col(DELETES)
-    tombstone = F.col("_starts") & F.col(DELETES) & ~F.col("_real_previous")
+    tombstone = F.col("_starts") & F.col(DELETES) & ~F.col(f"_real{HAS_PREVIOUS}")
     sizes = edges.groupBy(*group).agg(
         (
             F.max("_upserts")
@@ -271,33 +280,28 @@ def _edges(runs: DataFrame, keys: list[str], spec: ScdSpec) -> DataFrame:
     whose neighbours are already known inside the chunk.
     """
     order = spec.order_col
+    tail = _tail_columns(runs.columns, spec)
     edges = runs.where("_edge").select(
-        *keys, CHUNK, order, spec.change_col, DELETES, TAIL, NEXT, HAS_PREVIOUS, "_gap", "_upserts"
+        *keys, CHUNK, order, spec.change_col, DELETES, *tail, *NEXT, HAS_PREVIOUS, "_gap", "_upserts"
     )
     along = Window.partitionBy(*keys).orderBy(order)
     shape = _shape(spec)
-    numbered = edges.withColumn("_before", F.lag(shape).over(along)).withColumn(
-        "_starts", F.col(HAS_PREVIOUS) | ~_same_run(F.col("_before"), shape, spec)
+    before = {f"_before{name}": F.lag(column).over(along) for name, column in shape.items()}
+    numbered = edges.withColumns(before).withColumn(
+        "_starts", F.col(HAS_PREVIOUS) | ~_same_run(_shape(spec, "_before"), shape, spec)
     )
-    numbered = numbered.withColumn("_run", F.sum(F.col("_starts").cast("int")).over(along)).drop("_before")
-    piece = F.struct(TAIL, "_gap", NEXT)
+    numbered = numbered.withColumn("_run", F.sum(F.col("_starts").cast("int")).over(along)).drop(*before)
     in_run = Window.partitionBy(*keys, "_run").orderBy(order)
     to_end = in_run.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    joined_up = numbered.withColumn("_final", F.last(piece).over(to_end))
-    heads = joined_up.where("_starts").withColumn("_real_tail", F.col("_final")[TAIL])
-    following = F.struct(
-        F.col(DELETES).alias(DELETES),
-        F.col(spec.change_col).alias("stamp"),
-        F.col("_real_tail")[ENDS_AT].alias(ENDS_AT),
-        F.col("_real_tail")[SEEN].alias(SEEN),
-    )
+    joined_up = numbered.withColumn("_final", F.last(F.struct(*tail, "_gap", *NEXT)).over(to_end))
+    final = F.col("_final")
+    heads = joined_up.where("_starts").withColumns({f"_real{name}": final[name] for name in tail})
     linked = heads.withColumns(
         {
-            "_real_next": F.when(F.col("_final")["_gap"], F.col("_final")[NEXT]).otherwise(
-                F.lead(following).over(along)
-            ),
-            "_real_previous": F.col("_run") > 1,
+            f"_real{name}": F.when(final["_gap"], final[name]).otherwise(F.lead(value).over(along))
+            for name, value in _as_next(spec, f"_real{TAIL}").items()
         }
+        | {f"_real{HAS_PREVIOUS}": F.col("_run") > 1}
     )
     pieces = joined_up.where(~F.col("_starts"))
-    return written(linked.unionByName(pieces, allowMissingColumns=True).drop("_final", TAIL, NEXT))
+    return written(linked.unionByName(pieces, allowMissingColumns=True).drop("_final", *tail, *NEXT))

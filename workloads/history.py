@@ -13,6 +13,7 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.flatten import deletes, upserts
 from tidemark.operators.incremental import extend_type2, key_state, replace_keys
+from tidemark.operators.scratch import written
 from tidemark.operators.silver import as_of, derive_type1, ensure_layout, type1_of_complete
 from tidemark.operators.skew import with_ordinals
 from tidemark.operators.versions import build_type2
@@ -145,8 +146,9 @@ def scd2_with_deletes(spark, sf_dir):
 
 
 def _two_buffers(spark, sf_dir, first, second, bronze):
-    silver = build_type2(first, SPEC)
-    state = key_state(second, silver, SPEC)
+    # Stored, as in the job: the silver table, and the state of the touched keys.
+    silver = written(build_type2(first, SPEC))
+    state = written(key_state(second, silver, SPEC))
     delta = extend_type2(state, second, silver, bronze, SPEC)
     return shown(replace_keys(silver, delta, state, SPEC.keys), *HISTORY)
 
@@ -184,8 +186,8 @@ def scd2_repeated_stamps(spark, sf_dir):
 @query(f"WITH {ORDER_CHANGES.format(key='o_orderstatus', unit='month')}, {VERSIONS} {SHOW_HISTORY}")
 def scd2_hot_keys(spark, sf_dir):
     """Three keys with a third of all rows each, worked on in chunks."""
-    spec = ScdSpec(hot_rows=4_000)
-    return shown(build_type2(order_changes(spark, sf_dir, "o_orderstatus", "month"), spec), *HISTORY)
+    changes = order_changes(spark, sf_dir, "o_orderstatus", "month")
+    return shown(build_type2(changes, ScdSpec(hot_rows=max(1, changes.count() // 12))), *HISTORY)
 
 
 @query(f"WITH {EVENT_CHANGES}, {VERSIONS} {SHOW_HISTORY} WHERE _valid_from = '1970-01-01 00:00:00'")
@@ -356,7 +358,8 @@ def record_numbering(spark, sf_dir):
 @query(NUMBERED.format(key="l_returnflag"))
 def record_numbering_hot_keys(spark, sf_dir):
     """Three keys hold all rows: numbered by chunk, offsets carried over."""
-    return _numbered(spark, sf_dir, "l_returnflag", ScdSpec(hot_rows=15_000))
+    rows = table(spark, sf_dir, "lineitem").count()
+    return _numbered(spark, sf_dir, "l_returnflag", ScdSpec(hot_rows=max(1, rows // 12)))
 
 
 @query("""

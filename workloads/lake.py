@@ -69,9 +69,6 @@ def streamed_type1_table(spark, sf_dir):
         F.min("payload.source.lsn").alias("lo"), F.max("payload.source.lsn").alias("hi")
     )
     days.select(*(c.alias(n) for n, c in known.items())).coalesce(1).write.json(f"{root}/in")
-    for stream in (
-        start_bronze(spark, store, ledger, f"{root}/in", f"{root}/out", f"{root}/cp1", SPEC),
-        start_silver(spark, store, ledger, f"{root}/out", f"{root}/cp2", SPEC),
-    ):
-        stream.awaitTermination()
+    start_bronze(spark, store, ledger, f"{root}/in", f"{root}/out", f"{root}/cp1", SPEC).awaitTermination()
+    start_silver(spark, store, ledger, f"{root}/out", f"{root}/cp2", SPEC).awaitTermination()
     return store.read(TYPE1_TABLE).select(*TYPE1)

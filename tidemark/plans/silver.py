@@ -30,7 +30,7 @@ from tidemark.operators.versions import build_type2
 from tidemark.plans.ledger import Ledger, now, schema_text
 from tidemark.sources.messages import TYPE1_WRITE, TYPE2_WRITE, UPDATED_TOPIC, json_text
 from tidemark.sources.tables import buffer_rows
-from tidemark.spec import RECORD_COUNT, RECORD_NUMBER, TYPE2_COLUMNS, VERSION_KEY, ScdSpec
+from tidemark.spec import RECORD_COUNT, RECORD_NUMBER, TRANSFORMED_AT, TYPE2_COLUMNS, VERSION_KEY, ScdSpec
 
 log = logging.getLogger(__name__)
 
@@ -70,15 +70,20 @@ def transform_buffers(
     store.recover(type2)
     store.recover(type1)
     bronze = store.read(bronze_table)
+    bucket = store.bucket_of(type2, spec.keys)
     for dates in (load_dates, None) if load_dates else (None,):
         changes = change_image(buffer_rows(bronze, buffers, dates), spec)
+        # One narrow pass; the set holds at most one number per bucket of the table.
         counts = changes.agg(
-            F.count(F.lit(1)).alias("rows"), F.count(F.when(~has_key(spec), 1)).alias("keyless")
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(~has_key(spec), 1)).alias("keyless"),
+            F.collect_set(F.when(has_key(spec), F.lit(-1) if bucket is None else bucket)).alias("buckets"),
         ).first()
         if counts["rows"]:
             break
     else:
         raise ValueError(f"no bronze rows for buffers {buffers} in {bronze_table}")
+    concerned = None if bucket is None else counts["buckets"]
     if counts["keyless"]:
         lost = changes.where(~has_key(spec)).withColumn("_payload", json_text(F.struct("*")))
         why = F.lit("change without key or sequence number")
@@ -92,18 +97,18 @@ def transform_buffers(
         keyed = rows.where(has_key(spec))
         return align(keyed, desired_columns(keyed.schema, declared, SILVER), base_schema)
 
+    own = set(changes.columns)
     changes = prepared(changes)
-    silver = None
-    if known:
-        bucket = store.bucket_of(type2, spec.keys)
-        touched = None if bucket is None else [r[0] for r in changes.select(bucket).distinct().collect()]
-        silver = ensure_layout(store.read(type2, touched), spec)
+    silver = ensure_layout(store.read(type2, concerned), spec) if known else None
     state = key_state(changes, silver, spec).persist()
     try:
-        rebuilt = not state.where(LATE).isEmpty()
+        rebuilt = known and not state.where(LATE).isEmpty()
         everything = prepared(change_image(bronze, spec)) if rebuilt else None
+        delta = extend_type2(state, changes, silver, everything, spec)
+        if rebuilt:
+            delta = _with_silver_only(delta, silver, own)
         seen = Observation()
-        delta = with_transformed_at(extend_type2(state, changes, silver, everything, spec)).observe(
+        delta = with_transformed_at(delta).observe(
             seen,
             F.count(F.lit(1)).alias("type2"),
             F.count(F.when(F.col(RECORD_NUMBER) == F.col(RECORD_COUNT), 1)).alias("type1"),
@@ -111,7 +116,7 @@ def transform_buffers(
         # Stored once: it feeds both tables, and lost executors do not make it be computed again.
         delta = written(delta)
         started = now()
-        store.replace_keys(type2, delta, state, spec.keys, [VERSION_KEY])
+        store.replace_keys(type2, delta, state, spec.keys, [VERSION_KEY], concerned)
         finished = now()
         _register(store, ledger, message, type2, TYPE2_WRITE, seen.get["type2"], started, finished, buffers)
         latest = type1_of_complete(delta)
@@ -119,7 +124,8 @@ def transform_buffers(
             plan = plan_evolution(type1, store.schema(type1), desired_columns(latest.schema, {}, SILVER))
             store.evolve(type1, plan)
         started = now()
-        store.replace_keys(type1, latest, state, spec.keys)
+        reusable = concerned if store.same_buckets(type1, type2) else None
+        store.replace_keys(type1, latest, state, spec.keys, None, reusable)
         finished = now()
         _register(store, ledger, message, type1, TYPE1_WRITE, seen.get["type1"], started, finished, buffers)
     finally:
@@ -159,6 +165,16 @@ def _evolved(store, fqn: str, changes: DataFrame, declared: dict):
     return type(plan.schema)(fields)
 
 
+def _with_silver_only(delta: DataFrame, silver: DataFrame, own: set[str]) -> DataFrame:
+    """Rebuilt versions keep what silver alone holds: columns that no change brings."""
+    extra = [c for c in silver.columns if c not in own and c not in (*TYPE2_COLUMNS, TRANSFORMED_AT)]
+    if not extra:
+        return delta
+    kept = silver.select(VERSION_KEY, *(F.col(c).alias(f"_kept_{c}") for c in extra))
+    joined = delta.join(kept, VERSION_KEY, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_kept_{c}")) for c in extra}).select(*delta.columns)
+
+
 def _register(store, ledger, message, fqn, write_type, rows, started, finished, buffers) -> None:
     database, namespace, table = split_fqn(fqn)
     schema_json = schema_text(store.schema(fqn))

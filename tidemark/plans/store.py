@@ -112,18 +112,31 @@ class FolderStore:
             self._save_description(fqn, rows.schema, partitions, [])
         rows.write.mode("append").partitionBy(*partitions).parquet(self.path(fqn))
 
+    def bucket_count(self, fqn: str) -> int:
+        return (self.describe(fqn) or {}).get("buckets", self.buckets)
+
+    def same_buckets(self, one: str, other: str) -> bool:
+        return self.bucket_count(one) == self.bucket_count(other)
+
     def bucket_of(self, fqn: str, keys: Iterable[str]) -> Column:
-        buckets = (self.describe(fqn) or {}).get("buckets", self.buckets)
+        buckets = self.bucket_count(fqn)
         return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(buckets)).cast("int").alias(BUCKET)
 
     def replace_keys(
-        self, fqn: str, rows: DataFrame, touched: DataFrame, keys: Iterable[str], unique: Iterable[str] | None = None
+        self,
+        fqn: str,
+        rows: DataFrame,
+        touched: DataFrame,
+        keys: Iterable[str],
+        unique: Iterable[str] | None = None,
+        concerned: Iterable[int] | None = None,
     ) -> None:
         """Replace all rows of the touched keys by ``rows`` (which hold only such keys).
 
         The new content of the buckets concerned is written next to the table, then its folders take the
         place of the old ones. If that is interrupted, the next write finishes it from the written copy.
-        Rebalancing splits an oversized bucket over many files and merges small ones.
+        Rebalancing splits an oversized bucket over many files and merges small ones. ``concerned`` are the
+        touched keys' buckets, if the caller has them already.
         """
         keys = list(keys)
         self.recover(fqn)
@@ -134,8 +147,9 @@ class FolderStore:
             self._save_description(fqn, rows.schema, [BUCKET], keys)
         else:
             stored = self._read_stored(fqn)
-            # At most one value per bucket of the table comes back, whatever the number of keys.
-            concerned = [r[0] for r in touched.select(bucket).distinct().collect()]
+            if concerned is None:
+                # At most one value per bucket of the table comes back, whatever the number of keys.
+                concerned = [r[0] for r in touched.select(bucket).distinct().collect()]
             kept = stored.where(F.col(BUCKET).isin(*concerned)).join(
                 touched.select(*keys), keys, "left_anti"
             )
@@ -239,7 +253,13 @@ class CatalogStore:
         return F.expr(" AND ".join(f"{self.name(fqn)}.`{c}` = s.`{c}`" for c in columns))
 
     def replace_keys(
-        self, fqn: str, rows: DataFrame, touched: DataFrame, keys: Iterable[str], unique: Iterable[str] | None = None
+        self,
+        fqn: str,
+        rows: DataFrame,
+        touched: DataFrame,
+        keys: Iterable[str],
+        unique: Iterable[str] | None = None,
+        concerned: Iterable[int] | None = None,
     ) -> None:
         keys = list(keys)
         unique = list(unique or keys)
@@ -257,6 +277,9 @@ class CatalogStore:
         """No buckets: which files a key is in is the table format's business."""
         return None
 
+    def same_buckets(self, one: str, other: str) -> bool:
+        return True
+
     def recover(self, fqn: str) -> None:
         """Nothing to finish: the catalog's commits are atomic."""
 

@@ -197,7 +197,7 @@ def test_declared_types_and_parsed_timestamps(spark):
     assert lossy(rows, desired_columns(rows.schema, {}, BRONZE)) is None
     assert default_sql("it's", T.StringType()) == "'it\\'s'"
     assert default_sql(True, T.BooleanType()) == "true"
-    assert default_sql(7, T.IntegerType()) == "CAST(7 AS int)"
+    assert default_sql(7, T.IntegerType()) == "TRY_CAST(7 AS int)"
 
 
 def test_alignment_of_loosely_inferred_columns(spark):

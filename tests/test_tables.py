@@ -128,7 +128,7 @@ def test_declared_default_fills_older_rows(lake):
     document = (
         '{"type":"struct","fields":[{"field":"after","type":"struct","fields":['
         '{"field":"id","type":"int64"},{"field":"status","type":"string","default":"it\'s new"},'
-        '{"field":"level","type":"int32","default":7}]}]}'
+        '{"field":"level","type":"int32","default":7},{"field":"bad","type":"int32","default":"x"}]}]}'
     )
     lake.load(envelope("buf-2", "u", 1, V2[1], V2[0], status="old", level=1), value_schema=document)
     bronze = lake.store.read(BRONZE).orderBy("_source_lsn").select("after_status", "after_level").collect()
@@ -212,3 +212,31 @@ def test_audit_and_schema_versions(lake):
         "iceberg.geo.public_silver.scalars_type2-value": 2,
     }
     assert lake.ledger.read("table_writes").count() == 2
+
+
+def test_text_column_becomes_a_timestamp(lake):
+    lake.load(envelope("a", "c", 1, 1, V1[0], seen="2026-05-31T01:00:00.5Z"))
+    lake.load(envelope("b", "c", 2, 2, V1[0], seen="junk"))
+    document = '{"fields":[{"field":"seen","type":"string","name":"io.debezium.time.ZonedTimestamp"}]}'
+    write = lake.load(
+        envelope("c", "c", 3, 3, V1[0], seen="2026-05-31T02:00:00.250000Z"),
+        envelope("c", "c", 4, 4, V1[0], seen="later"),
+        value_schema=document,
+    )
+    rows = lake.store.read(BRONZE).orderBy("_source_lsn").select(F.col("after_seen").cast("string")).collect()
+    assert [r[0] for r in rows] == ["2026-05-31 01:00:00.5", None, "2026-05-31 02:00:00.25", None]
+    assert write.lossy == 1
+    letters = lake.ledger.read("dead_letters").where("exception_class = 'ValueLost'").collect()
+    assert len(letters) == 1 and '"after_seen":"later"' in letters[0]["original_payload"]
+
+
+def test_columns_only_silver_has_survive_a_rebuild(lake):
+    lake.run("buf-1", envelope("buf-1", "u", 1, V1[1], V1[0]), envelope("buf-1", "u", 2, V1[1], V1[0]))
+    silver = lake.store.read(TYPE2).withColumn("note", F.concat(F.lit("n"), F.col("id").cast("string")))
+    known = lake.store.describe(TYPE2)
+    lake.store._save_description(TYPE2, silver.schema, known["partitions"], known["keys"])
+    lake.store.replace_keys(TYPE2, silver, silver.select("id"), SPEC.keys)
+    lake.run("buf-2", envelope("buf-2", "u", 1, V2[1], V2[0]))
+    assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]
+    assert lake.apply("buf-1").rebuilt
+    assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]

@@ -133,7 +133,8 @@ def default_sql(value: object, data_type: T.DataType) -> str:
         literal = f"'{escaped}'"
     if isinstance(data_type, T.StringType) and isinstance(value, str):
         return literal
-    return f"CAST({literal} AS {data_type.simpleString()})"
+    # A default that does not fit its own column must not make the table unreadable.
+    return f"TRY_CAST({literal} AS {data_type.simpleString()})"
 
 
 def convert(column: Column, current: T.DataType, wanted: T.DataType, declared: ConnectField | None = None) -> Column:

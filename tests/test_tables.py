@@ -176,7 +176,7 @@ def test_rebuild_equals_increments(lake):
     lake.run("b2", *(envelope("b2", "u" if k % 3 else "d", k, 100 + k, V2[0]) for k in range(0, 20, 2)))
     shown = ("version_key", "_valid_to", "_is_current", "_is_deleted", "_record_number", "_record_count", "_last_lsn")
     before = (lake.rows(TYPE2, *shown), lake.rows(TYPE1, "id", "version_key", "_is_deleted"))
-    rebuild_silver(lake.spark, lake.store, BRONZE, SPEC, lake.ledger)
+    rebuild_silver(lake.spark, lake.store, BRONZE, SPEC)
     assert (lake.rows(TYPE2, *shown), lake.rows(TYPE1, "id", "version_key", "_is_deleted")) == before
 
 

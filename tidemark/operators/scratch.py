@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_scope: ContextVar[str | None] = ContextVar("tidemark_scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,7 +23,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    return f"{_scope.get() or shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables written inside are removed at the end: for jobs that return tables, not DataFrames."""
+    folder = f"{shared_folder(spark)}/tidemark-job-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from tidemark.functions.timestamps import with_transformed_at
 from tidemark.operators.evolve import SILVER, align, desired_columns, plan_evolution
 from tidemark.operators.flatten import change_image, has_key
 from tidemark.operators.incremental import LATE, extend_type2, key_state
-from tidemark.operators.scratch import written
+from tidemark.operators.scratch import scratch_scope, written
 from tidemark.operators.silver import ensure_layout, type1_of_complete
 from tidemark.operators.versions import build_type2
 from tidemark.plans.ledger import Ledger, now, schema_text
@@ -65,7 +65,11 @@ def transform_buffers(
     if not buffers:
         log.warning("%s: no extract buffer named; nothing to do", bronze_table)
         return None
-    message = message or {}
+    with scratch_scope(spark):
+        return _transform(store, bronze_table, buffers, spec, ledger, message or {}, load_dates)
+
+
+def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates) -> SilverWrite:
     type2, type1 = silver_fqn(bronze_table, TYPE2_SUFFIX), silver_fqn(bronze_table, TYPE1_SUFFIX)
     store.recover(type2)
     store.recover(type1)
@@ -134,11 +138,16 @@ def transform_buffers(
 
 
 def rebuild_silver(
-    spark: SparkSession, store, bronze_table: str, spec: ScdSpec, ledger: Ledger, message: dict | None = None
+    spark: SparkSession, store, bronze_table: str, spec: ScdSpec, message: dict | None = None
 ) -> SilverWrite:
     """Both silver tables anew from the whole change log: the definition of what they must hold."""
+    with scratch_scope(spark):
+        return _rebuild(store, bronze_table, spec, message or {})
+
+
+def _rebuild(store, bronze_table, spec, message) -> SilverWrite:
     type2, type1 = silver_fqn(bronze_table, TYPE2_SUFFIX), silver_fqn(bronze_table, TYPE1_SUFFIX)
-    declared = connect_fields((message or {}).get("value_schema"))
+    declared = connect_fields(message.get("value_schema"))
     changes = change_image(store.read(bronze_table), spec).where(has_key(spec))
     changes = align(changes, desired_columns(changes.schema, declared, SILVER))
     seen = Observation()

@@ -15,6 +15,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.connect import connect_fields, row_schema
 from tidemark.functions.naming import split_fqn, table_fqn_from_file_name
 from tidemark.plans.bronze import bronze_registration, ingest_bronze, table_updated
 from tidemark.plans.ledger import Ledger, schema_text
@@ -28,6 +29,7 @@ from tidemark.sources.messages import (
     file_messages,
     to_messages,
 )
+from tidemark.sources.raw import envelope_schema
 from tidemark.sources.tables import BUFFER, buffer_rows, buffer_summary
 from tidemark.spec import ScdSpec
 
@@ -44,12 +46,17 @@ def start_bronze(
     spec: ScdSpec = ScdSpec(),
     messages: DataFrame | None = None,
     once: bool = True,
+    declared_only: bool = False,
 ) -> StreamingQuery:
-    """Stream flush notifications into bronze tables; announces each buffer in ``outbox``."""
+    """Stream flush notifications into bronze tables; announces each buffer in ``outbox``.
+
+    ``declared_only``: read files by their notification's schema document alone. That spares the inference pass
+    over the raw files, and fields the document does not name are not loaded.
+    """
     messages = file_messages(spark, inbox, FILE_FLUSH) if messages is None else messages
 
     def process(batch: DataFrame, _: int) -> None:
-        bronze_batch(spark, store, ledger, batch, outbox, spec)
+        bronze_batch(spark, store, ledger, batch, outbox, spec, declared_only)
 
     return _start(messages, process, checkpoint, once)
 
@@ -89,7 +96,13 @@ def _records(batch: DataFrame, ledger: Ledger, topic: str) -> list[dict]:
 
 
 def bronze_batch(
-    spark: SparkSession, store, ledger: Ledger, batch: DataFrame, outbox: str, spec: ScdSpec = ScdSpec()
+    spark: SparkSession,
+    store,
+    ledger: Ledger,
+    batch: DataFrame,
+    outbox: str,
+    spec: ScdSpec = ScdSpec(),
+    declared_only: bool = False,
 ) -> None:
     flushes = _records(batch, ledger, FLUSH_TOPIC)
     if not flushes:
@@ -111,10 +124,19 @@ def bronze_batch(
             continue
         groups[(source, flush["value_schema"])].append(flush)
     for (source, value_schema), group in groups.items():
+        schema = None
+        if declared_only and connect_fields(value_schema):
+            schema = envelope_schema(row_schema(value_schema))
+
+        def load(flushes: list[dict], last_try: bool) -> bool:
+            return _load(
+                spark, store, ledger, source, value_schema, schema, flushes, outbox, spec, last_try
+            )
+
         # All files of a table in one pass; one by one only if that fails, to find the one at fault.
-        if not _load(spark, store, ledger, source, value_schema, group, outbox, spec, raise_errors=len(group) == 1):
+        if not load(group, len(group) == 1):
             for flush in group:
-                _load(spark, store, ledger, source, value_schema, [flush], outbox, spec, raise_errors=True)
+                load([flush], True)
 
 
 def _source_table(flush: dict) -> str:
@@ -126,20 +148,21 @@ def _source_table(flush: dict) -> str:
         return ".".join(split_fqn(flush["table_name"] or named))
 
 
-def _load(spark, store, ledger, source, value_schema, flushes, outbox, spec, raise_errors) -> bool:
+def _load(spark, store, ledger, source, value_schema, schema, flushes, outbox, spec, last_try) -> bool:
+    """True when done with these files: loaded, or, on the last try, put among the dead letters."""
     buffer = flushes[0]["extract_buffer_id"] if len(flushes) == 1 else None
     try:
         with ledger.observed("table_writer.process_record", source, buffer) as metric:
             paths = [f["raw_file_path"] for f in flushes]
             loaded_at = spark.sql("SELECT current_timestamp()").first()[0]
             write = ingest_bronze(
-                spark, store, paths, source, ledger, value_schema, loaded_at=F.lit(loaded_at)
+                spark, store, paths, source, ledger, value_schema, schema, F.lit(loaded_at)
             )
             metric["rows"] = write.rows
     except Exception as error:
-        if raise_errors:
+        if last_try:
             ledger.failed(error, FLUSH_TOPIC, flushes[0], source)
-        return raise_errors
+        return last_try
     counts = {flushes[0]["extract_buffer_id"]: write.rows}
     if len(flushes) > 1:
         ids = [f["extract_buffer_id"] for f in flushes]
@@ -174,12 +197,12 @@ def silver_batch(spark: SparkSession, store, ledger: Ledger, batch: DataFrame, s
         groups[message["table_fqn"]].append(message)
     for table, group in groups.items():
         group.sort(key=lambda m: (m["source_min_lsn"] is None, m["source_min_lsn"] or 0))
-        if not _apply(spark, store, ledger, table, group, spec, raise_errors=len(group) == 1):
+        if not _apply(spark, store, ledger, table, group, spec, last_try=len(group) == 1):
             for message in group:
-                _apply(spark, store, ledger, table, [message], spec, raise_errors=True)
+                _apply(spark, store, ledger, table, [message], spec, last_try=True)
 
 
-def _apply(spark, store, ledger, table, group, spec, raise_errors) -> bool:
+def _apply(spark, store, ledger, table, group, spec, last_try) -> bool:
     buffers = [m["extract_buffer_id"] for m in group]
     # Bronze is loaded just before it is announced; this prunes its partitions.
     sent = {d for m in group if m.get("_sent_on") for d in (m["_sent_on"], m["_sent_on"] - timedelta(days=1))}
@@ -194,7 +217,7 @@ def _apply(spark, store, ledger, table, group, spec, raise_errors) -> bool:
             else:
                 metric["rows"] = write.type2_rows
     except Exception as error:
-        if raise_errors:
+        if last_try:
             ledger.failed(error, UPDATED_TOPIC, group[0], table)
-        return raise_errors
+        return last_try
     return True

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.envelopes import V1, V2, V3, envelope, write_lines
+from tidemark.functions.connect import row_schema
 from tidemark.operators.evolve import SchemaIncompatibleError
 from tidemark.plans.bronze import ingest_bronze
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.silver import rebuild_silver, transform_buffers
 from tidemark.plans.store import FolderStore
+from tidemark.sources.raw import envelope_schema
 from tidemark.spec import ScdSpec
 
 SOURCE = "geo.public.scalars"
@@ -240,3 +242,36 @@ def test_columns_only_silver_has_survive_a_rebuild(lake):
     assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]
     assert lake.apply("buf-1").rebuilt
     assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]
+
+
+def test_older_silver_layout_is_brought_up_to_date(lake):
+    lake.run("buf-1", envelope("buf-1", "u", 1, V1[1], V1[0]), envelope("buf-1", "u", 2, V1[1], V1[0]))
+    new = {"_is_deleted", "version_key", "_last_lsn"}
+    old = lake.store.read(TYPE2).drop(*new)
+    known = lake.store.describe(TYPE2)
+    lake.store._save_description(TYPE2, old.schema, known["partitions"], known["keys"])
+    lake.store.replace_keys(TYPE2, old, old.select("id"), SPEC.keys)
+    assert not new & set(lake.store.read(TYPE2).columns)
+    lake.run("buf-2", envelope("buf-2", "u", 1, V2[1], V2[0]))
+    assert new <= set(lake.store.read(TYPE2).columns)
+    assert lake.rows(TYPE2, "id", "_is_deleted", "_is_current") == [
+        (1, False, False), (1, False, True), (2, False, True)
+    ]
+    assert lake.store.read(TYPE2).where("version_key IS NULL").isEmpty()
+    lake.run("buf-7", envelope("buf-7", "u", 2, V3[1], V3[0]))
+    assert lake.rows(TYPE2, "id", "_is_deleted", "_record_number")[-2:] == [(2, False, 1), (2, False, 2)]
+
+
+def test_reading_by_the_declared_schema_alone(lake):
+    document = (
+        '{"fields":[{"field":"id","type":"int64"},{"field":"name","type":"string"},'
+        '{"field":"updated_at","type":"string","name":"io.debezium.time.ZonedTimestamp"}]}'
+    )
+    lines = [envelope("buf-1", "c", 1, 1, V1[0]), envelope("buf-1", "d", 1, 2)]
+    lake.load(*lines, schema=envelope_schema(row_schema(document)), value_schema=document)
+    columns = lake.store.read(BRONZE).columns
+    assert {"before_name", "after_updated_at", "_source_lsn"} <= set(columns) and "after_value" not in columns
+    lake.apply("buf-1")
+    assert lake.rows(TYPE2, "id", "name", "_valid_from", "_is_deleted") == [
+        (1, "one", "2026-05-31 02:27:24.24287", True)
+    ]

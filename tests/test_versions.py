@@ -3,10 +3,10 @@ from datetime import timedelta
 
 import pytest
 
-from tests.walk import DAY0, SCHEMA, SHOWN, expected, random_log
+from tests.walk import DAY0, END, SCHEMA, SHOWN, expected, random_log, text
 from tidemark.operators.incremental import extend_type2, key_state, replace_keys
 from tidemark.operators.versions import build_type2
-from tidemark.spec import ScdSpec
+from tidemark.spec import END_OF_TIME_YEAR_10000, ScdSpec
 
 PLAIN = ScdSpec(arrival=("_extract_buffer_id", "_extract_job_id"))
 
@@ -59,6 +59,29 @@ def test_copies_of_one_event_never_pile_up(spark):
     assert rows_of(build_type2(spark.createDataFrame(rows, SCHEMA), spec)) == expected(rows)
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 5])
+def test_composite_keys_and_year_10000(spark, hot_rows):
+    rows = logs(21, 25)
+    plain = spark.createDataFrame(rows, SCHEMA)
+    split = plain.selectExpr("id div 5 AS a", "id % 5 AS b", "* EXCEPT (id)")
+    spec = ScdSpec(
+        keys=("a", "b"), arrival=PLAIN.arrival, hot_rows=hot_rows, end_of_time=END_OF_TIME_YEAR_10000
+    )
+    got = build_type2(split, spec).selectExpr(
+        "a * 5 + b AS id", "_source_lsn", "cast(_valid_to AS string) AS ends", "_is_current", "primary_key",
+        "natural_key", "_record_number", "_record_count",
+    ).collect()
+    want = []
+    for r in expected(rows):
+        named = dict(zip(SHOWN, r))
+        key = f"{r[0] // 5}-{r[0] % 5}"
+        ends = named["_valid_to"]
+        ends = "+10000-12-31 23:59:59.999999" if ends == END else text(ends)
+        want.append((r[0], named["_source_lsn"], ends, named["_is_current"], f"{key}-{named['_source_lsn']}", key,
+                     named["_record_number"], named["_record_count"]))
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("seed,in_order,hot_rows", [(11, True, 10**6), (12, False, 10**6), (13, True, 20)])
 def test_buffers_one_by_one_equal_one_batch(spark, seed, in_order, hot_rows):
     spec = ScdSpec(arrival=PLAIN.arrival, hot_rows=hot_rows)

@@ -30,7 +30,17 @@ from tidemark.operators.versions import build_type2
 from tidemark.plans.ledger import Ledger, now, schema_text
 from tidemark.sources.messages import TYPE1_WRITE, TYPE2_WRITE, UPDATED_TOPIC, json_text
 from tidemark.sources.tables import buffer_rows
-from tidemark.spec import RECORD_COUNT, RECORD_NUMBER, TRANSFORMED_AT, TYPE2_COLUMNS, VERSION_KEY, ScdSpec
+from tidemark.spec import (
+    IS_DELETED,
+    LAST_SEEN,
+    PRIMARY_KEY,
+    RECORD_COUNT,
+    RECORD_NUMBER,
+    TRANSFORMED_AT,
+    TYPE2_COLUMNS,
+    VERSION_KEY,
+    ScdSpec,
+)
 
 log = logging.getLogger(__name__)
 
@@ -95,6 +105,8 @@ def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates)
 
     declared = connect_fields(message.get("value_schema"))
     known = store.exists(type2)
+    if known:
+        upgrade_layout(store, type2, spec)
     base_schema = _evolved(store, type2, changes, declared) if known else None
 
     def prepared(rows: DataFrame) -> DataFrame:
@@ -103,7 +115,7 @@ def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates)
 
     own = set(changes.columns)
     changes = prepared(changes)
-    silver = ensure_layout(store.read(type2, concerned), spec) if known else None
+    silver = store.read(type2, concerned) if known else None
     state = key_state(changes, silver, spec).persist()
     try:
         rebuilt = known and not state.where(LATE).isEmpty()
@@ -119,14 +131,15 @@ def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates)
         )
         # Stored once: it feeds both tables, and lost executors do not make it be computed again.
         delta = written(delta)
+        if known:
+            _evolve_to(store, type2, delta)
         started = now()
         store.replace_keys(type2, delta, state, spec.keys, [VERSION_KEY], concerned)
         finished = now()
         _register(store, ledger, message, type2, TYPE2_WRITE, seen.get["type2"], started, finished, buffers)
         latest = type1_of_complete(delta)
         if store.exists(type1):
-            plan = plan_evolution(type1, store.schema(type1), desired_columns(latest.schema, {}, SILVER))
-            store.evolve(type1, plan)
+            _evolve_to(store, type1, latest)
         started = now()
         reusable = concerned if store.same_buckets(type1, type2) else None
         store.replace_keys(type1, latest, state, spec.keys, None, reusable)
@@ -160,11 +173,29 @@ def _rebuild(store, bronze_table, spec, message) -> SilverWrite:
     keys = changes.select(*spec.keys).distinct()
     for fqn, rows, unique in ((type2, history, [VERSION_KEY]), (type1, type1_of_complete(history), None)):
         if store.exists(fqn):
-            store.evolve(fqn, plan_evolution(fqn, store.schema(fqn), desired_columns(rows.schema, {}, SILVER)))
+            _evolve_to(store, fqn, rows)
         store.replace_keys(fqn, rows, keys, spec.keys, unique)
     return SilverWrite(type2, type1, seen.get["type2"], seen.get["type1"], 0, True)
 
 
+def upgrade_layout(store, fqn: str, spec: ScdSpec) -> None:
+    """Give a type-2 table from before the deleted flag, version key or last-seen mark those columns.
+
+    A single rewrite of the table, the first time it is met; afterwards only its schema is looked at.
+    """
+    if {IS_DELETED, VERSION_KEY, LAST_SEEN} <= set(store.schema(fqn).fieldNames()):
+        return
+    rows = store.read(fqn)
+    full = ensure_layout(rows, spec)
+    _evolve_to(store, fqn, full)
+    store.replace_keys(fqn, full, rows.select(*spec.keys).distinct(), spec.keys, [PRIMARY_KEY])
+
+
+def _evolve_to(store, fqn: str, rows: DataFrame) -> None:
+    """Let a table take all columns of the rows about to be written; also brings older layouts up to date."""
+    store.evolve(fqn, plan_evolution(fqn, store.schema(fqn), desired_columns(rows.schema, {}, SILVER)))
+
+
 def _evolved(store, fqn: str, changes: DataFrame, declared: dict):
     """Bring the silver table's schema up to date; returns its columns besides the derived ones."""
     desired = desired_columns(changes.schema, declared, SILVER)

@@ -11,19 +11,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _scope: ContextVar[str | None] = ContextVar("tidemark_scratch", default=None)
+#: Folders written outside any scope, for ``release``.
+_loose: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session; a temporary one only where none is set, as in local tests."""
+    """The folder named by the session. Only a session whose executors are threads of the driver may do without one."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession) -> str:
-    return f"{_scope.get() or shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    path = f"{scope or shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    if scope is None:
+        _loose.append(path)
+    return path
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 @contextmanager
@@ -35,8 +49,15 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         _scope.reset(token)
-        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        _remove(spark, folder)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the scratch tables behind DataFrames that were returned and have been read; says how many."""
+    paths, _loose[:] = _loose[:], []
+    for path in paths:
+        _remove(spark, path)
+    return len(paths)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +37,14 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.token_ids import encoded_documents
 
     return encoded_documents(_table(spark, sf_dir, "documents"), vocabulary_file(), end_id=2)
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import language
+
+    docs = _table(spark, sf_dir, "documents")
+    fold4 = fold(F.col("doc_id"), 4)
+    net = language.train(docs, learn=fold4 != 2)
+    held_out = F.coalesce(fold4 == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs.select("doc_id", "text"), net).select("doc_id", held_out, "lang_pred", "score")

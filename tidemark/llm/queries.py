@@ -48,3 +48,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = language.train(docs, learn=fold4 != 2)
     held_out = F.coalesce(fold4 == 2, F.lit(False)).alias("held_out")
     return language.predict(docs.select("doc_id", "text"), net).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query()
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.jaccard import similar_documents
+
+    return similar_documents(_table(spark, sf_dir, "documents"))

@@ -6,12 +6,12 @@ documents last and shuffles the others by its own hash. Texts with equal sets fo
 
 1. One pass writes each document's set size and 128-bit set fingerprint, and tokens frequent within a task.
 2. One pass emits prefix tokens of each order as packed blocks, dealt by token, a class once per task.
-3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs within the size limits. Larger groups give one row per
+3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups give one row per
    member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
-4. Candidate pairs are verified on their whole texts.
-5. Large groups are mostly copies of one another: their members are verified against one of them, components are formed,
-   then one member of each remaining component against another, until nothing new links. Pairs of members that are still in
-   different components are then all verified, so that no link is lost.
+4. Pairs that sizes and 512-bit parity sketches of the sets do not rule out are verified on their whole texts.
+5. Large groups are mostly copies of one another: their members are verified against one of them (the one with the fewest tokens of its
+   own), components are formed, then one member of each remaining component against another, until nothing new links. Pairs of
+   members that are still in different components then go through step 4, so that no link is lost.
 
 Frequencies only choose the order, so missing one costs time, never a link. Nothing is capped.
 
@@ -27,15 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, components, mixed, shingle_sets, sized, spread
+from tidemark.llm.common import blank_if_null, components, mixed, shingle_sets, sized
 from tidemark.operators.scratch import written
 
 #: 100 * |A and B| >= PERCENT * |A or B|
 PERCENT = 75
 #: Tokens that a task has seen in so many documents are taken to be frequent; the list is cut to the most frequent ones.
 FREQUENT, FREQUENT_KEPT = 4, 200_000
+#: Prefix tokens of one order that a bucket holds, about.
+BUCKET_BYTES = 6 << 20
 _SEEDS = np.random.default_rng(9).integers(1, 1 << 63, 16, dtype=np.uint64)
 _TOKEN_BITS = np.uint64((1 << 48) - 1)
 
@@ -65,7 +67,23 @@ def _texts(docs: DataFrame, *columns: str) -> DataFrame:
 
 # -- 1 and 2: signatures and prefixes ----------------------------------------------------------------------------
 
-SIGNATURE = "doc_id long, n long, f1 long, f2 long, token long, seen long"
+SKETCH = 8  # longs
+SIGNATURE = "doc_id long, n long, f1 long, f2 long, token long, seen long, " + ", ".join(f"s{i} long" for i in range(SKETCH))
+
+
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of tokens that fall on each bit. Each token that only one of two sets has flips one bit, so the
+    sketches of two sets differ in no more bits than the sets in tokens."""
+    bits = np.bincount((mixed(s ^ _SEEDS[-2]) & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(x: str, y: str) -> Column:
+    """False only if sizes or sketches rule a link out: sets that link differ in at most a seventh of their summed sizes."""
+    n, m = F.col(f"n_{x}"), F.col(f"n_{y}")
+    differ = sum((F.bit_count(F.col(f"s{i}_{x}").bitwiseXOR(F.col(f"s{i}_{y}"))) for i in range(SKETCH)), F.lit(0))
+    sizes = 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+    return sizes & ((100 + PERCENT) * differ <= (100 - PERCENT) * (n + m))
 
 
 def _signatures(width: int):
@@ -76,14 +94,15 @@ def _signatures(width: int):
             tokens, seen = np.unique(np.concatenate(held), return_counts=True)
             tokens, seen = tokens[seen >= FREQUENT], seen[seen >= FREQUENT]
             none = pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(tokens)), pa.array(seen)], names=names)
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(tokens)), pa.array(seen), *[none] * SKETCH], names=names)
 
-        names = ["doc_id", "n", "f1", "f2", "token", "seen"]
+        names = ["doc_id", "n", "f1", "f2", "token", "seen", *(f"s{i}" for i in range(SKETCH))]
         for batch in batches:
-            n, marks = [], []
+            n, marks, sketches = [], [], []
             for s in shingle_sets(batch.column("text"), width):
                 n.append(len(s))
                 marks.append(_fingerprint(s))
+                sketches.append(_sketch(s))
                 if len(s) and marks[-1] not in known:
                     known.add(marks[-1])
                     held.append(s)
@@ -93,7 +112,8 @@ def _signatures(width: int):
                     held, size = [], 0
             none = pa.nulls(len(n), pa.int64())
             one, two = (pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), one, two, none, none], names=names)
+            bits = [pa.array(b) for b in np.array(sketches, np.int64).reshape(-1, SKETCH).T]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), one, two, none, none, *bits], names=names)
         if held:
             yield frequent()
 
@@ -116,7 +136,7 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
         table, entries, size, known = [], [[] for _ in range(orders)], 0, set()
 
         def flushed():
-            rows = np.array(table, np.int64).reshape(-1, 3)
+            rows = np.array(table, np.int64)
             parts, blobs, tables = [], [], []
             for k in range(orders):
                 e = np.concatenate(entries[k])
@@ -149,7 +169,7 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
                     key = mixed(s ^ _SEEDS[k])
                     first = np.argpartition((key >> np.uint64(1)) | late, p - 1)[:p] if p < len(s) else slice(None)
                     entries[k].append(((key[first] & _TOKEN_BITS) << np.uint64(16)) | np.uint64(len(table)))
-                table.append((*mark, len(s)))
+                table.append(mark[0])
                 size += p
                 if len(table) == 1 << 16 or size > 1 << 21:
                     yield flushed()
@@ -162,21 +182,21 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
 
 # -- 3: pairs from buckets ---------------------------------------------------------------------------------------
 
-FOUND = "order int, a1 long, a2 long, b1 long, b2 long, token long"
+FOUND = "order int, a long, b long, token long"
 
 
 def _found(buckets: int, small_group: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         order = int(key[0]) // buckets
         entries, docs, base = [], [], 0
         for blob, table in zip(pdf["entries"], pdf["classes"], strict=True):
             e = np.frombuffer(blob, np.uint64)
-            t = np.frombuffer(table, np.int64).reshape(-1, 3)
+            t = np.frombuffer(table, np.int64)
             entries.append((e >> np.uint64(16), (e & np.uint64(0xFFFF)).astype(np.int64) + base))
             docs.append(t)
             base += len(t)
-        docs, which = np.unique(np.concatenate(docs), axis=0, return_inverse=True)  # a class may come from many tasks
-        token, doc = np.concatenate([e[0] for e in entries]), which.reshape(-1)[np.concatenate([e[1] for e in entries])]
+        docs, which = np.unique(np.concatenate(docs), return_inverse=True)  # a class may come from many tasks
+        token, doc = np.concatenate([e[0] for e in entries]), which[np.concatenate([e[1] for e in entries])]
         at = np.lexsort((doc, token))
         token, doc = token[at], doc[at]
         fresh = np.ones(len(token), bool)
@@ -191,17 +211,14 @@ def _found(buckets: int, small_group: int):
             pairs.append(np.unique(rows[:, x].reshape(-1) * len(docs) + rows[:, y].reshape(-1)))
         pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         a, b = docs[pairs // len(docs)], docs[pairs % len(docs)]
-        near = 100 * np.minimum(a[:, 2], b[:, 2]) >= PERCENT * np.maximum(a[:, 2], b[:, 2])
-        a, b = a[near], b[near]
         large = np.repeat(count > small_group, count)
         member, token = docs[doc[large]], token[large].view(np.int64)
-        none = np.full(len(member), np.nan)
         return pd.DataFrame({
             "order": np.full(len(a) + len(member), order, np.int32),
-            "a1": np.concatenate([a[:, 0], member[:, 0]]), "a2": np.concatenate([a[:, 1], member[:, 1]]),
-            "b1": pd.array(b[:, 0], "Int64").tolist() + [None] * len(none), "b2": pd.array(b[:, 1], "Int64").tolist() + [None] * len(none),
-            "token": [None] * len(a) + token.tolist(),
-        }).astype({"b1": "Int64", "b2": "Int64", "token": "Int64"})
+            "a": np.concatenate([a, member]),
+            "b": pd.array(np.concatenate([b, member]), "Int64"),
+            "token": pd.arrays.IntegerArray(np.concatenate([a, token]), np.arange(len(a) + len(member)) < len(a)),
+        })
 
     return run
 
@@ -248,58 +265,70 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id``, ``text``)."""
     spark = docs.sparkSession
     signature, often = signatures(docs, width)
-    classes = signature.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"))
+    sketch = [F.any_value(f"s{i}").alias(f"s{i}") for i in range(SKETCH)]
+    classes = signature.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"), *sketch)
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
-    total = classes.agg(F.sum(F.col("n"))).first()[0] or 0
-    buckets = max(2 * spread(spark), int(total * (1 - PERCENT / 100) * 8 / (24 << 20)))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    buckets = max(16, int(total * (1 - PERCENT / 100) * 8 / BUCKET_BYTES))
     blocks = _texts(docs).mapInArrow(_prefixes(width, orders, buckets, often), "part int, entries binary, classes binary")
     found = written(blocks.groupBy("part").applyInPandas(_found(buckets, small_group), FOUND))
 
-    # Pairs that every order allows. In a large group of an order, every pair of members is allowed.
+    # Pairs that every order allows (in a large group of an order, every pair of members is allowed), then sizes and sketches.
+    # Classes are named by half of their fingerprint up to here; where two share it, both go on.
     member = found.filter("token IS NOT NULL")
-    in_large = member.groupBy("a1", "a2").agg(F.expr("bit_or(shiftleft(1, order))").alias("large"))
-    flags = lambda x: in_large.select(F.col("a1").alias(f"{x}1"), F.col("a2").alias(f"{x}2"), F.col("large").alias(f"large_{x}"))
-    pairs = found.filter("token IS NULL").groupBy("a1", "a2", "b1", "b2").agg(F.expr("bit_or(shiftleft(1, order))").alias("orders"))
+    in_large = member.groupBy("a").agg(F.expr("bit_or(shiftleft(1, order))").alias("large"))
+    flags = lambda x: in_large.select(F.col("a").alias(x), F.col("large").alias(f"large_{x}"))
+    pairs = found.filter("token IS NULL").groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, order))").alias("orders"))
     either = F.coalesce(F.col("large_a").bitwiseAND(F.col("large_b")), F.lit(0))
-    every = F.lit((1 << orders) - 1)
-    pairs = (
-        pairs.filter(F.col("orders").bitwiseAND(1) == 1)
-        .join(flags("a"), ["a1", "a2"], "left").join(flags("b"), ["b1", "b2"], "left")
-        .filter(F.col("orders").bitwiseOR(either) == every)
-    )
-    node = lambda x, *more: classes.select(F.col("f1").alias(f"{x}1"), F.col("f2").alias(f"{x}2"), F.col("node").alias(x), *more)
-    pairs = written(pairs.join(node("a"), ["a1", "a2"]).join(node("b"), ["b1", "b2"]).select("a", "b"))
-    member = written(member.filter("order = 0").select("token", "a1", "a2").join(node("a", F.col("n")), ["a1", "a2"]).select("token", F.col("a").alias("node"), "n"))
+    pairs = pairs.filter(F.col("orders").bitwiseAND(1) == 1).join(flags("a"), "a", "left").join(flags("b"), "b", "left")
+    pairs = pairs.filter(F.col("orders").bitwiseOR(either) == F.lit((1 << orders) - 1)).select(F.col("a").alias("f_a"), F.col("b").alias("f_b"))
+    detail = ["node", "n", *(f"s{i}" for i in range(SKETCH))]
+    of = lambda x, *keys: classes.select(F.col("f1").alias(f"f_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in detail))
+    pairs = pairs.join(of("a"), "f_a").join(of("b"), "f_b").filter(_may_link("a", "b"))
+    pairs = written(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+
+    # Members of large groups; ``part`` is the share of a class's prefix that lies in large groups, most for the common ancestor of copies.
+    share = F.col("tokens") / (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
+    weight = member.filter("order = 0").groupBy("a").agg(F.count("*").alias("tokens")).join(classes, F.col("a") == F.col("f1"))
+    weight = written(weight.select("a", share.alias("part"), *detail))
+    member = written(member.filter("order = 0").select("token", "a").join(sized(weight.select("a", "node", "part")), "a").select("token", "node", "part"))
+    first = F.max_by("node", F.struct("part", -F.col("node")))  # of some members, the one to compare the others with
 
     # Texts of all nodes that may be compared, looked up by id and told apart from other rows of that id by fingerprint.
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(member.select("node")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(weight.select("node")).distinct()
     wanted = written(classes.join(wanted, "node", "left_semi").select("node", "f1", "f2", F.col("least").alias("doc_id")))
     same = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = _texts(docs, F.col("doc_id").cast("long").alias("_id")).join(sized(wanted), same).select("node", "f1", "f2", "text")
     texts = written(rows.mapInArrow(_matching(width), "node long, text string").dropDuplicates(["node"]))
 
-    star = member.join(member.groupBy("token").agg(F.min("node").alias("c")), "token").filter("node <> c")
-    tried = written(pairs.union(star.select(F.col("c").alias("a"), F.col("node").alias("b"))).distinct())
+    flat = weight.select(*(F.col(c) for c in detail))
+    side = lambda x: flat.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in detail if c != "node"))
+    possible = lambda p: p.join(sized(side("a")), "a").join(sized(side("b")), "b").filter(_may_link("a", "b")).select("a", "b")
+    star = member.join(member.groupBy("token").agg(first.alias("c")), "token").filter("node <> c")
+    star = possible(star.select(F.col("c").alias("a"), F.col("node").alias("b")).distinct())
+    tried = written(pairs.union(star).distinct())
     links = _verify(tried, texts, width)
     group = components(links)
     while not member.isEmpty():
-        placed = member.join(group, "node", "left").select("token", "n", "node", F.coalesce("component", "node").alias("c"))
-        heads = placed.groupBy("token", "c").agg(F.min("node").alias("node"))
-        first = heads.groupBy("token").agg(F.min("node").alias("a"))
-        more = heads.join(first, "token").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+        placed = member.join(sized(group), "node", "left").select("token", "part", "node", F.coalesce("component", "node").alias("c"))
+        several = placed.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("token")
+        placed = written(placed.join(several, "token", "left_semi"))  # groups that are not yet one component
+        heads = placed.groupBy("token", "c").agg(first.alias("node"), F.max("part").alias("part"))
+        more = heads.join(heads.groupBy("token").agg(first.alias("a")), "token").filter("node <> a")
+        more = possible(more.select("a", F.col("node").alias("b")).distinct())
         more = written(more.join(tried, ["a", "b"], "left_anti"))
-        fresh = _verify(more, texts, width) if not more.isEmpty() else None
+        fresh = None if more.isEmpty() else _verify(more, texts, width)
+        tried = written(tried.union(more))
         if fresh is None or fresh.isEmpty():
-            tried = tried.union(more)
             break
-        tried, links = written(tried.union(more)), written(links.union(fresh))
+        links = written(links.union(fresh))
         group = components(links)
     if not member.isEmpty():
-        # What no shortcut joined: members of different components, pair by pair.
-        placed = written(placed)
-        left, right = (placed.select("token", F.col("n").alias(f"n_{x}"), F.col("node").alias(x), F.col("c").alias(f"c_{x}")) for x in "ab")
-        near = (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-        rest = written(left.join(right, "token").filter(near).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        # What no shortcut joined: members of different components, pair by pair, if sizes and sketches allow a link.
+        placed = placed.select("token", "node", "c").join(sized(flat), "node")
+        left, right = (placed.select("token", F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ["c", *detail[1:]])) for x in "ab")
+        near = (left.token == right.token) & (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link("a", "b")
+        rest = written(left.join(right, near).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             group = components(written(links.union(_verify(rest, texts, width))))
 

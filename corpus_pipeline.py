@@ -4,21 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import queries
+from tidemark.llm import language, mixing, queries
+from tidemark.llm.common import sized
+from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.jaccard import similar_documents
+from tidemark.llm.token_ids import encoded_documents
 from tidemark.operators.scratch import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    from tidemark.llm.token_ids import encoded_documents
+#: A document whose language the network finds less likely than this is rejected, as is one without letters.
+LEAST_LANGUAGE_SCORE = 0.25
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts in no known language."""
+    told = language.predict(docs.select(*COLUMNS), language.train(docs))
+    return told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays: that with the smallest id (of repeated ids, one row)."""
+    found = similar_documents(docs)
+    gone = found.filter("NOT doc_id <=> component_id").select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(sized(written(gone)), "doc_id", "left_anti")
+    again = found.filter("doc_id <=> component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = sized(written(again))
+    once = kept.join(again, kept.doc_id.eqNullSafe(again.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, kept.doc_id.eqNullSafe(again.doc_id), "left_anti").unionByName(once)
+
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat a benchmark item go."""
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(sized(written(found)), "doc_id", "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its rate says."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = mixing.fit_rates(docs, mixing.learn_domains(docs, labels))
+    return mixing.with_rates(docs.select(*COLUMNS), model).select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bit-packed ids of what is left, read back from the files."""
     return encoded_documents(docs, queries.vocabulary_file(), end_id=2)
 
 
-STAGES: list[tuple[str, Stage]] = [("token_ids", token_ids)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("token_ids", token_ids),
+]
+#: No SQL can express the network of the first stage; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -55,3 +55,19 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.jaccard import similar_documents
 
     return similar_documents(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.decontaminate import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import mixing
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit_rates(docs, mixing.learn_domains(docs, _table(spark, sf_dir, "labels")))
+    return mixing.with_rates(docs, model).drop("text")

@@ -47,7 +47,7 @@ def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def pieces(data: np.ndarray, offsets: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``size`` bytes (one row may be longer)."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
@@ -92,7 +92,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     A word's hash is a difference of running sums of byte values times powers of an odd number, so that all words are
     hashed in a few passes. Long buffers are cut at white space.
     """
-    hashes, starts, at, step = [], [], 0, 1 << 21
+    hashes, starts, at, step = [], [], 0, 1 << 20
     while at < len(data):
         end = min(len(data), at + step)
         if end < len(data):

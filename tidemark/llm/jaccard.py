@@ -107,7 +107,7 @@ def _signatures(width: int):
                     known.add(marks[-1])
                     held.append(s)
                     size += len(s)
-                if size > 1 << 22:
+                if size > 1 << 21:
                     yield frequent()
                     held, size = [], 0
             none = pa.nulls(len(n), pa.int64())

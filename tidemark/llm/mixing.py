@@ -99,7 +99,12 @@ def learn_domains(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000) -
     marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < odds)  # a bounded sample
     got = docs.select("doc_id", blank_if_null().alias("text")).join(F.broadcast(marks), "doc_id").select("text", "_domain")
     got = sorted(map(tuple, got.collect()))
-    return fit_classifier([g[0] for g in got], [g[1] for g in got])
+    model = fit_classifier([g[0] for g in got], [g[1] for g in got])
+    # The sample holds the domains in equal parts: back to their shares among all labels.
+    taken = np.bincount([g[1] for g in got], minlength=len(DOMAINS))
+    for k, n in counts.items():
+        model.shift[k] += np.log(n / max(1, taken[k]))
+    return model
 
 
 def _posterior(model: Mixture) -> Column:

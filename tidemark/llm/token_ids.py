@@ -32,7 +32,7 @@ BLOCKS = "doc_ids array<long>, offsets array<int>, shard int, block int, bits in
 #: A block is closed when it holds so many ids.
 BLOCK_IDS = 1 << 17
 #: Words whose ids a task remembers at most.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 500_000
 
 
 # -- packing -----------------------------------------------------------------------------------------------------

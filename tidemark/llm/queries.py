@@ -71,3 +71,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = mixing.fit_rates(docs, mixing.learn_domains(docs, _table(spark, sf_dir, "labels")))
     return mixing.with_rates(docs, model).drop("text")
+
+
+@query()
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.secrets import scan_secrets
+
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold3 = fold(F.col("doc_id"), 3)
+    marks = _table(spark, sf_dir, "labels").filter(fold3 != 1).select("doc_id", "toxic")
+    held_out = F.coalesce(fold3 == 1, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, toxicity.learn(docs, marks)).select("doc_id", held_out, "score", "predicted", "toxic_spans")

@@ -114,9 +114,11 @@ def _padded(chains: list) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
-def _fit_chain(chains: list[tuple[list[int], list[int]]], rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
-    """Weights from (bands, states) of sentences; equal chains are counted once."""
-    seen = Counter((tuple(b), tuple(s)) for b, s in chains)
+def _fit_chain(chains: list[tuple[list[int], list[int], float]], rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """Weights from (bands, states, how much it counts) of sentences; equal chains are counted once."""
+    seen: Counter = Counter()
+    for b, s, w in chains:
+        seen[tuple(b), tuple(s)] += w
     bands, sizes = _padded([b for b, _ in seen])
     states, _ = _padded([s for _, s in seen])
     weight = np.array(list(seen.values()), float) / sum(seen.values())
@@ -157,7 +159,7 @@ def tag(crf: Crf, text: str, finder: re.Pattern | None) -> tuple[float, list[tup
     return clean, spans
 
 
-def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.0, support: int = 4, sample_docs: int = 600) -> Crf | None:
+def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.5, support: int = 4, sample_docs: int = 1600) -> Crf | None:
     """``marks``: ``doc_id`` and ``toxic`` of the rows that may be learned from."""
     marks = marks.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     have = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
@@ -185,29 +187,33 @@ def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.0, support: int = 4
     got = cue.join(spared, "cue", "left_anti").select("cue", "odds").collect()  # a lexicon: cues under word starts are left out
     cues = {r.cue: min(BANDS, 1 + int((r.odds - odds) / 1.0)) for r in got}
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("toxic") == 1, sample_docs / 2 / have[1]).otherwise(sample_docs / 2 / have[0])
-    sample = sorted(map(tuple, rows.filter(chance < share).select("text", "toxic").collect()))
+    taken = {k: min(1.0, sample_docs / 2 / have[k]) for k in (0, 1)}
+    sample = rows.filter(chance < F.when(F.col("toxic") == 1, taken[1]).otherwise(taken[0]))
+    sample = sorted(map(tuple, sample.select("text", (F.col("toxic") == 1).cast("int")).collect()))
+    weigh = {k: 1 / taken[k] for k in (0, 1)}  # the sample holds both labels in equal parts
     finder, chains = _finder(cues), []
     for text, toxic in sample:
         own = [(b, [int(x > 0 and toxic == 1) for x in b]) for b, _ in _sentences(cues, text, finder)]
-        chains += [(b[i : i + PIECE], y[i : i + PIECE]) for b, y in own for i in range(0, len(b), PIECE)] or [([0] * 10, [0] * 10)]
+        cut = [(b[i : i + PIECE], y[i : i + PIECE]) for b, y in own for i in range(0, len(b), PIECE)] or [([0] * 10, [0] * 10)]
+        chains += [(b, y, weigh[toxic]) for b, y in cut]
     emit, move = _fit_chain(chains) if chains else (np.zeros((FEATURES, 2)), np.zeros((2, 2)))
     crf = Crf(cues, emit, move, (1.0, 0.0))
     x = np.array([_strength(tag(crf, t, finder)[0]) for t, _ in sample])
-    crf.curve = _fit_curve(x, np.array([float(y == 1) for _, y in sample]))
+    crf.curve = _fit_curve(x, np.array([float(y) for _, y in sample]), np.array([weigh[y] for _, y in sample]))
     return crf
 
 
 def _strength(clean: float) -> float:
-    return float(min(-clean, 5.0))  # -log of the chance that nothing is toxic
+    return float(min(-clean, 6.0))  # -log of the chance that nothing is toxic
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     a, b = 1.0, 0.0
+    weight = weight / weight.mean()
     for _ in range(2000):
         p = 1 / (1 + np.exp(-(a * x + b)))
-        a += 0.1 * (((y - p) * x).mean() - 1e-4 * a)
-        b += 0.1 * ((y - p).mean() - 1e-4 * b)
+        a += 0.1 * (((y - p) * x * weight).mean() - 1e-4 * a)
+        b += 0.1 * (((y - p) * weight).mean() - 1e-4 * b)
     return float(a), float(b)
 
 

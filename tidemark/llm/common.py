@@ -24,6 +24,14 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded_batches(spark, rows: int = 512) -> None:
+    """Let Arrow batches of this session hold at most ``rows`` rows: texts may be long, and Spark bounds batches by rows only."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def blank_if_null(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

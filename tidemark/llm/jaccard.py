@@ -6,8 +6,8 @@ documents last and shuffles the others by its own hash. Texts with equal sets fo
 
 1. One pass writes each document's set size and 128-bit set fingerprint, and tokens frequent within a task.
 2. One pass emits prefix tokens of each order as packed blocks, dealt by token, a class once per task.
-3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups give one row per
-   member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
+3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups are named by their smallest
+   class, groups of one name are joined, and each gives one row per member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
 4. Pairs that sizes and 512-bit parity sketches of the sets do not rule out are verified on their whole texts.
 5. Large groups are mostly copies of one another: their members are verified against one of them (the one with the fewest tokens of its
    own), components are formed, then one member of each remaining component against another, until nothing new links. Pairs of
@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, components, mixed, shingle_sets, sized
+from tidemark.llm.common import blank_if_null, bounded_batches, components, mixed, shingle_sets, sized
 from tidemark.operators.scratch import written
 
 #: 100 * |A and B| >= PERCENT * |A or B|
@@ -182,7 +182,7 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
 
 # -- 3: pairs from buckets ---------------------------------------------------------------------------------------
 
-FOUND = "order int, a long, b long, token long"
+FOUND = "order int, a long, b long, head long, tokens long"
 
 
 def _found(buckets: int, small_group: int):
@@ -211,13 +211,16 @@ def _found(buckets: int, small_group: int):
             pairs.append(np.unique(rows[:, x].reshape(-1) * len(docs) + rows[:, y].reshape(-1)))
         pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         a, b = docs[pairs // len(docs)], docs[pairs % len(docs)]
-        large = np.repeat(count > small_group, count)
-        member, token = docs[doc[large]], token[large].view(np.int64)
+        # A large group is named by its smallest class; groups of the same name are one from here on.
+        large = count > small_group
+        head, member = np.repeat(doc[start[large]], count[large]), doc[np.repeat(large, count)]
+        told, tokens = np.unique(head * len(docs) + member if order == 0 else member, return_counts=True)
+        head, member = docs[told // len(docs)] if order == 0 else np.zeros(len(told), np.int64), docs[told % len(docs)]
+        both = len(a) + len(member)
         return pd.DataFrame({
-            "order": np.full(len(a) + len(member), order, np.int32),
-            "a": np.concatenate([a, member]),
-            "b": pd.array(np.concatenate([b, member]), "Int64"),
-            "token": pd.arrays.IntegerArray(np.concatenate([a, token]), np.arange(len(a) + len(member)) < len(a)),
+            "order": np.full(both, order, np.int32), "a": np.concatenate([a, member]), "b": np.concatenate([b, member]),
+            "head": pd.arrays.IntegerArray(np.concatenate([a, head]), np.arange(both) < len(a)),
+            "tokens": np.concatenate([np.zeros(len(a), np.int64), tokens]),
         })
 
     return run
@@ -263,7 +266,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_group: int = 32) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id``, ``text``)."""
-    spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     signature, often = signatures(docs, width)
     sketch = [F.any_value(f"s{i}").alias(f"s{i}") for i in range(SKETCH)]
     classes = signature.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"), *sketch)
@@ -275,10 +278,10 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
 
     # Pairs that every order allows (in a large group of an order, every pair of members is allowed), then sizes and sketches.
     # Classes are named by half of their fingerprint up to here; where two share it, both go on.
-    member = found.filter("token IS NOT NULL")
+    member = found.filter("head IS NOT NULL")
     in_large = member.groupBy("a").agg(F.expr("bit_or(shiftleft(1, order))").alias("large"))
     flags = lambda x: in_large.select(F.col("a").alias(x), F.col("large").alias(f"large_{x}"))
-    pairs = found.filter("token IS NULL").groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, order))").alias("orders"))
+    pairs = found.filter("head IS NULL").groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, order))").alias("orders"))
     either = F.coalesce(F.col("large_a").bitwiseAND(F.col("large_b")), F.lit(0))
     pairs = pairs.filter(F.col("orders").bitwiseAND(1) == 1).join(flags("a"), "a", "left").join(flags("b"), "b", "left")
     pairs = pairs.filter(F.col("orders").bitwiseOR(either) == F.lit((1 << orders) - 1)).select(F.col("a").alias("f_a"), F.col("b").alias("f_b"))
@@ -289,9 +292,9 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
 
     # Members of large groups; ``part`` is the share of a class's prefix that lies in large groups, most for the common ancestor of copies.
     share = F.col("tokens") / (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1)
-    weight = member.filter("order = 0").groupBy("a").agg(F.count("*").alias("tokens")).join(classes, F.col("a") == F.col("f1"))
+    weight = member.filter("order = 0").groupBy("a").agg(F.sum("tokens").alias("tokens")).join(classes, F.col("a") == F.col("f1"))
     weight = written(weight.select("a", share.alias("part"), *detail))
-    member = written(member.filter("order = 0").select("token", "a").join(sized(weight.select("a", "node", "part")), "a").select("token", "node", "part"))
+    member = written(member.filter("order = 0").select(F.col("head").alias("token"), "a").distinct().join(sized(weight.select("a", "node", "part")), "a").select("token", "node", "part"))
     first = F.max_by("node", F.struct("part", -F.col("node")))  # of some members, the one to compare the others with
 
     # Texts of all nodes that may be compared, looked up by id and told apart from other rows of that id by fingerprint.

@@ -20,7 +20,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import buffers
+from tidemark.llm.common import bounded_batches, buffers
 
 UNKNOWN = "und"
 WIDTHS, FILTERS, EMBEDDED, WINDOW = (2, 3, 4, 5), 12, 8, 256
@@ -164,6 +164,7 @@ def predict(docs: DataFrame, net: ByteNetwork | None, text: str = "text") -> Dat
             names=["lang", "score"],
         )
 
+    bounded_batches(docs.sparkSession)
     known = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     out = docs.withColumn("_language", languages(F.coalesce(F.col(text), F.lit(""))))
     return (

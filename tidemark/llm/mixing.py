@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, buffers, pieces, word_hashes
+from tidemark.llm.common import blank_if_null, bounded_batches, buffers, pieces, word_hashes
 from tidemark.operators.scratch import written
 
 DOMAINS = ("good", "poor", "toxic")
@@ -134,6 +134,7 @@ def _rate(p: Column, steps: list[list[float]]) -> Column:
 
 def fit_rates(docs: DataFrame, model: Mixture, targets: dict[str, float] = TARGETS, rounds: int = 30, close: float = 1e-9) -> Mixture:
     """Steps whose rates bring expected totals to ``targets`` (shares, which need not add up to 1)."""
+    bounded_batches(docs.sparkSession)
     table = written(docs.select(_posterior(model).alias("x")).select("x.n", "x.p").filter("n > 0"))
     share = np.array([targets[d] for d in DOMAINS], float)
     share /= share.sum()

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null
+from tidemark.llm.common import blank_if_null, bounded_batches
 from tidemark.operators.scratch import written
 
 #: Fixed values of the base kinds.
@@ -98,6 +98,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked`` of every row of ``docs`` (``doc_id``, ``text``)."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blank_if_null().alias("text"))
     scanned = written(rows.mapInArrow(_scan, _SCANNED).withColumn("row", F.monotonically_increasing_id()))
     part = scanned.filter(F.size("parts") > 0).select("row", F.explode("parts").alias("p")).select("row", "p.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import blank_if_null, sized, spread
+from tidemark.llm.common import blank_if_null, bounded_batches, sized, spread
 from tidemark.operators.scratch import scratch_path
 
 BLOCKS = "doc_ids array<long>, offsets array<int>, shard int, block int, bits int, first long, n_ids long, payload binary"
@@ -210,6 +210,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, sha
     One range exchange brings the texts in order (ids of equal ``doc_id`` may be split over shards by the text's hash);
     texts are encoded behind it, so that only texts, never ids, are shuffled.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     order = [F.col("doc_id").asc_nulls_first(), F.col("_tie").asc()]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blank_if_null().alias("text"))

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null
+from tidemark.llm.common import blank_if_null, bounded_batches
 from tidemark.operators.scratch import written
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -234,6 +234,7 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
         span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())])
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))], names=["score", "spans"])
 
+    bounded_batches(docs.sparkSession)
     out = docs.withColumn("_tagged", tagged(blank_if_null()))
     out = out.withColumn("score", F.col("_tagged.score")).withColumn("toxic_spans", F.col("_tagged.spans"))
     return out.withColumn("predicted", (F.col("score") >= crf.threshold).cast("int")).drop("_tagged")

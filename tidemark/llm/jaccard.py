@@ -8,7 +8,7 @@ documents last and shuffles the others by its own hash. Texts with equal sets fo
 2. One pass emits prefix tokens of each order as packed blocks, dealt by token, a class once per task.
 3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups are named by their smallest
    class, groups of one name are joined, and each gives one row per member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
-4. Pairs that sizes and 512-bit parity sketches of the sets do not rule out are verified on their whole texts.
+4. Pairs that sizes and parity sketches of the sets (512, then 4096 bits) do not rule out are verified on their whole texts.
 5. Large groups are mostly copies of one another: their members are verified against one of them (the one with the fewest tokens of its
    own), components are formed, then one member of each remaining component against another, until nothing new links. Pairs of
    members that are still in different components then go through step 4, so that no link is lost.
@@ -254,8 +254,28 @@ def _verified(width: int):
     return run
 
 
+def _wide_sketch(s: np.ndarray) -> bytes:
+    """As ``_sketch`` with 4096 bits, for large sets."""
+    bits = np.bincount((mixed(s ^ _SEEDS[-3]) & np.uint64(4095)).astype(np.int64), minlength=4096) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _sieved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, 64) for c in ("w_a", "w_b"))
+        differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        may = (100 + PERCENT) * differ <= (100 - PERCENT) * sizes
+        yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) that link. A node in many pairs is ``a``: adaptive execution splits it."""
+    """Those of ``pairs`` (``a``, ``b``) that link: by wide sketches first, then by the texts.
+
+    A node in many pairs is ``a``: adaptive execution splits it.
+    """
+    wide = lambda x: texts.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"w_{x}"))
+    pairs = written(pairs.join(wide("b"), "b").join(wide("a"), "a").select("a", "b", "n_a", "n_b", "w_a", "w_b").mapInArrow(_sieved, "a long, b long"))
     of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     return written(pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified(width), "a long, b long"))
@@ -264,7 +284,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 # -- the whole ---------------------------------------------------------------------------------------------------
 
 
-def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_group: int = 32) -> DataFrame:
+def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_group: int = 8) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id``, ``text``)."""
     bounded_batches(docs.sparkSession)
     signature, often = signatures(docs, width)
@@ -302,7 +322,7 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
     wanted = written(classes.join(wanted, "node", "left_semi").select("node", "f1", "f2", F.col("least").alias("doc_id")))
     same = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = _texts(docs, F.col("doc_id").cast("long").alias("_id")).join(sized(wanted), same).select("node", "f1", "f2", "text")
-    texts = written(rows.mapInArrow(_matching(width), "node long, text string").dropDuplicates(["node"]))
+    texts = written(rows.mapInArrow(_matching(width), "node long, n long, wide binary, text string").dropDuplicates(["node"]))
 
     flat = weight.select(*(F.col(c) for c in detail))
     side = lambda x: flat.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in detail if c != "node"))
@@ -349,7 +369,12 @@ def _matching(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist(), strict=True)
-            keep = [m == _fingerprint(s) for m, s in zip(marks, shingle_sets(batch.column("text"), width), strict=True)]
-            yield batch.select(["node", "text"]).filter(pa.array(keep, pa.bool_()))
+            keep, n, wide = [], [], []
+            for mark, s in zip(marks, shingle_sets(batch.column("text"), width), strict=True):
+                keep.append(mark == _fingerprint(s))
+                n.append(len(s))
+                wide.append(_wide_sketch(s))
+            columns = [batch.column("node"), pa.array(n, pa.int64()), pa.array(wide, pa.binary()), batch.column("text")]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "wide", "text"]).filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -1,11 +1,17 @@
 """The two streams over folders of notifications."""
 
 import json
+from datetime import date
+
+import pytest
 
 from tests.envelopes import V1, V2, envelope, write_lines
 from tidemark.plans.ledger import Ledger
+from tidemark.plans.silver import transform_buffers
 from tidemark.plans.store import FolderStore
-from tidemark.streaming.jobs import start_bronze, start_silver
+from tidemark.sources.messages import FILE_FLUSH, parse_messages
+from tidemark.spec import ScdSpec
+from tidemark.streaming.jobs import bronze_batch, start_bronze, start_silver
 
 TYPE2 = "geo.public_silver.scalars_type2"
 
@@ -80,3 +86,52 @@ def test_streams_end_to_end(spark, tmp_path):
         ("table_writer.process_record.records", "success"), ("table_writer.process_record.records", "error"),
         ("type2_dimension.process_record.records", "success"),
     }
+
+
+def batch_of(spark, *lines):
+    return parse_messages(spark.createDataFrame([(line,) for line in lines], "value string"), FILE_FLUSH)
+
+
+def test_no_buffer_is_lost_on_restart_and_none_loaded_twice(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path / "lake"), buckets=4)
+    sent, letters = [], []
+    ledger = Ledger(spark, str(tmp_path / "ledger"), lambda rows: letters.extend(rows.collect()))
+    path = write_lines(
+        str(tmp_path / "geo.public.scalars-2026-05-31_02-51-21-000-000001.jsonl"), [envelope("b1", "c", 1, 10, V1[0])]
+    )
+    # Named twice in one batch, among many unreadable records.
+    batch = batch_of(spark, flush(path, "b1"), flush(path, "b1"), *(f"bad {i}" for i in range(200)))
+
+    def down(_):
+        raise OSError("no sink")
+
+    with pytest.raises(OSError):
+        bronze_batch(spark, store, ledger, batch, down)
+    assert ledger.read("table_writes").count() == 0  # so that the replay announces the buffer
+    assert store.read("geo.public_bronze.scalars").count() == 1
+    bronze_batch(spark, store, ledger, batch, lambda rows: sent.extend(rows.collect()))
+    assert [r["key"] for r in sent] == ["b1"]
+    said = json.loads(sent[0]["value"])
+    assert said["format"] == "PARQUET" and said["load_date"] == str(spark.sql("SELECT current_date()").first()[0])
+    assert len(letters) == 400 and json.loads(letters[0]["value"])["original_payload"].startswith("bad")
+
+
+def test_buffers_of_several_load_days(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path / "lake"), buckets=4)
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    fqn = "geo.public_bronze.scalars"
+    rows = spark.createDataFrame(
+        [("old", 1, 10, 20), ("new", 2, 11, 31), ("old", 3, 12, 31)], "_extract_buffer_id string, after_id long, _source_lsn long, _day int"
+    ).selectExpr(
+        "*", "after_id AS before_id", "timestamp'2026-05-31' AS after_updated_at", "'c' AS _op", "0L AS _ts_ms", "2026 AS _year", "5 AS _month"
+    )
+    store.create_append(fqn, rows)
+    for loads in (
+        [("new", date(2026, 5, 31), 1), ("old", date(2026, 5, 31), 2)],  # not all rows of "old" are there
+        [("new", date(2026, 5, 31), 1)],  # nothing known of "old"
+        [("new", date(2026, 5, 31), 1), ("old", date(2026, 5, 20), 1), ("old", date(2026, 5, 31), 1)],
+    ):
+        transform_buffers(spark, store, fqn, ["old", "new"], ScdSpec(), ledger, loads=loads)
+        assert sorted(r[0] for r in store.read(TYPE2).select("id").collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="none"):
+        transform_buffers(spark, store, fqn, ["new", "none"], ScdSpec(), ledger)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.envelopes import V1, V2, V3, envelope, write_lines
 from tidemark.functions.connect import row_schema
-from tidemark.operators.evolve import SchemaIncompatibleError
+from tidemark.operators.evolve import SILVER, SchemaIncompatibleError, desired_columns, plan_evolution
 from tidemark.plans.bronze import ingest_bronze
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.silver import rebuild_silver, transform_buffers
@@ -275,3 +275,22 @@ def test_reading_by_the_declared_schema_alone(lake):
     assert lake.rows(TYPE2, "id", "name", "_valid_from", "_is_deleted") == [
         (1, "one", "2026-05-31 02:27:24.24287", True)
     ]
+
+
+def test_interrupted_rewrite_is_finished_with_its_schema(lake, monkeypatch):
+    store, fqn = lake.store, "geo.public_silver.texts_type2"
+    rows = lake.spark.createDataFrame([(1, "2026-05-31 01:00:00")], "id long, at string")
+    monkeypatch.setattr(store, "_apply", lambda *_: None)
+    store.replace_keys(fqn, rows, rows, ["id"])  # stopped before anything is in place
+    assert not store.exists(fqn)
+    monkeypatch.undo()
+    store.recover(fqn)
+    assert store.read(fqn).count() == 1
+    stored = rows.withColumn("at", F.col("at").cast("timestamp"))
+    plan = plan_evolution(fqn, store.schema(fqn), desired_columns(stored.schema, {}, SILVER))
+    monkeypatch.setattr(store, "_apply", lambda *_: None)
+    store.evolve(fqn, plan)
+    assert store.read(fqn).first()["at"] == "2026-05-31 01:00:00"
+    monkeypatch.undo()
+    store.recover(fqn)
+    assert dict(store.read(fqn).dtypes)["at"] == "timestamp" and store.read(fqn).count() == 1

@@ -110,3 +110,15 @@ def test_buffers_one_by_one_equal_one_batch(spark, seed, in_order, hot_rows):
         silver = spark.createDataFrame(after.collect(), after.schema)
     assert rows_of(silver) == expected(seen)
     assert rows_of(build_type2(spark.createDataFrame(seen, SCHEMA), spec)) == expected(seen)
+
+
+def test_copies_that_arrived_alike_count_the_same_at_any_threshold(spark):
+    rows = [(1, f"{c}{i}", DAY0 + timedelta(days=i % 7), "u", i, 0, "b", f"j{c}") for i in range(300) for c in "xy"]
+    changes = spark.createDataFrame(rows, SCHEMA)
+    for arrival in ((), PLAIN.arrival[:1]):
+        found = []
+        for seed, hot_rows in ((3, 10**9), (5, 50)):
+            spec = ScdSpec(arrival=arrival, hot_rows=hot_rows)
+            got = build_type2(changes.repartition(seed), spec)
+            found.append(sorted((tuple(map(str, r)) for r in got.select(sorted(got.columns)).collect())))
+        assert found[0] == found[1]

@@ -7,60 +7,51 @@ import logging
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tidemark.spec import AFTER_PREFIX, BEFORE_PREFIX, ScdSpec
+from tidemark.spec import AFTER_PREFIX, BEFORE_PREFIX, SOURCE_PREFIX, ScdSpec
 
 log = logging.getLogger(__name__)
 
-# Envelope fields that become columns.
-ROW_IMAGES = ("before", "after")
-SOURCE = "source"
+BEFORE, AFTER, PAYLOAD = ("payload", "before"), ("payload", "after"), ("payload",)
+# Parts of an envelope, and what the columns made of their fields begin with.
+COLUMNS_OF = {BEFORE: BEFORE_PREFIX, AFTER: AFTER_PREFIX, ("payload", "source"): SOURCE_PREFIX, PAYLOAD: "_", ("extract",): "_"}
 METADATA_FIELDS = ("op", "transaction", "ts_ms", "ts_ns", "ts_us")
-EXTRACT = "extract"
 
 
-def _metadata_name(name: str) -> str:
-    return name if name.startswith("_") else f"_{name}"
-
-
-def _struct_field(schema: T.StructType, name: str) -> T.StructType | None:
-    if name not in schema.fieldNames():
-        return None
-    data_type = schema[name].dataType
-    return data_type if isinstance(data_type, T.StructType) else None
+def _type_at(schema: T.DataType | None, path: tuple[str, ...]) -> T.DataType | None:
+    for name in path:
+        inside = isinstance(schema, T.StructType) and name in schema.fieldNames()
+        schema = schema[name].dataType if inside else None
+    return schema
 
 
 def flatten_envelope(raw: DataFrame) -> DataFrame:
     """One narrow projection: ``before_*``, ``after_*``, ``_source_*``, event metadata, extract lineage.
 
-    An image whose type is not a struct (every value null, so the reader could not infer it) yields typed
-    nulls with the other image's fields. Columns come out in the order of the envelope's own schema.
+    An image whose type is not a struct (every value null, so the reader could not infer it) takes the shape of
+    the other image, as typed nulls; a part that is no struct otherwise has no columns.
     """
-    payload = raw.schema["payload"].dataType
-    row_type = _struct_field(payload, "after") or _struct_field(payload, "before")
-    columns: list[Column] = []
-    for field in payload.fields:
-        struct = field.dataType if isinstance(field.dataType, T.StructType) else None
-        path = f"payload.`{field.name}`"
-        if field.name in ROW_IMAGES:
-            if struct is None and row_type is None:
-                log.warning("no row image to expand in payload.%s", field.name)
-                continue
-            for nested in (struct or row_type).fields:
-                value = F.col(f"{path}.`{nested.name}`") if struct else F.lit(None).cast(nested.dataType)
-                columns.append(value.alias(f"{field.name}_{nested.name}"))
-        elif field.name == SOURCE:
-            if struct is None:
-                log.warning("payload.source is %s, not a struct; skipped", field.dataType.simpleString())
-                continue
-            columns += [F.col(f"{path}.`{n.name}`").alias(f"_source_{n.name}") for n in struct.fields]
-        elif field.name in METADATA_FIELDS:
-            columns.append(F.col(path).alias(_metadata_name(field.name)))
-    extract = _struct_field(raw.schema, EXTRACT)
-    if extract is not None:
-        columns += [
-            F.col(f"{EXTRACT}.`{n.name}`").alias(_metadata_name(n.name)) for n in extract.fields
-        ]
-    return raw.select(*columns)
+    types = {path: _type_at(raw.schema, path) for path in COLUMNS_OF}
+    structs = {path: t for path, t in types.items() if isinstance(t, T.StructType)}
+    image = structs.get(AFTER, structs.get(BEFORE, T.StructType()))
+    shapes = structs | {path: image for path in (BEFORE, AFTER) if types[path] is not None and path not in structs}
+    empty = [".".join(path) for path, t in types.items() if t is not None and not shapes.get(path)]
+    if empty:
+        log.warning("no fields to expand in %s", ", ".join(empty))
+
+    def column(path: tuple[str, ...], field: T.StructField) -> Column:
+        prefix = COLUMNS_OF[path]
+        name = field.name if prefix == "_" and field.name.startswith("_") else prefix + field.name
+        full = ".".join(f"`{part}`" for part in (*path, field.name))
+        return (F.col(full) if path in structs else F.lit(None).cast(field.dataType)).alias(name)
+
+    return raw.select(
+        *(
+            column(path, field)
+            for path in COLUMNS_OF
+            for field in shapes.get(path, T.StructType()).fields
+            if path != PAYLOAD or field.name in METADATA_FIELDS
+        )
+    )
 
 
 def is_delete(spec: ScdSpec) -> Column:

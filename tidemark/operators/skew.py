@@ -1,7 +1,7 @@
 """Splitting hot keys so that no window group holds an unbounded share of the rows.
 
-A window over ``key`` puts a whole key into one task. Keys too large for that are found with a fixed-size
-sketch, range-partitioned by ``(key, order)`` into chunks, and worked on per ``(key, chunk)``. What crosses
+A window over ``key`` puts a whole key into one task. Keys too large for that are found by counting,
+range-partitioned by ``(key, order)`` into chunks, and worked on per ``(key, chunk)``. What crosses
 a chunk boundary is carried over a small relation with a few rows per chunk.
 """
 
@@ -18,13 +18,8 @@ from tidemark.spec import RECORD_COUNT, RECORD_NUMBER, ScdSpec
 
 CHUNK = "_chunk"
 
-# Sketch sizes: a key with more than 3.5/SKETCH_ITEMS of all rows is always seen; at most SKETCH_TOP
-# keys are reported. SKETCH_FAN groups merge the per-task sketches before the last step merges them.
-SKETCH_ITEMS = 20_000
-SKETCH_TOP = 5_000
-SKETCH_FAN = 512
-# Below this estimated size per row of the hot threshold, input is too small to hold a hot key.
-BYTES_PER_ROW = 8
+# Relations with a few rows per chunk and hot key are broadcast only up to so many rows.
+BROADCAST_ROWS = 500_000
 
 
 def key_hash(keys) -> Column:
@@ -33,16 +28,25 @@ def key_hash(keys) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of the hot keys (at most ``SKETCH_TOP``) and the number of chunks their rows fill."""
+    """Hashes of the hot keys (a written table), their number, and the number of chunks their rows fill."""
 
-    hashes: tuple[int, ...]
+    hashes: DataFrame
+    keys: int
     chunks: int
 
     def rows(self, df: DataFrame, keys) -> DataFrame:
-        return df.where(key_hash(keys).isin(*self.hashes))
+        return self._split(df, keys, "left_semi")
 
     def others(self, df: DataFrame, keys) -> DataFrame:
-        return df.where(~key_hash(keys).isin(*self.hashes))
+        return self._split(df, keys, "left_anti")
+
+    def _split(self, df: DataFrame, keys, how: str) -> DataFrame:
+        hashes = F.broadcast(self.hashes) if self.keys <= BROADCAST_ROWS else self.hashes
+        return df.withColumn("_hash", key_hash(keys)).join(hashes, "_hash", how).drop("_hash")
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """A relation of at most three rows per chunk and hot key, marked for broadcast if that is few."""
+        return F.broadcast(df) if 3 * (self.chunks + self.keys) <= BROADCAST_ROWS else df
 
     def chunked(self, rows: DataFrame, keys, *order: str) -> DataFrame:
         """The hot rows, stored with a chunk number that rises along ``(key, order)``.
@@ -54,46 +58,22 @@ class HotKeys:
 
 
 def find_hot_keys(inputs: DataFrame | list[DataFrame], keys, spec: ScdSpec) -> HotKeys | None:
-    """Keys too large for one task in the union of the inputs, or None.
+    """Keys with more than ``spec.hot_rows`` rows in the union of the inputs, or None.
 
-    Reads only the key columns and shuffles only sketches of fixed size. Hash collisions merely make a
-    further key count as hot, which changes where its rows are processed but not what comes out.
+    Rows are counted first, which reads no column of a parquet scan; only inputs with enough of them are counted by
+    key, on a hash of it and combined before the shuffle. Hash collisions merely make a further key count as hot, which
+    changes where its rows are processed but not what comes out.
     """
     inputs = [inputs] if isinstance(inputs, DataFrame) else inputs
-    if _surely_small(inputs, spec):
-        return None
     hashes = reduce(DataFrame.union, (df.select(key_hash(keys).alias("_hash")) for df in inputs))
-    partial = (
-        hashes.select("_hash", (F.spark_partition_id() % SKETCH_FAN).alias("_fan"))
-        .groupBy("_fan")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k_accumulate(_hash, {SKETCH_ITEMS})").alias("sketch"),
-        )
-    )
-    found = (
-        partial.agg(
-            F.sum("rows").alias("rows"),
-            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
-        )
-        .select("rows", F.expr(f"approx_top_k_estimate(sketch, {SKETCH_TOP})").alias("top"))
-        .first()
-    )
-    total = found["rows"] or 0
-    if total <= spec.hot_rows:
+    if hashes.count() <= spec.hot_rows:
         return None
-    threshold = max(spec.hot_rows, total // SKETCH_TOP)
-    hot = [(row["item"], row["count"]) for row in found["top"] if row["count"] > threshold]
-    if not hot:
+    counted = hashes.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    hot = written(counted.where(F.col("_rows") > spec.hot_rows))
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    if not found["keys"]:
         return None
-    chunks = min(spec.max_chunks, -(-sum(count for _, count in hot) // spec.hot_rows))
-    return HotKeys(tuple(item for item, _ in hot), max(2, chunks))
-
-
-def _surely_small(inputs: list[DataFrame], spec: ScdSpec) -> bool:
-    """Whether the planner's size estimates alone rule out a key worth splitting; saves the sketch pass."""
-    plans = (df._jdf.queryExecution().optimizedPlan() for df in inputs)
-    return sum(int(str(plan.stats().sizeInBytes())) for plan in plans) < spec.hot_rows * BYTES_PER_ROW
+    return HotKeys(hot.select("_hash"), found["keys"], max(2, -(-found["rows"] // spec.hot_rows)))
 
 
 def null_safe(left: DataFrame, right: DataFrame, names) -> Column:
@@ -118,7 +98,7 @@ def with_ordinals(
     chunked = hot.chunked(hot.rows(df, keys), keys, *order)
     local = local_ordinals(chunked, [*keys, CHUNK], order, number, count)
     offsets = chunk_offsets(chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows")), keys)
-    return cold.unionByName(add_offsets(local, offsets, keys, number, count).select(*cold.columns))
+    return cold.unionByName(add_offsets(local, hot.small(offsets), keys, number, count).select(*cold.columns))
 
 
 def local_ordinals(df: DataFrame, group, order, number: str, count: str) -> DataFrame:
@@ -141,11 +121,10 @@ def chunk_offsets(chunks: DataFrame, keys) -> DataFrame:
 
 
 def add_offsets(local: DataFrame, offsets: DataFrame, keys, number: str, count: str) -> DataFrame:
-    small = F.broadcast(offsets)
-    joined = local.join(small, null_safe(local, small, [*keys, CHUNK]), "inner")
+    joined = local.join(offsets, null_safe(local, offsets, [*keys, CHUNK]), "inner")
     kept = [local[c] for c in local.columns if c not in (number, count, CHUNK)]
     return joined.select(
         *kept,
-        (local[number] + small["_before"]).cast("int").alias(number),
-        small["_all"].cast("int").alias(count),
+        (local[number] + offsets["_before"]).cast("int").alias(number),
+        offsets["_all"].cast("int").alias(count),
     )

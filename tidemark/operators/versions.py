@@ -1,7 +1,7 @@
 """The silver type-2 rule as one set-based plan.
 
 Facts of a key are its change events by sequence number; of several copies of one event the first to arrive
-counts. Walked in sequence order:
+counts, and of those that arrived alike the one with the smallest hash. Walked in sequence order:
 
 * an upsert opens a version; the version in force ends one microsecond before it;
 * an upsert with the stamp of the version in force only refreshes that version's lineage;
@@ -43,6 +43,7 @@ DELETES = "_deletes"
 ENDS_AT = "_ends_at"
 SEEN = "_seen"
 TAIL = "_tail"
+TIE = "_tie"
 HAS_PREVIOUS = "_has_previous"
 HAS_NEXT = "_has_next"
 NEXT_DELETES = "_next_deletes"
@@ -131,11 +132,11 @@ def _tail_columns(columns, spec: ScdSpec) -> list[str]:
 
 def _runs(events: DataFrame, group: list[str], spec: ScdSpec) -> DataFrame:
     """One row per run: the first event's image, and what the last event adds (lineage, end, sequence)."""
-    arrival = spec.arrival_in(events.columns)
+    arrival = [*spec.arrival_in(events.columns), TIE]
     ordered = Window.partitionBy(*group).orderBy(spec.order_col, *arrival)
-    copies = Window.partitionBy(*group, spec.order_col).orderBy(*(arrival or [spec.order_col]))
+    copies = Window.partitionBy(*group, spec.order_col).orderBy(*arrival)
     # Shuffled by the key up front; without this the copies window would add an exchange of its own.
-    facts = events.repartition(*group).withColumns(
+    facts = events.repartition(*group).withColumn(TIE, _image_hash(events, spec)).withColumns(
         {name: F.first(name).over(copies) for name in (DELETES, spec.change_col, ENDS_AT)}
     )
     shape = _shape(spec)
@@ -154,7 +155,17 @@ def _runs(events: DataFrame, group: list[str], spec: ScdSpec) -> DataFrame:
         )
         for name in _tail_columns(events.columns, spec)
     }
-    return ends.withColumns(tail).where(F.col("_starts")).drop("_starts", "_stops", ENDS_AT, SEEN)
+    return ends.withColumns(tail).where(F.col("_starts")).drop("_starts", "_stops", ENDS_AT, SEEN, TIE)
+
+
+def _image_hash(events: DataFrame, spec: ScdSpec) -> Column:
+    """Tells copies of one event apart that arrived alike: the same one counts however rows are dealt out."""
+
+    def hashable(field) -> Column:
+        kind = field.dataType.simpleString()
+        return F.to_json(F.struct(field.name)) if "map<" in kind or "variant" in kind else F.col(field.name)
+
+    return F.xxhash64(*(hashable(f) for f in events.schema.fields if f.name not in (*spec.keys, spec.order_col, CHUNK)))
 
 
 def _as_next(spec: ScdSpec, tail: str = TAIL) -> dict[str, Column]:
@@ -224,7 +235,7 @@ def _hot_versions(events: DataFrame, keys: list[str], hot: HotKeys, spec: ScdSpe
     fixes = edges.where("_starts").select(
         *keys, order, F.lit(True).alias("_fixed"), *(f"_real{name}" for name in corrected)
     )
-    small = F.broadcast(fixes)
+    small = hot.small(fixes)
     # An edge without a correction continues a run of an earlier chunk.
     joined = runs.join(small, null_safe(runs, small, [*keys, order]), "left").where(
         ~runs["_edge"] | small["_fixed"].isNotNull()
@@ -247,25 +258,27 @@ def _hot_versions(events: DataFrame, keys: list[str], hot: HotKeys, spec: ScdSpe
         ).alias("_rows")
     )
     local = local_ordinals(_finish(linked, spec), group, [order], RECORD_NUMBER, RECORD_COUNT)
-    return add_offsets(local, chunk_offsets(sizes, keys), keys, RECORD_NUMBER, RECORD_COUNT)
+    return add_offsets(local, hot.small(chunk_offsets(sizes, keys)), keys, RECORD_NUMBER, RECORD_COUNT)
 
 
 def _without_copies(events: DataFrame, keys: list[str], spec: ScdSpec) -> DataFrame:
-    """First copy of each event, an upsert with the last copy's lineage.
+    """First copy of each event, with the last copy's sequence mark and, if an upsert, its lineage.
 
     A partial aggregate, so the copies of one event never pile up in one task.
     """
     arrival = spec.arrival_in(events.columns)
     lineage = spec.lineage_in(events.columns)
     others = [c for c in events.columns if c not in keys and c != spec.order_col]
-    arrived = F.struct(*arrival) if arrival else F.xxhash64(*others)
+    arrived = F.struct(*arrival, _image_hash(events, spec))
     first = events.groupBy(*keys, spec.order_col).agg(
         F.min_by(F.struct(*others), arrived).alias("_first"),
-        *([F.max_by(F.struct(*lineage), arrived).alias("_last")] if lineage else []),
+        F.max_by(F.struct(*lineage, SEEN), arrived).alias("_last"),
     )
     image = F.col("_first")
 
     def value(name: str) -> Column:
+        if name == SEEN:
+            return F.col("_last")[SEEN]
         if name in lineage:
             return F.when(image[DELETES], image[name]).otherwise(F.col("_last")[name])
         return image[name]

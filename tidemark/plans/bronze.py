@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,14 @@ class BronzeWrite:
     schema_id: str | None
 
 
+class LoadedError(Exception):
+    """The rows are in the table; something after that failed. Loading the files again would double them."""
+
+    def __init__(self, write: BronzeWrite):
+        super().__init__(f"{write.fqn} has the rows, but what belongs to them could not be recorded")
+        self.write = write
+
+
 def ingest_bronze(
     spark: SparkSession,
     store,
@@ -74,6 +83,14 @@ def ingest_bronze(
 
     rows, corrupt = seen.get["rows"] - seen.get["corrupt"], seen.get["corrupt"]
     lost_rows = losses.get["rows"] if lost is not None else 0
+    try:
+        return _recorded(ledger, store, target, source_fqn, raw, damaged, rows, corrupt, lost_rows, desired, table_schema)
+    except Exception as error:
+        raise LoadedError(BronzeWrite(target, rows, corrupt, lost_rows, None)) from error
+
+
+def _recorded(ledger, store, target, source_fqn, raw, damaged, rows, corrupt, lost_rows, desired, table_schema) -> BronzeWrite:
+    """Dead letters and schema version of rows that have been loaded."""
     if corrupt:
         why = F.when(F.col("payload").isNull(), "line is not a change envelope").otherwise(
             "a field of the line does not fit the schema"
@@ -117,8 +134,8 @@ def bronze_registration(flush: dict, write: BronzeWrite, rows: int, store_root:
     }
 
 
-def table_updated(flush: dict, write: BronzeWrite, store, catalog: str | None = None, table_format: str = "ICEBERG") -> dict:
-    """Notification that a bronze table has grown by one buffer."""
+def table_updated(flush: dict, write: BronzeWrite, store, catalog: str | None = None, loaded_on: date | None = None, rows: int | None = None) -> dict:
+    """Notification that a bronze table has grown by one buffer: by how many rows, in the partition of which day."""
     passed_on = (
         "source_instance_name", "source_database_name", "source_schema_name", "source_table_name", "raw_file_path",
         "raw_file_size", "extract_job_id", "extract_buffer_id", "extract_type", "extract_start_at", "extract_end_at",
@@ -130,10 +147,12 @@ def table_updated(flush: dict, write: BronzeWrite, store, catalog: str | None =
         "write_type": BRONZE_WRITE,
         "table_fqn": write.fqn,
         "table_path": store.path(write.fqn),
-        "format": table_format,
+        "format": getattr(store, "table_format", "parquet").upper(),
         "catalog_name": catalog,
         "database_name": flush.get("source_database_name"),
         "namespace_name": bronze_namespace(schema_name) if schema_name else None,
         "table_name": flush.get("source_table_name"),
         "warehouse_path": getattr(store, "root", None),
+        "load_date": loaded_on,
+        "write_row_count": rows,
     }

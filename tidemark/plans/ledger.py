@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import traceback
+from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.naming import UNKNOWN, is_present
-from tidemark.sources.messages import DEAD_LETTER, RUN_METRIC, TABLE_SCHEMA, TABLE_WRITE
+from tidemark.sources.messages import DEAD_LETTER, RUN_METRIC, TABLE_SCHEMA, TABLE_WRITE, to_messages
 
 log = logging.getLogger(__name__)
 
@@ -44,9 +45,11 @@ def wrap_schema(schema_json: str) -> str:
 class Ledger:
     """Append-only tables below one folder. Audit rows are best effort; dead letters are not."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, letters: Callable[[DataFrame], None] | None = None):
+        """``letters`` also gets dead letters, as rows of ``key`` and ``value``: a topic, for instance."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.letters = letters
 
     def read(self, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -57,7 +60,10 @@ class Ledger:
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
-        rows.select(*columns).write.mode("append").parquet(f"{self.root}/{name}")
+        rows = rows.select(*columns)
+        rows.write.mode("append").parquet(f"{self.root}/{name}")
+        if name == "dead_letters" and self.letters is not None:
+            self.letters(to_messages(rows, "table_identity"))
 
     def record(self, name: str, rows: list[dict]) -> None:
         schema = TABLES[name]

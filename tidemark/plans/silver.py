@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -29,7 +30,7 @@ from tidemark.operators.silver import ensure_layout, type1_of_complete
 from tidemark.operators.versions import build_type2
 from tidemark.plans.ledger import Ledger, now, schema_text
 from tidemark.sources.messages import TYPE1_WRITE, TYPE2_WRITE, UPDATED_TOPIC, json_text
-from tidemark.sources.tables import buffer_rows
+from tidemark.sources.tables import BUFFER, buffer_rows
 from tidemark.spec import (
     IS_DELETED,
     LAST_SEEN,
@@ -63,42 +64,51 @@ def transform_buffers(
     spec: ScdSpec,
     ledger: Ledger,
     message: dict | None = None,
-    load_dates: Iterable[tuple] | None = None,
+    loads: Iterable[tuple[str, date, int]] | None = None,
 ) -> SilverWrite | None:
     """Apply one or more extract buffers of a bronze table to its two silver tables.
 
     Keys are extended from their own silver rows; bronze is read beyond the buffers only if some key got
-    events out of order. Running a buffer again changes nothing. ``load_dates`` (year, month, day) are where the
-    buffers should be; the other partitions are read only if they are not there.
+    events out of order. Running a buffer again changes nothing. ``loads`` (buffer, load date, rows) say where
+    bronze holds the buffers; unless they name every buffer, and its rows are there, all partitions are searched.
+    A buffer that is nowhere is an error.
     """
     buffers = [b for b in ([buffers] if isinstance(buffers, str) else list(buffers or [])) if is_present(b)]
     if not buffers:
         log.warning("%s: no extract buffer named; nothing to do", bronze_table)
         return None
     with scratch_scope(spark):
-        return _transform(store, bronze_table, buffers, spec, ledger, message or {}, load_dates)
+        return _transform(store, bronze_table, buffers, spec, ledger, message or {}, loads)
 
 
-def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates) -> SilverWrite:
+def _transform(store, bronze_table, buffers, spec, ledger, message, loads) -> SilverWrite:
     type2, type1 = silver_fqn(bronze_table, TYPE2_SUFFIX), silver_fqn(bronze_table, TYPE1_SUFFIX)
     store.recover(type2)
     store.recover(type1)
     bronze = store.read(bronze_table)
     bucket = store.bucket_of(type2, spec.keys)
-    for dates in (load_dates, None) if load_dates else (None,):
+    announced: dict[str, int] = {}
+    days = set()
+    for buffer, day, rows in loads or ():
+        announced[buffer] = max(rows, announced.get(buffer, 0))
+        days.add((day.year, day.month, day.day))
+    for dates in (sorted(days), None) if announced.keys() >= set(buffers) else (None,):
         changes = change_image(buffer_rows(bronze, buffers, dates), spec)
-        # One narrow pass; the set holds at most one number per bucket of the table.
-        counts = changes.agg(
+        # One narrow pass; a row per buffer of the batch, a set with at most one number per bucket of the table.
+        counts = changes.groupBy(BUFFER).agg(
             F.count(F.lit(1)).alias("rows"),
             F.count(F.when(~has_key(spec), 1)).alias("keyless"),
             F.collect_set(F.when(has_key(spec), F.lit(-1) if bucket is None else bucket)).alias("buckets"),
-        ).first()
-        if counts["rows"]:
+        ).collect()
+        found = {r[BUFFER]: r["rows"] for r in counts}
+        if dates and all(found.get(b, 0) >= announced[b] for b in buffers):
             break
-    else:
-        raise ValueError(f"no bronze rows for buffers {buffers} in {bronze_table}")
-    concerned = None if bucket is None else counts["buckets"]
-    if counts["keyless"]:
+    absent = [b for b in buffers if b not in found and announced.get(b) != 0]
+    if absent or not found:
+        raise ValueError(f"no bronze rows for buffers {absent or buffers} in {bronze_table}")
+    concerned = None if bucket is None else sorted({b for r in counts for b in r["buckets"]})
+    keyless = sum(r["keyless"] for r in counts)
+    if keyless:
         lost = changes.where(~has_key(spec)).withColumn("_payload", json_text(F.struct("*")))
         why = F.lit("change without key or sequence number")
         ledger.reject(lost, "_payload", UPDATED_TOPIC, "KeylessChange", why, bronze_table)
@@ -116,38 +126,36 @@ def _transform(store, bronze_table, buffers, spec, ledger, message, load_dates)
     own = set(changes.columns)
     changes = prepared(changes)
     silver = store.read(type2, concerned) if known else None
-    state = key_state(changes, silver, spec).persist()
-    try:
-        rebuilt = known and not state.where(LATE).isEmpty()
-        everything = prepared(change_image(bronze, spec)) if rebuilt else None
-        delta = extend_type2(state, changes, silver, everything, spec)
-        if rebuilt:
-            delta = _with_silver_only(delta, silver, own)
-        seen = Observation()
-        delta = with_transformed_at(delta).observe(
-            seen,
-            F.count(F.lit(1)).alias("type2"),
-            F.count(F.when(F.col(RECORD_NUMBER) == F.col(RECORD_COUNT), 1)).alias("type1"),
-        )
-        # Stored once: it feeds both tables, and lost executors do not make it be computed again.
-        delta = written(delta)
-        if known:
-            _evolve_to(store, type2, delta)
-        started = now()
-        store.replace_keys(type2, delta, state, spec.keys, [VERSION_KEY], concerned)
-        finished = now()
-        _register(store, ledger, message, type2, TYPE2_WRITE, seen.get["type2"], started, finished, buffers)
-        latest = type1_of_complete(delta)
-        if store.exists(type1):
-            _evolve_to(store, type1, latest)
-        started = now()
-        reusable = concerned if store.same_buckets(type1, type2) else None
-        store.replace_keys(type1, latest, state, spec.keys, None, reusable)
-        finished = now()
-        _register(store, ledger, message, type1, TYPE1_WRITE, seen.get["type1"], started, finished, buffers)
-    finally:
-        state.unpersist()
-    return SilverWrite(type2, type1, seen.get["type2"], seen.get["type1"], counts["keyless"], rebuilt)
+    # Stored: it is used after the tables it is computed from have been replaced.
+    state = written(key_state(changes, silver, spec))
+    rebuilt = known and not state.where(LATE).isEmpty()
+    everything = prepared(change_image(bronze, spec)) if rebuilt else None
+    delta = extend_type2(state, changes, silver, everything, spec)
+    if rebuilt:
+        delta = _with_silver_only(delta, silver, own)
+    seen = Observation()
+    delta = with_transformed_at(delta).observe(
+        seen,
+        F.count(F.lit(1)).alias("type2"),
+        F.count(F.when(F.col(RECORD_NUMBER) == F.col(RECORD_COUNT), 1)).alias("type1"),
+    )
+    # Stored once: it feeds both tables, and lost executors do not make it be computed again.
+    delta = written(delta)
+    if known:
+        _evolve_to(store, type2, delta)
+    started = now()
+    store.replace_keys(type2, delta, state, spec.keys, [VERSION_KEY], concerned)
+    finished = now()
+    _register(store, ledger, message, type2, TYPE2_WRITE, seen.get["type2"], started, finished, buffers)
+    latest = type1_of_complete(delta)
+    if store.exists(type1):
+        _evolve_to(store, type1, latest)
+    started = now()
+    reusable = concerned if store.same_buckets(type1, type2) else None
+    store.replace_keys(type1, latest, state, spec.keys, None, reusable)
+    finished = now()
+    _register(store, ledger, message, type1, TYPE1_WRITE, seen.get["type1"], started, finished, buffers)
+    return SilverWrite(type2, type1, seen.get["type2"], seen.get["type1"], keyless, rebuilt)
 
 
 def rebuild_silver(

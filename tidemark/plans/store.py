@@ -21,9 +21,14 @@ from tidemark.spec import DATE_PARTITIONS
 BUCKET = "_bucket"
 
 
+READY = "_ready.json"
+
+
 class FolderStore:
     """One folder per table under ``root/database/namespace/table``; a single writer per table."""
 
+    table_format = "parquet"
+
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -66,14 +71,15 @@ class FolderStore:
         versions = sorted(p for p in self._children(f"{self.path(fqn)}/_description") if p.endswith(".json"))
         return json.loads(self._read_text(versions[-1])) if versions else None
 
-    def _save_description(self, fqn: str, schema: T.StructType, partitions: list[str], keys: list[str]) -> None:
+    def _description(self, fqn: str, schema: T.StructType, partitions: list[str], keys: list[str]) -> dict:
+        return {
+            "schema": json.loads(schema.json()), "partitions": partitions, "keys": keys, "buckets": self.bucket_count(fqn)
+        }
+
+    def _save_description(self, fqn: str, description: dict) -> None:
         folder = f"{self.path(fqn)}/_description"
         number = len(self._children(folder)) + 1
-        buckets = (self.describe(fqn) or {}).get("buckets", self.buckets)
-        text = json.dumps(
-            {"schema": json.loads(schema.json()), "partitions": partitions, "keys": keys, "buckets": buckets}
-        )
-        self._write_text(f"{folder}/{number:08d}.json", text)
+        self._write_text(f"{folder}/{number:08d}.json", json.dumps(description))
 
     def exists(self, fqn: str) -> bool:
         return self.describe(fqn) is not None
@@ -109,7 +115,7 @@ class FolderStore:
         """Append rows, making the table first if it is new. No deduplication."""
         partitions = list(partitions)
         if not self.exists(fqn):
-            self._save_description(fqn, rows.schema, partitions, [])
+            self._save_description(fqn, self._description(fqn, rows.schema, partitions, []))
         rows.write.mode("append").partitionBy(*partitions).parquet(self.path(fqn))
 
     def bucket_count(self, fqn: str) -> int:
@@ -143,9 +149,9 @@ class FolderStore:
         bucket = self.bucket_of(fqn, keys)
         if not self.exists(fqn):
             content = rows.select("*", bucket)
-            staging = self._stage(fqn, content, [BUCKET])
-            self._save_description(fqn, rows.schema, [BUCKET], keys)
+            described = self._description(fqn, rows.schema, [BUCKET], keys)
         else:
+            described = self._known(fqn)
             stored = self._read_stored(fqn)
             if concerned is None:
                 # At most one value per bucket of the table comes back, whatever the number of keys.
@@ -154,8 +160,7 @@ class FolderStore:
                 touched.select(*keys), keys, "left_anti"
             )
             content = kept.unionByName(rows.select("*", bucket), allowMissingColumns=True)
-            staging = self._stage(fqn, content, [BUCKET])
-        self._apply(fqn, staging, depth=1)
+        self._apply(fqn, self._stage(fqn, content, described))
 
     def evolve(self, fqn: str, plan: Evolution) -> None:
         """Take over an evolved schema. Added and widened columns need no rewrite: files are read through the
@@ -165,6 +170,7 @@ class FolderStore:
             return
         self.recover(fqn)
         known = self._known(fqn)
+        described = self._description(fqn, plan.schema, known["partitions"], known["keys"])
         if plan.rewritten:
             old = self._read_stored(fqn)
             target = {f.name: f.dataType for f in plan.schema.fields}
@@ -176,20 +182,26 @@ class FolderStore:
                     for f in old.schema.fields
                 )
             )
-            staging = self._stage(fqn, content, known["partitions"])
-        self._save_description(fqn, plan.schema, known["partitions"], known["keys"])
-        if plan.rewritten:
-            self._apply(fqn, staging, depth=len(known["partitions"]))
+            self._apply(fqn, self._stage(fqn, content, described))
+        else:
+            self._save_description(fqn, described)
 
     # Staged replacement of partitions
 
-    def _stage(self, fqn: str, content: DataFrame, partitions: list[str]) -> str:
-        staging = f"{self.path(fqn)}/_staging/{uuid.uuid4().hex}"
+    def _stage(self, fqn: str, content: DataFrame, description: dict) -> str:
+        """Write new content, and last of all what the table is to be described by with it."""
+        staging, partitions = f"{self.path(fqn)}/_staging/{uuid.uuid4().hex}", description["partitions"]
         content.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(staging)
+        self._write_text(f"{staging}/{READY}", json.dumps(description))
         return staging
 
-    def _apply(self, fqn: str, staging: str, depth: int) -> None:
-        """Put every staged partition folder in place of the table's: metadata operations only."""
+    def _apply(self, fqn: str, staging: str) -> None:
+        """Put the staged description and every staged partition folder in place of the table's: metadata
+        operations only, which may be repeated after a stop anywhere between them."""
+        description = json.loads(self._read_text(f"{staging}/{READY}"))
+        if self.describe(fqn) != description:
+            self._save_description(fqn, description)
+        depth = len(description["partitions"])
         files, root = self._hadoop(staging)
         folders = [staging]
         for _ in range(depth):
@@ -205,10 +217,9 @@ class FolderStore:
 
     def recover(self, fqn: str) -> None:
         """Finish replacements that were completely written but not yet (fully) put in place."""
-        depth = len((self.describe(fqn) or {}).get("partitions", []))
         for staging in self._children(f"{self.path(fqn)}/_staging"):
-            if any(p.endswith("/_SUCCESS") for p in self._children(staging)):
-                self._apply(fqn, staging, depth)
+            if any(p.endswith(f"/{READY}") for p in self._children(staging)):
+                self._apply(fqn, staging)
 
 
 class CatalogStore:
@@ -217,7 +228,7 @@ class CatalogStore:
     def __init__(self, spark: SparkSession, catalog: str, provider: str):
         self.spark = spark
         self.catalog = catalog
-        self.provider = provider
+        self.provider = self.table_format = provider
 
     def name(self, fqn: str) -> str:
         return ".".join(f"`{part}`" for part in (self.catalog, *split_fqn(fqn)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-PLAIN = {"string": T.StringType, "bigint": T.LongType, "int": T.IntegerType, "timestamp": T.TimestampType}
+PLAIN = {"date": T.DateType, "string": T.StringType, "bigint": T.LongType, "int": T.IntegerType, "timestamp": T.TimestampType}
 
 
 def record(text: str) -> T.StructType:

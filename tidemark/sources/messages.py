@@ -22,7 +22,9 @@ TABLE_UPDATED = record(
     "source_instance_name string, source_database_name string, source_schema_name string, source_table_name string, "
     "raw_file_path string, raw_file_size bigint, extract_job_id string, extract_buffer_id string, "
     "extract_type string, extract_start_at timestamp, extract_end_at timestamp, key_schema string, "
-    "value_schema string, key_schema_id string, value_schema_id string, source_min_lsn bigint, source_max_lsn bigint"
+    "value_schema string, key_schema_id string, value_schema_id string, source_min_lsn bigint, source_max_lsn bigint, "
+    # Added here: the partition of the table that took the rows, and their number.
+    "load_date date, write_row_count bigint"
 )
 DEAD_LETTER = record(
     "original_topic string, original_partition int, original_offset bigint, failed_at timestamp, "
@@ -47,6 +49,7 @@ RUN_METRIC = record(
 )
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Kinds of writes and topics.
 BRONZE_WRITE = "bronze"
 TYPE1_WRITE = "silver_type_1"
 TYPE2_WRITE = "silver_type_2"
@@ -78,10 +81,7 @@ def file_messages(spark: SparkSession, directory: str, schema: T.StructType, fil
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(directory)
-        .select(
-            F.nullif(F.trim("value"), F.lit("")).alias("value"),
-            F.to_date(F.col("_metadata.file_modification_time")).alias("_sent_on"),
-        )
+        .select(F.nullif(F.trim("value"), F.lit("")).alias("value"))
     )
     return parse_messages(lines, schema)
 
@@ -97,7 +97,7 @@ def kafka_messages(
         .option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", records_per_batch)
         .load()
-        .select("value", F.to_date("timestamp").alias("_sent_on"), "partition", "offset")
+        .select("value", "partition", "offset")
     )
     return parse_messages(records, schema)
 
@@ -112,10 +112,10 @@ def message_key(buffer_id: Column, table_fqn: Column) -> Column:
     return F.when(present(buffer_id), buffer_id).otherwise(table_fqn)
 
 
-def to_messages(records: DataFrame) -> DataFrame:
+def to_messages(records: DataFrame, table: str = "table_fqn") -> DataFrame:
     """Records as key and JSON text, ready for a topic or a text file. Missing values are left out."""
     return records.select(
-        message_key(F.col("extract_buffer_id"), F.col("table_fqn")).alias("key"),
+        message_key(F.col("extract_buffer_id"), F.col(table)).alias("key"),
         json_text(F.struct("*")).alias("value"),
     )
 

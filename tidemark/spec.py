@@ -59,7 +59,6 @@ class ScdSpec:
     begin_of_time: str = BEGIN_OF_TIME
     end_of_time: str = END_OF_TIME
     hot_rows: int = 5_000_000
-    max_chunks: int = 8_192
 
     def lineage_in(self, columns) -> list[str]:
         return [c for c in self.lineage if c in columns]

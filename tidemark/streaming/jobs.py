@@ -2,22 +2,24 @@
 
 A notification is a control record of a few hundred bytes; a micro-batch brings at most as many as its source
 option allows, and those are what the driver looks at. The change data they name only ever moves between
-executors. Checkpoints replace committed offsets: a batch that fails is run again, buffers already registered
-are not loaded twice, and silver does not change when a buffer is applied twice.
+executors. Checkpoints replace committed offsets: a batch that fails is run again. A buffer is announced before it is
+registered as loaded, so that one that was loaded is never left unannounced; a stop in between loads its file again, and
+silver does not change when a buffer is applied twice.
 """
 
 from __future__ import annotations
 
 import logging
 from collections import defaultdict
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.connect import connect_fields, row_schema
 from tidemark.functions.naming import split_fqn, table_fqn_from_file_name
-from tidemark.plans.bronze import bronze_registration, ingest_bronze, table_updated
+from tidemark.plans.bronze import LoadedError, bronze_registration, ingest_bronze, table_updated
 from tidemark.plans.ledger import Ledger, schema_text
 from tidemark.plans.silver import transform_buffers
 from tidemark.sources.messages import (
@@ -41,14 +43,15 @@ def start_bronze(
     store,
     ledger: Ledger,
     inbox: str,
-    outbox: str,
+    outbox: str | Callable[[DataFrame], None],
     checkpoint: str,
     spec: ScdSpec = ScdSpec(),
     messages: DataFrame | None = None,
     once: bool = True,
     declared_only: bool = False,
 ) -> StreamingQuery:
-    """Stream flush notifications into bronze tables; announces each buffer in ``outbox``.
+    """Stream flush notifications into bronze tables; announces each buffer in ``outbox``: a folder for JSON
+    lines, or a function that writes rows of ``key`` and ``value``, to a topic for instance.
 
     ``declared_only``: read files by their notification's schema document alone. That spares the inference pass
     over the raw files, and fields the document does not name are not loaded.
@@ -87,12 +90,10 @@ def _start(messages: DataFrame, process, checkpoint: str, once: bool) -> Streami
 
 def _records(batch: DataFrame, ledger: Ledger, topic: str) -> list[dict]:
     """The batch's notifications; unreadable ones go to the dead letters."""
-    rows = [row.asDict() for row in batch.collect()]
-    good = [r for r in rows if r["_parsed"]]
-    for row in rows:
-        if not row["_parsed"]:
-            ledger.failed(ValueError("not a notification record"), topic, row, None)
-    return good
+    unreadable = batch.where(~F.col("_parsed"))
+    if not unreadable.isEmpty():
+        ledger.reject(unreadable, "_payload", topic, "ValueError", F.lit("not a notification record"), None)
+    return [row.asDict() for row in batch.where("_parsed").collect()]
 
 
 def bronze_batch(
@@ -100,11 +101,12 @@ def bronze_batch(
     store,
     ledger: Ledger,
     batch: DataFrame,
-    outbox: str,
+    outbox: str | Callable[[DataFrame], None],
     spec: ScdSpec = ScdSpec(),
     declared_only: bool = False,
 ) -> None:
-    flushes = _records(batch, ledger, FLUSH_TOPIC)
+    # A file that is named twice is loaded once.
+    flushes = list({f["raw_file_path"]: f for f in reversed(_records(batch, ledger, FLUSH_TOPIC))}.values())[::-1]
     if not flushes:
         return
     wanted = [f["raw_file_path"] for f in flushes]
@@ -159,36 +161,35 @@ def _load(spark, store, ledger, source, value_schema, schema, flushes, outbox, s
                 spark, store, paths, source, ledger, value_schema, schema, F.lit(loaded_at)
             )
             metric["rows"] = write.rows
+    except LoadedError as error:
+        ledger.failed(error, FLUSH_TOPIC, flushes[0], source)
+        write = error.write
     except Exception as error:
         if last_try:
             ledger.failed(error, FLUSH_TOPIC, flushes[0], source)
         return last_try
+    today = spark.range(1).select(*(f(F.lit(loaded_at)) for f in (F.year, F.month, F.dayofmonth))).first()
     counts = {flushes[0]["extract_buffer_id"]: write.rows}
     if len(flushes) > 1:
         ids = [f["extract_buffer_id"] for f in flushes]
-        today = spark.range(1).select(
-            *(f(F.lit(loaded_at)) for f in (F.year, F.month, F.dayofmonth))
-        ).first()
         summary = buffer_summary(buffer_rows(store.read(write.fqn), ids, [tuple(today)]), spec)
         counts = {r[BUFFER]: r["write_row_count"] for r in summary.collect()}
     table_schema = schema_text(store.schema(write.fqn))
     root = getattr(store, "root", None)
-    ledger.register_writes(
-        [bronze_registration(f, write, counts.get(f["extract_buffer_id"], 0), root, table_schema) for f in flushes]
-    )
-    announce(spark, [table_updated(f, write, store) for f in flushes], outbox)
+    rows = [counts.get(f["extract_buffer_id"], 0) for f in flushes]
+    announce(spark, [table_updated(f, write, store, None, date(*today), n) for f, n in zip(flushes, rows)], outbox)
+    ledger.register_writes([bronze_registration(f, write, n, root, table_schema) for f, n in zip(flushes, rows)])
     return True
 
 
-def announce(spark: SparkSession, notifications: list[dict], outbox: str) -> None:
-    """Publish table-updated records as JSON lines; best effort."""
-    try:
-        rows = [tuple(n.get(f.name) for f in TABLE_UPDATED.fields) for n in notifications]
-        to_messages(spark.createDataFrame(rows, TABLE_UPDATED)).select("value").coalesce(1).write.mode(
-            "append"
-        ).text(outbox)
-    except Exception:
-        log.exception("%d table-updated notifications could not be published", len(notifications))
+def announce(spark: SparkSession, notifications: list[dict], outbox: str | Callable[[DataFrame], None]) -> None:
+    """Publish table-updated records, keyed by buffer. A failure fails the batch: its buffers would be lost."""
+    rows = [tuple(n.get(f.name) for f in TABLE_UPDATED.fields) for n in notifications]
+    messages = to_messages(spark.createDataFrame(rows, TABLE_UPDATED)).coalesce(1)
+    if callable(outbox):
+        outbox(messages)
+    else:
+        messages.select("value").write.mode("append").text(outbox)
 
 
 def silver_batch(spark: SparkSession, store, ledger: Ledger, batch: DataFrame, spec: ScdSpec = ScdSpec()) -> None:
@@ -204,13 +205,13 @@ def silver_batch(spark: SparkSession, store, ledger: Ledger, batch: DataFrame, s
 
 def _apply(spark, store, ledger, table, group, spec, last_try) -> bool:
     buffers = [m["extract_buffer_id"] for m in group]
-    # Bronze is loaded just before it is announced; this prunes its partitions.
-    sent = {d for m in group if m.get("_sent_on") for d in (m["_sent_on"], m["_sent_on"] - timedelta(days=1))}
-    load_dates = [(d.year, d.month, d.day) for d in sorted(sent)]
+    # Where bronze holds the buffers, if every record says so; this prunes its partitions.
+    loads = [(m["extract_buffer_id"], m["load_date"], m["write_row_count"]) for m in group]
+    loads = loads if all(None not in load for load in loads) else None
     try:
         with ledger.observed("type2_dimension.process_record", table, ",".join(b for b in buffers if b)) as metric:
             write = transform_buffers(
-                spark, store, table, buffers, spec, ledger, group[-1], load_dates
+                spark, store, table, buffers, spec, ledger, group[-1], loads
             )
             if write is None:
                 metric["outcome"] = "skipped"

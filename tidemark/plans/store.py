@@ -160,7 +160,7 @@ class FolderStore:
                 touched.select(*keys), keys, "left_anti"
             )
             content = kept.unionByName(rows.select("*", bucket), allowMissingColumns=True)
-        self._apply(fqn, self._stage(fqn, content, described))
+        self._apply(fqn, self._stage(fqn, content, [BUCKET], described))
 
     def evolve(self, fqn: str, plan: Evolution) -> None:
         """Take over an evolved schema. Added and widened columns need no rewrite: files are read through the
@@ -182,15 +182,16 @@ class FolderStore:
                     for f in old.schema.fields
                 )
             )
-            self._apply(fqn, self._stage(fqn, content, described))
+            self._apply(fqn, self._stage(fqn, content, known["partitions"], described))
         else:
             self._save_description(fqn, described)
 
     # Staged replacement of partitions
 
-    def _stage(self, fqn: str, content: DataFrame, description: dict) -> str:
+    def _stage(self, fqn: str, content: DataFrame, partitions: list[str], description: dict | None = None) -> str:
         """Write new content, and last of all what the table is to be described by with it."""
-        staging, partitions = f"{self.path(fqn)}/_staging/{uuid.uuid4().hex}", description["partitions"]
+        description = description or self._known(fqn)
+        staging = f"{self.path(fqn)}/_staging/{uuid.uuid4().hex}"
         content.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(staging)
         self._write_text(f"{staging}/{READY}", json.dumps(description))
         return staging

@@ -22,10 +22,10 @@ TABLE_UPDATED = record(
     "source_instance_name string, source_database_name string, source_schema_name string, source_table_name string, "
     "raw_file_path string, raw_file_size bigint, extract_job_id string, extract_buffer_id string, "
     "extract_type string, extract_start_at timestamp, extract_end_at timestamp, key_schema string, "
-    "value_schema string, key_schema_id string, value_schema_id string, source_min_lsn bigint, source_max_lsn bigint, "
-    # Added here: the partition of the table that took the rows, and their number.
-    "load_date date, write_row_count bigint"
+    "value_schema string, key_schema_id string, value_schema_id string, source_min_lsn bigint, source_max_lsn bigint"
 )
+# As sent here: with the day whose partition took the rows, and their number.
+TABLE_LOADED = T.StructType([*TABLE_UPDATED.fields, *record("load_date date, write_row_count bigint").fields])
 DEAD_LETTER = record(
     "original_topic string, original_partition int, original_offset bigint, failed_at timestamp, "
     "exception_class string, exception_message string, exception_stack_trace string, extract_job_id string, "

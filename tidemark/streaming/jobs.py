@@ -26,7 +26,7 @@ from tidemark.sources.messages import (
     BRONZE_WRITE,
     FILE_FLUSH,
     FLUSH_TOPIC,
-    TABLE_UPDATED,
+    TABLE_LOADED,
     UPDATED_TOPIC,
     file_messages,
     to_messages,
@@ -75,7 +75,7 @@ def start_silver(
     once: bool = True,
 ) -> StreamingQuery:
     """Stream table-updated notifications into the silver tables."""
-    messages = file_messages(spark, inbox, TABLE_UPDATED) if messages is None else messages
+    messages = file_messages(spark, inbox, TABLE_LOADED) if messages is None else messages
 
     def process(batch: DataFrame, _: int) -> None:
         silver_batch(spark, store, ledger, batch, spec)
@@ -184,8 +184,8 @@ def _load(spark, store, ledger, source, value_schema, schema, flushes, outbox, s
 
 def announce(spark: SparkSession, notifications: list[dict], outbox: str | Callable[[DataFrame], None]) -> None:
     """Publish table-updated records, keyed by buffer. A failure fails the batch: its buffers would be lost."""
-    rows = [tuple(n.get(f.name) for f in TABLE_UPDATED.fields) for n in notifications]
-    messages = to_messages(spark.createDataFrame(rows, TABLE_UPDATED)).coalesce(1)
+    rows = [tuple(n.get(f.name) for f in TABLE_LOADED.fields) for n in notifications]
+    messages = to_messages(spark.createDataFrame(rows, TABLE_LOADED)).coalesce(1)
     if callable(outbox):
         outbox(messages)
     else:
@@ -206,7 +206,7 @@ def silver_batch(spark: SparkSession, store, ledger: Ledger, batch: DataFrame, s
 def _apply(spark, store, ledger, table, group, spec, last_try) -> bool:
     buffers = [m["extract_buffer_id"] for m in group]
     # Where bronze holds the buffers, if every record says so; this prunes its partitions.
-    loads = [(m["extract_buffer_id"], m["load_date"], m["write_row_count"]) for m in group]
+    loads = [(m["extract_buffer_id"], m.get("load_date"), m.get("write_row_count")) for m in group]
     loads = loads if all(None not in load for load in loads) else None
     try:
         with ledger.observed("type2_dimension.process_record", table, ",".join(b for b in buffers if b)) as metric:

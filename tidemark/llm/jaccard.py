@@ -8,7 +8,8 @@ documents last and shuffles the others by its own hash. Texts with equal sets fo
 2. One pass emits prefix tokens of each order as packed blocks, dealt by token, a class once per task.
 3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups are named by their smallest
    class, groups of one name are joined, and each gives one row per member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
-4. Pairs that sizes and parity sketches of the sets (512, then 4096 bits) do not rule out are verified on their whole texts.
+4. Pairs that sizes and parity sketches of the sets (512 bits, then a bit for each token) do not rule out are verified on their whole
+   texts, which are fetched for these pairs only.
 5. Large groups are mostly copies of one another: their members are verified against one of them (the one with the fewest tokens of its
    own), components are formed, then one member of each remaining component against another, until nothing new links. Pairs of
    members that are still in different components then go through step 4, so that no link is lost.
@@ -255,27 +256,44 @@ def _verified(width: int):
 
 
 def _wide_sketch(s: np.ndarray) -> bytes:
-    """As ``_sketch`` with 4096 bits, for large sets."""
-    bits = np.bincount((mixed(s ^ _SEEDS[-3]) & np.uint64(4095)).astype(np.int64), minlength=4096) & 1
+    """As ``_sketch`` with at least a bit for each token (a power of two, from 4096), for large sets."""
+    width = max(4096, 1 << (len(s) - 1).bit_length())
+    bits = np.bincount((mixed(s ^ _SEEDS[-3]) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits in which two wide sketches differ; the wider is folded to the width of the other (a parity of parities)."""
+    x, y = (np.frombuffer(v, np.uint64) for v in ((x, y) if len(x) <= len(y) else (y, x)))
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sieved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, 64) for c in ("w_a", "w_b"))
-        differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        both = zip(batch.column("w_a").to_pylist(), batch.column("w_b").to_pylist(), strict=True)
+        differ = np.fromiter((_differing(x, y) for x, y in both), np.int64, batch.num_rows)
         sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
         may = (100 + PERCENT) * differ <= (100 - PERCENT) * sizes
         yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) that link: by wide sketches first, then by the texts.
+def _looked_up(docs: DataFrame, nodes: DataFrame, width: int, what: str) -> DataFrame:
+    """``node`` and ``what`` of ``nodes`` (a written table of ``node, f1, f2, doc_id``): looked up by id, told apart from other rows of that id by fingerprint."""
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = _texts(docs, F.col("doc_id").cast("long").alias("_id")).join(sized(nodes), same).select("node", "f1", "f2", "text")
+    return written(rows.mapInArrow(_matching(width, what), f"node long, {_LOOKED_UP[what]}").dropDuplicates(["node"]))
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, wanted: DataFrame, sketches: DataFrame, width: int) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``) that link: by wide sketches first, then by texts, which only pairs that are left fetch.
 
     A node in many pairs is ``a``: adaptive execution splits it.
     """
-    wide = lambda x: texts.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"w_{x}"))
+    wide = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"w_{x}"))
     pairs = written(pairs.join(wide("b"), "b").join(wide("a"), "a").select("a", "b", "n_a", "n_b", "w_a", "w_b").mapInArrow(_sieved, "a long, b long"))
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = _looked_up(docs, written(wanted.join(needed, "node", "left_semi")), width, "text")
     of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     return written(pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified(width), "a long, b long"))
@@ -317,12 +335,11 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
     member = written(member.filter("order = 0").select(F.col("head").alias("token"), "a").distinct().join(sized(weight.select("a", "node", "part")), "a").select("token", "node", "part"))
     first = F.max_by("node", F.struct("part", -F.col("node")))  # of some members, the one to compare the others with
 
-    # Texts of all nodes that may be compared, looked up by id and told apart from other rows of that id by fingerprint.
+    # Wide sketches of all nodes that may be compared.
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(weight.select("node")).distinct()
     wanted = written(classes.join(wanted, "node", "left_semi").select("node", "f1", "f2", F.col("least").alias("doc_id")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    rows = _texts(docs, F.col("doc_id").cast("long").alias("_id")).join(sized(wanted), same).select("node", "f1", "f2", "text")
-    texts = written(rows.mapInArrow(_matching(width), "node long, n long, wide binary, text string").dropDuplicates(["node"]))
+    sketches = _looked_up(docs, wanted, width, "sketch")
+    verify = lambda p: _verify(p, docs, wanted, sketches, width)
 
     flat = weight.select(*(F.col(c) for c in detail))
     side = lambda x: flat.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in detail if c != "node"))
@@ -330,7 +347,7 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
     star = member.join(member.groupBy("token").agg(first.alias("c")), "token").filter("node <> c")
     star = possible(star.select(F.col("c").alias("a"), F.col("node").alias("b")).distinct())
     tried = written(pairs.union(star).distinct())
-    links = _verify(tried, texts, width)
+    links = verify(tried)
     group = components(links)
     while not member.isEmpty():
         placed = member.join(sized(group), "node", "left").select("token", "part", "node", F.coalesce("component", "node").alias("c"))
@@ -340,7 +357,7 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
         more = heads.join(heads.groupBy("token").agg(first.alias("a")), "token").filter("node <> a")
         more = possible(more.select("a", F.col("node").alias("b")).distinct())
         more = written(more.join(tried, ["a", "b"], "left_anti"))
-        fresh = None if more.isEmpty() else _verify(more, texts, width)
+        fresh = None if more.isEmpty() else verify(more)
         tried = written(tried.union(more))
         if fresh is None or fresh.isEmpty():
             break
@@ -353,7 +370,7 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
         near = (left.token == right.token) & (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & _may_link("a", "b")
         rest = written(left.join(right, near).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
-            group = components(written(links.union(_verify(rest, texts, width))))
+            group = components(written(links.union(verify(rest))))
 
     # Smallest id of each component, told to every class, then to every row.
     placed = classes.join(group, "node", "left").withColumn("c", F.coalesce("component", "node"))
@@ -365,16 +382,20 @@ def similar_documents(docs: DataFrame, width: int = 5, orders: int = 2, small_gr
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id"))
 
 
-def _matching(width: int):
+_LOOKED_UP = {"sketch": "n long, wide binary", "text": "text string"}
+
+
+def _matching(width: int, what: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = zip(batch.column("f1").to_pylist(), batch.column("f2").to_pylist(), strict=True)
             keep, n, wide = [], [], []
             for mark, s in zip(marks, shingle_sets(batch.column("text"), width), strict=True):
                 keep.append(mark == _fingerprint(s))
-                n.append(len(s))
-                wide.append(_wide_sketch(s))
-            columns = [batch.column("node"), pa.array(n, pa.int64()), pa.array(wide, pa.binary()), batch.column("text")]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "wide", "text"]).filter(pa.array(keep, pa.bool_()))
+                if what == "sketch":
+                    n.append(len(s))
+                    wide.append(_wide_sketch(s))
+            more = {"text": batch.column("text")} if what == "text" else {"n": pa.array(n, pa.int64()), "wide": pa.array(wide, pa.binary())}
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *more.values()], names=["node", *more]).filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -237,6 +237,31 @@ def test_decontamination(spark):
     assert 4 not in got and 5 not in got and (3 not in got or not got[3].slots_agree)
 
 
+def leaked(spark, items, texts):
+    from tidemark.llm.decontaminate import contaminated
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert len({(r.doc_id, r.item_id) for r in out}) == len(out)
+    return {r.doc_id: r for r in out}
+
+
+def test_decontamination_by_occurrence(spark):
+    item = "a boat takes 10 km of water to reach Alpha in 3 days and then 25 km more to Bruno where 40 people wait for 12 boats that carry 7 goods from Carla to Delta"
+    change = lambda *v: re.sub(r"\d+", lambda m, it=iter(v): str(next(it)), item)
+    one, two = change(11, 4, 26, 41, 13, 8), change(19, 5, 27, 42, 14, 9).replace("Alpha", "Omega")
+    stray = "they say that a boat takes 99 km of water to reach it"
+    long = lambda t: t.replace(" and then", " so they all tell us here and then")
+    conflict = item.replace("25 km", "31 km") + ". nothing else. " + item.replace("25 km", "32 km")
+    got = leaked(spark, [item], [one + ". and so on. " + two, item + ". " + stray, long(one) + ". and so on. " + long(two), stray, conflict])
+    assert set(got) == {0, 1, 2, 4} and all(got[i].slots_agree for i in got)
+    assert all(got[i].n_windows == got[i].item_windows for i in (0, 1, 4))
+    # One value of the item for two of the document in one occurrence: only windows with the item's own values or none.
+    twice = "from Alpha to it 10 km and then back to Alpha with 10 km to go until we see Alpha after 10 km of it"
+    bad = re.sub("10", lambda m, it=iter("123"): next(it), twice)
+    assert not leaked(spark, [twice], [bad])
+
+
 def test_mixing_meets_targets(spark, rows):
     from tidemark.llm import mixing
 

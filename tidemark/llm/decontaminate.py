@@ -1,22 +1,29 @@
 """Benchmark decontamination by templates: documents that repeat benchmark items, verbatim or with other numbers and names.
 
-**Template.** Numbers, quantities (a number and its unit) and names (capitalised words inside a sentence) become one placeholder each, typed by
-kind; other words are lower-cased, punctuation goes. Windows of ``width`` consecutive tokens are hashed and joined with the
-windows of all items; windows of fewer than ``width / 2`` plain words are no evidence. For matching windows the slots'
-values are compared: an item's value must stand for the same value of the document wherever it occurs. If it does, all
-matching windows count; if not, only those without slots. A document is contaminated by an item if at least ``evidence`` of its windows
-count (all, if the item has fewer).
+**Template.** White space is collapsed. Numbers, quantities (a number and its unit) and names (capitalised words inside a sentence) become one
+placeholder each, typed by kind; other words are lower-cased, punctuation goes. Windows of ``width`` consecutive tokens are hashed and joined with the
+windows of all items; template windows of fewer than ``width / 2`` plain words are no evidence. A second set of windows has no placeholders: words
+and digits in lower case. It finds copies in another case and windows that are mostly numbers or names, both with the item's own values only.
+An item shorter than ``width`` tokens is one window.
+
+**Occurrences.** For matching template windows the slots' values are compared. A window without slots counts, and so does one with the item's own
+values. Others count together with those of their occurrence, if in it an item's value stands for the same value of the document wherever it occurs.
+An occurrence is an alignment of the item with the document (place in the document minus place in the item), or alignments that lie closer than
+half the item (text was put in or left out), or the document; the one that gives most windows holds. A document
+is contaminated by an item if at least ``evidence`` windows count, of the template or of the second set (all, if the item has fewer).
 
 Only DataFrame and SQL functions are used. Windows of all texts are made and probed inside the scan when a count proves the items' windows
 few; with more, both sides are exchanged by hash. Values are read again only from documents with a match.
 
-**Cases.** Items shorter than ``width`` tokens are not searched; null and empty texts match nothing. Repeated rows and ids give one result per
-document id and item. Empty tables give an empty result. Further columns are ignored.
+**Result.** ``item_windows`` and ``n_windows`` are those of the template if it suffices, else of the second set (``slots_agree`` is then true).
+
+**Cases.** Null and empty texts, and those without letters and digits, match nothing; an item of a word or two is found wherever these stand. Repeated rows and
+ids give one result per document id and item. Empty tables give an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import sized
 from tidemark.operators.scratch import written
@@ -34,24 +41,41 @@ _PLAIN = _NUMBER + _EDGE
 NAME, NUMBER, QUANTITY = "\x01", "\x02", "\x03"
 
 
+#: White space other than single blanks.
+_SPACE = r"\s\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WRAPPED = rf"[{_SPACE}]{{2,}}|(?! )[{_SPACE}]"
+#: Windows of templates, and of words without placeholders.
+TEMPLATE, WORDS = 0, 1
+
+
+def _clean(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, "[\x01-\x03]", " "), _WRAPPED, " ")
+
+
 def template(text: Column) -> Column:
     """Tokens of a text with typed placeholders."""
-    clean = F.regexp_replace(text, "[\x01-\x03]", " ")
-    clean = F.regexp_replace(F.regexp_replace(clean, _NAME, NAME), _QUANTITY, QUANTITY)
+    clean = F.regexp_replace(F.regexp_replace(_clean(text), _NAME, NAME), _QUANTITY, QUANTITY)
     clean = F.regexp_replace(clean, _PLAIN, NUMBER)
     return F.regexp_extract_all(F.lower(clean), F.lit("[\x01-\x03]|[\\p{L}\\p{N}]+"), F.lit(0))
 
 
+def words(text: Column) -> Column:
+    """Tokens of a text without placeholders."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
+
+
 def slots(text: Column) -> Column:
-    """The values behind the placeholders, in order."""
-    return F.regexp_extract_all(text, F.lit(f"{_NAME}|{_QUANTITY}|{_PLAIN}"), F.lit(0))
+    """The values behind the placeholders, in order; blanks and case do not count."""
+    found = F.regexp_extract_all(_clean(text), F.lit(f"{_NAME}|{_QUANTITY}|{_PLAIN}"), F.lit(0))
+    return F.transform(found, lambda x: F.lower(F.replace(x, F.lit(" "), F.lit(""))))
 
 
-def windows(tokens: Column, width: int) -> Column:
-    """A hash for each run of ``width`` tokens."""
+def windows(tokens: Column, width: int | Column, kind: int) -> Column:
+    """Place (from 0) and hash of each run of ``width`` tokens."""
+    width = F.lit(width) if isinstance(width, int) else width
     at = F.sequence(F.lit(1), F.size(tokens) - width + 1)
-    every = F.transform(at, lambda i: F.xxhash64(F.slice(tokens, i, F.lit(width))))
-    return F.when(F.size(tokens) >= width, every).otherwise(F.array().cast("array<long>"))
+    every = F.transform(at, lambda i: F.struct((i - 1).alias("place"), F.xxhash64(F.slice(tokens, i, width), F.lit(kind)).alias("h")))
+    return F.when((F.size(tokens) >= width) & (width > 0), every).otherwise(F.array().cast("array<struct<place:int,h:long>>"))
 
 
 def _is_slot(token: Column) -> Column:
@@ -65,25 +89,61 @@ def _values(tokens: Column, values: Column, at: Column, width: int) -> Column:
     return F.slice(values, before + 1, inside)
 
 
+def _item_windows(items: DataFrame, width: int) -> DataFrame:
+    mine = items.select("item_id", F.col("text").alias("_text")).filter("_text IS NOT NULL")
+    none = F.array().cast("array<string>")
+
+    def of(kind: int, tokens: Column, values: Column) -> DataFrame:
+        rows = mine.withColumn("tokens", tokens).withColumn("values", values).withColumn("length", F.size("tokens"))
+        every = windows(F.col("tokens"), F.least(F.col("length"), F.lit(width)), kind)
+        return rows.select("item_id", "tokens", "values", "length", F.lit(kind).alias("kind"), F.explode(every).alias("w")).select("*", F.col("w.place").alias("at"), "w.h")
+
+    told = of(TEMPLATE, template(F.col("_text")), slots(F.col("_text")))
+    plain = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(width)), lambda t: ~_is_slot(t)))
+    told = told.filter(plain * 2 >= width).withColumn("values", _values(F.col("tokens"), F.col("values"), F.col("at"), width))
+    both = told.unionByName(of(WORDS, words(F.col("_text")), none)).select("item_id", "kind", "length", "at", "h", "values")
+    return written(both.dropDuplicates(["item_id", "kind", "at", "h"]))
+
+
+def _agreed(slotted: DataFrame) -> DataFrame:
+    """``key, item_id, more``: the most windows besides free ones that an occurrence adds whose values agree.
+
+    ``slotted`` has the template hits with slots: ``key, item_id, place, at, length, values, found, free``.
+    """
+    of = ["key", "item_id"]
+    hit = slotted.withColumn("diagonal", F.col("place") - F.col("at"))
+    # Alignments closer than half the item, but at least a window, make one run.
+    by = Window.partitionBy(*of).orderBy("diagonal")
+    apart = F.col("diagonal") - F.lag("diagonal").over(by) > F.greatest(F.col("reach"), F.col("length") / 2)
+    runs = hit.groupBy(*of, "diagonal").agg(F.max("length").alias("length"), F.max("reach").alias("reach"))
+    runs = runs.withColumn("run", F.sum(F.when(apart, 1).otherwise(0)).over(by)).select(*of, "diagonal", "run")
+    levels = F.array(*(F.struct(F.lit(i).alias("level"), x.cast("long").alias("o")) for i, x in enumerate((F.col("diagonal"), F.col("run"), F.lit(0)))))
+    hit = hit.join(runs, [*of, "diagonal"]).withColumn("occurrence", F.explode(levels))
+    group = [*of, "occurrence"]
+    told = hit.select(*group, F.explode(F.arrays_zip("values", "found")).alias("z")).select(*group, F.col("z.values").alias("v"), F.col("z.found").alias("f"))
+    agree = told.distinct().groupBy(*group, "v").agg(F.count("*").alias("n")).groupBy(*group).agg(F.max("n").alias("n")).filter("n = 1")
+    more = hit.groupBy(*group).agg(F.countDistinct(F.when(~F.col("free"), F.col("at"))).alias("more"))
+    return more.join(agree, group, "left_semi").groupBy(*of).agg(F.max("more").alias("more"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, evidence: int = 5) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, slots_agree`` for every contaminated document and its item.
 
     ``docs`` has ``doc_id`` and ``text``, ``items`` has ``item_id`` and ``text``.
     """
-    mine = items.select("item_id", F.col("text").alias("_text")).filter("_text IS NOT NULL")
-    mine = mine.withColumn("tokens", template(F.col("_text"))).withColumn("values", slots(F.col("_text")))
-    mine = mine.select("item_id", "tokens", "values", F.posexplode(windows(F.col("tokens"), width)).alias("at", "h"))
-    plain = width - F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(width)), _is_slot))
-    mine = mine.filter(plain * 2 >= width).select("item_id", "at", "h", _values(F.col("tokens"), F.col("values"), F.col("at"), width).alias("values"))
-    mine = written(mine.dropDuplicates(["item_id", "at", "h"]))
-    sizes = mine.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
+    mine = _item_windows(items, width)
+    sizes = mine.groupBy("item_id", "kind").agg(F.countDistinct("at").alias("item_windows"))
+    short = mine.filter(F.col("length") < width).select("kind", "length").distinct().collect()  # fewer than 2 * width
 
     # A row is known by its id and text: rows equal in both have equal results.
     keyed = docs.select("doc_id", F.col("text").alias("_text")).withColumn("key", F.xxhash64("doc_id", "_text"))
-    probe = keyed.withColumn("tokens", template(F.col("_text"))).select("doc_id", "key", F.posexplode(windows(F.col("tokens"), width)).alias("place", "h"))
+    tokens = {TEMPLATE: F.col("tokens"), WORDS: F.col("words")}
+    every = F.concat(*(windows(tokens[kind], n, kind) for kind, n in [(TEMPLATE, width), (WORDS, width), *short]))
+    probe = keyed.withColumn("tokens", template(F.col("_text"))).withColumn("words", words(F.col("_text")))
+    probe = probe.select("doc_id", "key", F.explode(every).alias("w")).select("doc_id", "key", "w.place", "w.h")
     hashes = mine.select("h").distinct()
     met = written(probe.join(sized(hashes), "h", "left_semi").distinct())
-    hits = written(met.join(sized(mine), "h").select("doc_id", "key", "place", "item_id", "at", "values"))
+    hits = written(met.join(sized(mine), "h").select("doc_id", "key", "place", "item_id", "kind", "length", "at", "values"))
 
     # Values of the windows with slots.
     asked = hits.filter(F.size("values") > 0).select("key", "place").distinct()
@@ -91,19 +151,22 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, evidence: in
     source = keyed.join(sized(asked.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
     source = source.select("key", template(F.col("_text")).alias("tokens"), slots(F.col("_text")).alias("found"))
     read = asked.join(source, "key").select("key", "place", _values(F.col("tokens"), F.col("found"), F.col("place"), width).alias("found"))
-    slotted = hits.filter(F.size("values") > 0).join(read, ["key", "place"])
-    told = slotted.select("key", "item_id", F.explode(F.arrays_zip("values", "found")).alias("z"))
-    agree = (
-        told.select("key", "item_id", F.col("z.values").alias("v"), F.col("z.found").alias("f")).distinct()
-        .groupBy("key", "item_id", "v").agg(F.count("*").alias("n"))
-        .groupBy("key", "item_id").agg((F.max("n") == 1).alias("agree"))
+    slotted = hits.filter(F.size("values") > 0).select("key", "item_id", "place", "length", "at", "values").distinct().join(read, ["key", "place"])
+    slotted = slotted.withColumn("found", F.slice("found", F.lit(1), F.size("values")))  # an item shorter than a window has fewer
+    slotted = written(slotted.withColumn("reach", F.least(F.lit(width), F.col("length"))))
+    bare = hits.filter((F.col("kind") == TEMPLATE) & (F.size("values") == 0)).select("key", "item_id", "at")
+    free = written(bare.union(slotted.filter("values = found").select("key", "item_id", "at")).distinct())
+    slotted = slotted.join(free.withColumn("_free", F.lit(True)), ["key", "item_id", "at"], "left").withColumn("free", F.col("_free").isNotNull())
+    counted = free.groupBy("key", "item_id").agg(F.count("*").alias("bare")).join(_agreed(slotted), ["key", "item_id"], "full")
+    counted = counted.join(slotted.select("key", "item_id").distinct().withColumn("slotted", F.lit(True)), ["key", "item_id"], "left")
+    counted = counted.select(
+        "key", "item_id", F.lit(TEMPLATE).alias("kind"), (F.coalesce("bare", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_windows"),
+        (F.col("more").isNotNull() | F.col("slotted").isNull()).alias("slots_agree"),
     )
-    counted = hits.groupBy("doc_id", "key", "item_id").agg(
-        F.countDistinct("at").alias("all"), F.countDistinct(F.when(F.size("values") == 0, F.col("at"))).alias("bare")
-    )
-    out = counted.join(agree, ["key", "item_id"], "left").withColumn("slots_agree", F.coalesce("agree", F.lit(True)))
-    out = out.withColumn("n_windows", F.when(F.col("slots_agree"), F.col("all")).otherwise(F.col("bare")))
-    out = out.join(sized(written(sizes)), "item_id").filter(F.col("n_windows") >= F.least(F.lit(evidence), F.col("item_windows")))
-    best = F.struct("n_windows", "slots_agree")
-    out = out.groupBy("doc_id", "item_id", "item_windows").agg(F.max(best).alias("best"))
-    return out.select("doc_id", "item_id", "best.n_windows", "item_windows", "best.slots_agree")
+    same = hits.filter(F.col("kind") == WORDS).groupBy("key", "item_id").agg(F.countDistinct("at").alias("n_windows"))
+    counted = counted.unionByName(same.select("key", "item_id", F.lit(WORDS).alias("kind"), "n_windows", F.lit(True).alias("slots_agree")))
+    out = counted.join(sized(written(sizes)), ["item_id", "kind"]).filter(F.col("n_windows") >= F.least(F.lit(evidence), F.col("item_windows")))
+    out = hits.select("doc_id", "key", "item_id").distinct().join(out, ["key", "item_id"])
+    best = F.struct((-F.col("kind")).alias("first"), "n_windows", "slots_agree", "item_windows")
+    out = out.groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+    return out.select("doc_id", "item_id", "best.n_windows", "best.item_windows", "best.slots_agree")

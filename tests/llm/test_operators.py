@@ -262,6 +262,17 @@ def test_decontamination_by_occurrence(spark):
     assert not leaked(spark, [twice], [bad])
 
 
+def test_decontamination_of_verbatim_copies(spark):
+    item = "The train leaves station Alpha at 10 with 25 km to go and the train of Bruno passes Alpha after 25 km of its way home"
+    dense = "1 2 3 4 5 and 6 7 8 9 10 11 or 12 13 14 15 16"
+    wrapped = re.sub(r" (?=[A-Z\d])|(?<=\d) ", "\n\t", item)
+    texts = [item.lower(), item.upper(), wrapped, wrapped.replace("10", "17").replace("25", "40"), "so " + dense, dense.replace("7", "70").replace("12", "13")]
+    texts += ["what is the Answer to it", "the answer is", "Say: the answer\nto it!", item.replace(" ", "\u00a0")]
+    got = leaked(spark, [item, dense, "answer to it"], texts)
+    assert {i: r.item_id for i, r in got.items()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 6: 2, 8: 2, 9: 0}
+    assert got[2].n_windows == got[2].item_windows and got[3].slots_agree
+
+
 def test_mixing_meets_targets(spark, rows):
     from tidemark.llm import mixing
 

@@ -168,6 +168,26 @@ def test_secrets(spark):
     assert got[3].n_linked == 2 and got[4].n_linked == got[6].n_linked == 0
 
 
+def test_secrets_are_linked_at_all_offsets(spark):
+    from tidemark.llm.secrets import _CLASS, scan_secrets, spans_of
+
+    name, bare, url = "user=" + "r" * 40, "xY7kQ2mPz9LwR4tBv8Ns" * 3, "https://some.host.example/" + "path/" * 12
+    rows = []
+    for left, right in ((name, bare), (bare, name), (bare, url), (url, bare), (url, name)):
+        rows += [" " * at + left + " " * gap + right for at in range(0, 60, 3) for gap in (130, 171, 199, 200, 201)]
+    got = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), reach=200).collect()}
+    small = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), reach=7).collect()}
+
+    def linked(text, reach):  # these texts have one scope and no base spans
+        _, weak = spans_of(text)
+        near = lambda w, o: o[1] - w[2] <= reach and w[1] - o[2] <= reach and (_CLASS[w[0]] == 1) != (_CLASS[o[0]] == 1)
+        return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted({w for w in weak if any(near(w, o) for o in weak)}, key=lambda w: (w[1], w[0], w[2])))
+
+    for found, reach in ((got, 200), (small, 7)):
+        assert found == {i: linked(t, reach) for i, t in enumerate(rows)}
+    assert sum(x != "" for x in got.values()) >= 250
+
+
 def test_forward_backward_equals_enumeration():
     from tidemark.llm.toxicity import forward_backward
 

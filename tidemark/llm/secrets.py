@@ -7,8 +7,8 @@ characters), ``access`` (access key identifiers of 20 or more characters), ``hex
 that look random (``weak_secret``) and service addresses (``weak_endpoint``). Each part, weak or base, is an identity, a secret or an endpoint, and
 reaches ``reach`` characters to both sides within its scope (a paragraph: text between blank lines). A weak part is reported only if
 a part of another class lies in its reach and, with it, a secret and one of the other two classes are present. Parts meet in an interval join: they
-are dealt by document, scope and cell of ``reach`` characters, a part is sought in its own and the two neighbouring cells, and distances are
-compared. The join only asks whether a part exists, so repeated parts make no pairs.
+are dealt by document, scope and cell of ``reach`` characters, a part to every cell that it covers and a weak part to every cell within its reach, and
+distances are compared. The join only asks whether a part exists, so repeated parts make no pairs.
 
 **Cases.** Null and empty texts have no spans and the hash of an empty text. Rows are told apart by a number given when they are
 scanned, so repeated rows and ids keep their own results. Offsets are code points, ends exclusive. Further columns are ignored.
@@ -102,9 +102,9 @@ def scan_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blank_if_null().alias("text"))
     scanned = written(rows.mapInArrow(_scan, _SCANNED).withColumn("row", F.monotonically_increasing_id()))
     part = scanned.filter(F.size("parts") > 0).select("row", F.explode("parts").alias("p")).select("row", "p.*")
-    cell = F.floor(F.col("start") / reach)
-    weak = part.filter(F.col("kind").startswith("weak_")).withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    other = part.select("row", "scope", cell.alias("cell"), F.col("class").alias("c"), F.col("start").alias("s"), F.col("end").alias("e")).distinct()
+    cells = lambda a, b: F.explode(F.sequence(F.floor(a / reach), F.floor(b / reach)))
+    weak = part.filter(F.col("kind").startswith("weak_")).withColumn("cell", cells(F.col("start") - reach, F.col("end") + reach))
+    other = part.select("row", "scope", cells(F.col("start"), F.col("end")).alias("cell"), F.col("class").alias("c"), F.col("start").alias("s"), F.col("end").alias("e")).distinct()
     # Identities and endpoints are completed by a secret, secrets by either.
     completes = (F.col("class") == SECRET) != (F.col("c") == SECRET)
     near = (F.col("s") - F.col("end") <= reach) & (F.col("start") - F.col("e") <= reach)

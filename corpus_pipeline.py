@@ -16,15 +16,15 @@ from tidemark.operators.scratch import written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: A document whose language the network finds less likely than this is rejected, as is one without letters.
-LEAST_LANGUAGE_SCORE = 0.25
+#: A document that is less likely than this to be in one of the labelled languages, whichever, is rejected, as is one without letters.
+LEAST_KNOWN = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts in no known language."""
-    told = language.predict(docs.select(*COLUMNS), language.train(docs))
-    return told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+    told = language.predict(docs.select(*COLUMNS), language.train(docs, strange=True))
+    return told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)).select(*COLUMNS)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -348,3 +348,21 @@ def test_pipeline_stages(spark):
             assert all(before[r.doc_id] == r.text for r in out) and docs.columns == list(out[0].__fields__)
             docs = spark.createDataFrame(out, docs.schema)
             before = {r.doc_id: r.text for r in out}
+
+
+def test_language_stage_rejects_foreign_and_junk(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.filter("doc_id % 2 = 0").collect()
+    labelled = [tuple(r[c] for c in p.COLUMNS) for r in rows]
+    out = ["Это предложение написано на русском языке, и его никто не знает", "これは日本語で書かれた文章です", "Az időjárás ma nagyon szép ezért kimentünk a kertbe",
+           "aGVsbG8gd29ybGQ= 9f8a7 ##!! zxqwv kjhgf", "qwrtz plkjh mnbvc xzlkj qpwoe rutyz", "12 !!", None]
+    strange = [(-1 - i, t, None, "src0", 0) for i, t in enumerate(out)]
+    both = [(-100 - i, a.text[:400] + " " + b.text[:400], None, "src0", 0) for i, (a, b) in enumerate(zip(rows[:20], rows[20:40])) if min(len(a.text), len(b.text)) > 400]
+    df = spark.createDataFrame(labelled + strange + both, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in p.language_id(spark, df, "").collect()}
+    assert not kept & {r[0] for r in strange} and {r[0] for r in both} <= kept
+    for lang in {r.lang for r in rows}:
+        mine = [r.doc_id for r in rows if r.lang == lang]
+        assert sum(i in kept for i in mine) >= 0.99 * len(mine)

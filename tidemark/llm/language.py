@@ -6,6 +6,10 @@ by their bytes; only text is read. The network is trained in numpy on the driver
 labelled documents in all, the same number for each language, chosen by a hash of the row, with ``windows_per_doc`` windows of each.
 Everything else, including the counts per language, covers all rows.
 
+With ``strange``, the network also learns a class of text in no known language, made from the sample (``strangers``): the sample's words
+with their letters exchanged, words of random letters of this and of other scripts, and noise. ``known`` is the probability of all labelled languages together, whose
+meaning does not depend on their number; without that class it is 1.
+
 **Cases.** ``lang_pred`` is ``und`` with score 0 for a null text and for one without a letter, and for every text if no labelled row may be
 learned from. Short texts are padded. Rows with a null label are not learned from. Repeated rows are predicted
 alike. Further columns pass through; columns named like a result are replaced.
@@ -109,7 +113,33 @@ def fit(texts: list[str], labels: list[str], epochs: int = 8, batch: int = 64, r
     return net
 
 
-def train(docs: DataFrame, label: str = "lang", learn: Column | None = None, sample_docs: int = 1600, windows_per_doc: int = 4) -> ByteNetwork | None:
+#: First and last letters of scripts that ``strangers`` writes in (fixed values).
+_SCRIPTS = ((0x61, 0x7A), (0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
+_NOISE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-#*.,;:|~<>{}"
+
+
+def strangers(texts: list[str], n: int, seed: int = 11) -> list[str]:
+    """``n`` texts in no known language, shaped like ``texts``."""
+    rng, out = np.random.default_rng(seed), []
+    letters = sorted({c for t in texts for c in t.lower() if c.isalpha()})
+    for i in range(n):
+        text = texts[rng.integers(len(texts))]
+        if i % 2 == 0:  # letters exchanged, the same throughout a text
+            other = [letters[j] for j in rng.permutation(len(letters))]
+            change = dict(zip(letters, other, strict=True)) | {x.upper(): y.upper() for x, y in zip(letters, other, strict=True)}
+            out.append("".join(change.get(x, x) for x in text))
+        elif i % 4 == 1:  # random letters of one script
+            low, high = _SCRIPTS[rng.integers(len(_SCRIPTS))]
+            out.append("".join(chr(rng.integers(low, high + 1)) if x.isalpha() else x for x in text))
+        else:  # noise
+            gap = rng.random() * 0.2
+            out.append("".join(" " if rng.random() < gap else _NOISE[rng.integers(len(_NOISE))] for _ in text))
+    return out
+
+
+def train(
+    docs: DataFrame, label: str = "lang", learn: Column | None = None, sample_docs: int = 1600, windows_per_doc: int = 4, strange: bool = False
+) -> ByteNetwork | None:
     """Network from the rows of ``docs`` for which ``learn`` holds; None if there are none."""
     rows = docs.filter(F.col(label).isNotNull() & F.col("text").isNotNull() & (F.lit(True) if learn is None else learn))
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
@@ -123,7 +153,11 @@ def train(docs: DataFrame, label: str = "lang", learn: Column | None = None, sam
     cuts = F.array_distinct(F.array(*(pick(j) for j in range(windows_per_doc))))
     sample = rows.filter(chance < odds).select(F.explode(cuts).alias("text"), F.col(label).alias("label"))
     got = sorted(map(tuple, sample.collect()))
-    return fit([r[0] for r in got], [r[1] for r in got]) if got else None
+    texts, labels = [r[0] for r in got], [r[1] for r in got]
+    if strange and got:
+        made = strangers(texts, max(1, len(texts) // 2))
+        texts, labels = texts + made, labels + [UNKNOWN] * len(made)
+    return fit(texts, labels) if got else None
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray):
@@ -151,17 +185,19 @@ def _scored(net: ByteNetwork, array: pa.Array) -> np.ndarray:
 
 
 def predict(docs: DataFrame, net: ByteNetwork | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+    """``docs`` with ``lang_pred``, ``score`` (both of the likeliest labelled language) and ``known``."""
     if net is None:
-        return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
+        return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0)).withColumn("known", F.lit(0.0))
 
-    @F.arrow_udf("struct<lang:string,score:double>")
+    @F.arrow_udf("struct<lang:string,score:double,known:double>")
     def languages(texts: pa.Array) -> pa.Array:
         p = _scored(net, texts)
+        p[:, [x == UNKNOWN for x in net.labels]] = 0
+        known = p.sum(axis=1)
         best = p.argmax(axis=1)
         return pa.StructArray.from_arrays(
-            [pa.array([net.labels[i] for i in best], pa.string()), pa.array(np.clip(p[np.arange(len(p)), best], 0, 1))],
-            names=["lang", "score"],
+            [pa.array([net.labels[i] for i in best], pa.string()), pa.array(np.clip(p[np.arange(len(p)), best], 0, 1)), pa.array(np.clip(known, 0, 1))],
+            names=["lang", "score", "known"],
         )
 
     bounded_batches(docs.sparkSession)
@@ -170,5 +206,6 @@ def predict(docs: DataFrame, net: ByteNetwork | None, text: str = "text") -> Dat
     return (
         out.withColumn("lang_pred", F.when(known, F.col("_language.lang")).otherwise(UNKNOWN))
         .withColumn("score", F.when(known, F.col("_language.score")).otherwise(0.0))
+        .withColumn("known", F.when(known, F.col("_language.known")).otherwise(0.0))
         .drop("_language")
     )

@@ -21,6 +21,15 @@ LEAST_KNOWN = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a written number ``_row``: decisions are about rows, as ids may be null or repeated."""
+    return written(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return rows.join(sized(written(gone)), "_row", "left_anti").select(*COLUMNS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts in no known language."""
     told = language.predict(docs.select(*COLUMNS), language.train(docs, strange=True))
@@ -28,20 +37,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: that with the smallest id (of repeated ids, one row)."""
-    found = similar_documents(docs)
-    gone = found.filter("NOT doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(sized(written(gone)), "doc_id", "left_anti")
-    again = found.filter("doc_id <=> component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = sized(written(again))
-    once = kept.join(again, kept.doc_id.eqNullSafe(again.doc_id), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, kept.doc_id.eqNullSafe(again.doc_id), "left_anti").unionByName(once)
+    """One row of each group of similar ones stays: that with the smallest id (of repeated ids, one row; null ids last)."""
+    rows = _numbered(docs)
+    found = similar_documents(rows.select(F.col("_row").alias("doc_id"), "text"))
+    found = written(found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")))
+    several = written(found.filter("_row <> group").select("group").distinct())
+    member = written(found.join(sized(several), "group", "left_semi").join(rows.select("_row", "doc_id"), "_row"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    first = written(member.groupBy("group").agg(F.min(order)["_row"].alias("first")))
+    return _without(rows, member.join(sized(first), "group").filter("_row <> first").select("_row"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat a benchmark item go."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(sized(written(found)), "doc_id", "left_anti")
+    rows = _numbered(docs)
+    found = contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.select(F.col("doc_id").alias("_row")).distinct())
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -366,3 +366,21 @@ def test_language_stage_rejects_foreign_and_junk(spark):
     for lang in {r.lang for r in rows}:
         mine = [r.doc_id for r in rows if r.lang == lang]
         assert sum(i in kept for i in mine) >= 0.99 * len(mine)
+
+
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    near = lambda t: t + " end"
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first().text
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, a), (None, b), (None, near(b)), (5, c), (5, d), (3, near(c)), (7, d), (7, d), (9, None), (None, None), (None, "")]
+    df = lambda x: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in x], schema)
+    out = collections.Counter((r.doc_id, r.text) for r in p.ngram_jaccard(spark, df(rows), "").collect())
+    assert out[None, a] == 1 and out[None, b] + out[None, near(b)] == 1 and out[3, near(c)] == 1 and out[5, d] == 1
+    assert out[9, None] == out[None, None] == out[None, ""] == 1 and sum(out.values()) == 7
+    rows = [(None, a + " " + item), (None, a), (5, c), (5, item), (6, None)]
+    out = collections.Counter((r.doc_id, r.text) for r in p.decontaminate(spark, df(rows), "/root/testdata/sf0.001").collect())
+    assert out == collections.Counter([(None, a), (5, c), (6, None)])

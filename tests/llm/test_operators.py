@@ -244,6 +244,28 @@ def test_tool_calls(spark):
     assert at[None, 0, 0].message == '{"role":"user"}' and at[4, 0, 0].kind == "message" and len(got) == 13
 
 
+def test_text_beside_tool_calls_stays(spark):
+    from tidemark.llm.tool_calls import linked_messages
+
+    j = json.dumps
+    call = {"name": "f", "id": "a", "arguments": {"z": 1, "b": None}, "depends_on": ["q"], "type": "function"}
+    rows = [(1, 0, "assistant", j({"tool_calls": [call, {"id": "b"}], "content": "let me \u00e9 see", "extra": {"k": 2, "a": [1]}, "role": "assistant"}))]
+    rows += [(1, 1, "tool", j({"tool_call_id": "a", "is_error": True, "content": "x"})), (1, 2, "tool", j({"tool_call_id": "b", "content": None}))]
+    rows += [(2, 0, "assistant", j({"content": None, "tool_calls": [call]}))]
+    got = linked_messages(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
+    assert {(r.conv_id, r.turn, r.part): (r.kind, r.call_id, json.loads(r.message)) for r in got} == {
+        (1, 0, 0): ("message", None, {"content": "let me \u00e9 see", "extra": {"a": [1], "k": 2}, "role": "assistant"}),
+        (1, 0, 1): ("call", "a", {"role": "assistant", "tool_call": call}), (1, 0, 2): ("call", "b", {"role": "assistant", "tool_call": {"id": "b"}}),
+        (1, 1, 0): ("result", "a", {"content": "x", "is_error": True, "role": "tool", "tool_call_id": "a"}),
+        (1, 2, 0): ("result", "b", {"content": None, "role": "tool", "tool_call_id": "b"}),
+        (2, 0, 0): ("call", "a", {"role": "assistant", "tool_call": call}),
+    }
+    at = {(r.conv_id, r.turn, r.part): r.message for r in got}
+    assert at[1, 0, 0] == '{"content":"let me \u00e9 see","extra":{"a":[1],"k":2},"role":"assistant"}'
+    assert at[1, 0, 1].startswith('{"role":"assistant","tool_call":{"arguments":{"b":null,"z":1},"depends_on":["q"],"id":"a"')
+    assert len(got) == 6
+
+
 def test_decontamination(spark):
     from tidemark.llm.decontaminate import contaminated
 

@@ -4,7 +4,8 @@
 ``tool_calls``, a list of ``{id, name, arguments, depends_on}``; ``tool``: ``tool_call_id`` and ``content``; ``system``: ``tools``, a list of
 ``{name, parameters: {required, properties: {key: {type}}}}``. All other turns are plain messages.
 
-**Result.** One row per message, call and result: ``conv_id, turn, part`` (place within the turn), ``place, depth`` (see below), ``kind``,
+**Result.** One row per message, call and result. What a turn with calls says besides (its ``content`` and any other key that is not null) is a message too, part
+0, with the calls behind it; unknown keys of turns, calls and results stay in the JSON. Columns: ``conv_id, turn, part`` (place within the turn), ``place, depth`` (see below), ``kind``,
 ``call_id``, ``status`` and ``message`` (JSON with sorted keys and without blanks). Results meet calls in a hash join on conversation and identifier, after calls
 have been cut to the first of each identifier. Calls depend on the calls that they name, results on their call. In topological order an item stands
 at its own turn or at the latest place of what it depends on, whichever is later, and behind that by ``depth``; sorting by ``conv_id, place, depth,
@@ -53,6 +54,13 @@ def _valid(arguments: Column, required: Column, kinds: Column) -> Column:
     return given.isNotNull() & needed & typed
 
 
+def _canonical(keys: Column, role: str) -> Column:
+    """JSON of the keys and values in ``keys`` (a map) and the role of the turn."""
+    names = F.array_sort(F.array_union(F.map_keys(keys), F.array(F.lit("role"))))
+    value = lambda k: F.when(k == "role", F.lit(role).cast("variant")).otherwise(F.try_element_at(keys, k))
+    return F.to_json(F.map_from_arrays(names, F.transform(names, value)))
+
+
 def linked_messages(turns: DataFrame) -> DataFrame:
     rows = turns.select("conv_id", "turn", "role", "text")
     js = F.when(F.ltrim("text").startswith("{") & F.col("role").isin("assistant", "tool", "system") & F.col("conv_id").isNotNull(), F.try_parse_json("text"))
@@ -66,13 +74,23 @@ def linked_messages(turns: DataFrame) -> DataFrame:
         F.lit("ok").alias("status"), said(role=F.col("role"), content=F.col("text")).alias("message"),
     )
 
-    call = rows.filter("kind = 'call'").select("conv_id", "turn", F.posexplode(_at("js", "$.tool_calls", "array<variant>")).alias("part", "c"))
+    # What a turn with calls says besides.
+    keys = _at("js", "$", "map<string,variant>")
+    rest = F.map_filter(keys, lambda k, _: ~k.isin("tool_calls", "role"))
+    more = F.size(F.map_filter(rest, lambda _, v: ~F.is_variant_null(v))) > 0
+    calling = rows.filter("kind = 'call'").withColumn("more", F.coalesce(more, F.lit(False)))
+    plain = plain.unionByName(calling.filter("more").select(
+        "conv_id", "turn", F.lit(0).alias("part"), F.col("turn").alias("place"), F.lit(0).alias("depth"), F.lit("message").alias("kind"),
+        F.lit(None).cast("string").alias("call_id"), F.lit("ok").alias("status"), _canonical(rest, "assistant").alias("message"),
+    ))
+
+    call = calling.select("conv_id", "turn", "more", F.posexplode(_at("js", "$.tool_calls", "array<variant>")).alias("part", "c"))
     call = call.select(
-        "conv_id", "turn", "part", _at("c", "$.id", "string").alias("call_id"), _at("c", "$.name", "string").alias("name"),
+        "conv_id", "turn", (F.col("part") + F.col("more").cast("int")).alias("part"), "c", _at("c", "$.id", "string").alias("call_id"), _at("c", "$.name", "string").alias("name"),
         _at("c", "$.arguments", "variant").alias("arguments"), _at("c", "$.depends_on", "array<string>").alias("needs"),
     )
     result = rows.filter("kind = 'result'").select(
-        "conv_id", "turn", F.lit(0).alias("part"), _at("js", "$.tool_call_id", "string").alias("call_id"), _at("js", "$.content", "variant").alias("content")
+        "conv_id", "turn", F.lit(0).alias("part"), _at("js", "$.tool_call_id", "string").alias("call_id"), _canonical(keys, "tool").alias("message")
     )
     # One row per conversation and tool: the last declaration holds.
     tool = rows.filter("role = 'system' AND js IS NOT NULL").select("conv_id", "turn", F.posexplode(_at("js", "$.tools", "array<variant>")).alias("at", "t"))
@@ -93,13 +111,11 @@ def linked_messages(turns: DataFrame) -> DataFrame:
         F.when(repeated, "duplicate").when(F.col("declared") & F.col("schema").isNull(), "unknown_tool").when(~fine, "invalid")
         .when(F.col("answered").isNull(), "no_result").otherwise("ok")
     )
-    message = said(
-        role=F.lit("assistant"), tool_call=F.struct(F.col("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name").alias("name"))
-    )
+    message = said(role=F.lit("assistant"), tool_call=F.col("c"))
     call = call.select("conv_id", "turn", "part", F.lit("call").alias("kind"), "call_id", status.alias("status"), message.alias("message"), "needs", (~repeated).alias("own"))
     result = result.join(first.select(*_KEY, F.lit(True).alias("known")), _KEY, "left").select(
         "conv_id", "turn", "part", F.lit("result").alias("kind"), "call_id", F.when(F.col("known"), "ok").otherwise("unlinked").alias("status"),
-        said(role=F.lit("tool"), tool_call_id=F.col("call_id"), content=F.col("content")).alias("message"),
+        "message",
         F.array("call_id").alias("needs"), F.lit(False).alias("own"),
     )
     items = written(call.unionByName(result).withColumn("item", F.monotonically_increasing_id()))

@@ -41,15 +41,14 @@ _PLAIN = _NUMBER + _EDGE
 NAME, NUMBER, QUANTITY = "\x01", "\x02", "\x03"
 
 
-#: White space other than single blanks.
-_SPACE = r"\s\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_WRAPPED = rf"[{_SPACE}]{{2,}}|(?! )[{_SPACE}]"
+#: Characters that count as blanks: white space, and those that mark slots.
+_BLANKS = "\x01\x02\x03\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Windows of templates, and of words without placeholders.
 TEMPLATE, WORDS = 0, 1
 
 
 def _clean(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, "[\x01-\x03]", " "), _WRAPPED, " ")
+    return F.regexp_replace(F.translate(text, _BLANKS, " " * len(_BLANKS)), "  +", " ")
 
 
 def template(text: Column) -> Column:

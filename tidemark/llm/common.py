@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.scratch import written
 
@@ -41,6 +41,29 @@ def fold(column: Column, parts: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % parts
 
 
+def positions(rows: DataFrame, group: list[str], order: list[Column], name: str = "position", size: str = "size") -> DataFrame:
+    """Written ``rows`` with each row's place (from 0) in its group by ``order``, and the group's number of rows.
+
+    No group has to fit into a task: rows are dealt by ranges of (group, order), counted by (range, group), and the few counts
+    say how many rows of the group lie in ranges before. Groups may be null. ``order`` must tell rows apart, but for
+    those whose places may be swapped.
+    """
+    first = [F.col(g).asc_nulls_first() for g in group]
+    dealt = rows.repartitionByRange(spread(rows.sparkSession), *first, *order).sortWithinPartitions(*first, *order)
+    in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count the rows of a partition
+    dealt = written(dealt.withColumns({"_range": F.spark_partition_id(), "_at": in_range}))
+    counts = dealt.groupBy("_range", *group).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group)  # at most a row for each range
+    before = F.sum("_n").over(whole.orderBy("_range")) - F.col("_n")
+    counts = counts.select("_range", *group, "_first", before.alias("_before"), F.sum("_n").over(whole).alias(size))
+    counts = sized(written(counts))
+    same = dealt["_range"] == counts["_range"]
+    for g in group:
+        same = same & dealt[g].eqNullSafe(counts[g])
+    place = dealt["_at"] - counts["_first"] + counts["_before"]
+    return dealt.join(counts, same).select(*(dealt[c] for c in rows.columns), place.alias(name), counts[size])
+
+
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (from 0) of a string column without nulls, without touching single rows."""
     if isinstance(array, pa.ChunkedArray):

@@ -142,3 +142,66 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.tool_calls import linked_messages
 
     return linked_messages(_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.shards import sharded_rows
+
+    rows = sharded_rows(_table(spark, sf_dir, "documents"), shards=8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query(r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda b, y: CASE WHEN b % 2 = 1 THEN xor(b // 2, 3988292384) ELSE b // 2 END)), 4294967295) % 2 = 0 AS even
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(CASE WHEN even THEN replace(text, chr(10), '') ELSE text END) || ':'
+      || CASE WHEN even THEN replace(text, chr(10), '') ELSE text END, '-')) AS claimed
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), low(source, level, i, digest, n) AS (
+  SELECT source, 0, i, leaf, n FROM placed
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM low WHERE n > 1 GROUP BY source, level, i // 3
+), tops AS (
+  SELECT source, level AS levels, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1
+), high(level, i, digest, n) AS (
+  SELECT 0, i, subroot, n FROM tops
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM high WHERE n > 1 GROUP BY level, i // 3
+), root AS (SELECT digest AS root FROM high WHERE n = 1), 
+nodes AS (
+  SELECT source, level, i, digest FROM low WHERE n > 1 UNION ALL
+  SELECT t.source, t.levels + h.level, h.i, h.digest FROM tops t, high h WHERE h.n > 1
+), run AS (
+  SELECT p.doc_id, p.leaf, p.claimed, p.source, t.subroot, t.levels, t.i AS top, p.i AS first FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source
+), steps(doc_id, leaf, source, subroot, levels, top, level, i, folded, proof) AS (
+  SELECT doc_id, leaf, source, subroot, levels, top, 0, CASE WHEN levels = 0 THEN top ELSE first END, claimed, '' FROM run
+  UNION ALL
+  SELECT s.doc_id, s.leaf, s.source, s.subroot, s.levels, s.top, s.level + 1, CASE WHEN s.level + 1 = s.levels THEN s.top ELSE s.i // 3 END,
+    sha256(string_agg(CASE WHEN n.i = s.i THEN s.folded ELSE n.digest END, '' ORDER BY n.i)),
+    s.proof || coalesce(string_agg(n.digest, '' ORDER BY n.i) FILTER (n.i <> s.i), '')
+  FROM steps s JOIN nodes n ON n.source IS NOT DISTINCT FROM s.source AND n.level = s.level AND n.i // 3 = s.i // 3
+  WHERE s.level < s.levels OR s.level - s.levels < (SELECT max(level) FROM high)
+  GROUP BY s.doc_id, s.leaf, s.source, s.subroot, s.levels, s.top, s.level, s.i, s.folded, s.proof
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM steps, root WHERE level = levels + (SELECT max(level) FROM high)
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document with an even crc32 of its id the copy held against the proof has lost its line breaks."""
+    from tidemark.llm import merkle
+
+    text = F.col("text")
+    tampered = (fold(F.col("doc_id"), 2) == 0) & F.contains(text, F.lit("\n"))
+    claimed = F.when(tampered, merkle.leaf(text=F.translate(text, "\n", "")))
+    return merkle.proved_documents(_table(spark, sf_dir, "documents"), claimed)

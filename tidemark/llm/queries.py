@@ -144,6 +144,30 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_messages(_table(spark, sf_dir, "conversations"))
 
 
+@query(r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), q AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), s AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS tokens FROM d WHERE len(terms) > 0
+), m AS (SELECT doc_id, 75 + (25 * len(terms) * s.docs) // s.tokens AS m FROM d, s
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * s.docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, s.docs
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.lexical import ranked_documents
+
+    return ranked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.shards import sharded_rows

@@ -138,12 +138,12 @@ def kd_tree(rows: DataFrame, shards: int | None = None, target_bytes: int | None
     Either the number of leaves is given, or the bytes that a leaf is to hold.
     """
     dimensions = list(dimensions)
-    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()))
+    rows = written(rows.withColumns({"_row": F.monotonically_increasing_id(), "node": F.lit(0)}))
     if shards is None:
         total = rows.agg(F.sum("size")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
     rows = _coordinates(rows.withColumn("_id", F.coalesce(_hashed(F.col("doc_id")), F.lit(-1).cast("long"))), dimensions)
-    rows = rows.select("*", F.lit(0).alias("node"), F.lit(int(shards)).alias("leaves"))
+    rows = rows.withColumn("leaves", F.lit(int(shards)))
     axes, most = len(dimensions), shards
     while most > 1:
         placed = rows.join(_table(rows, _cuts(rows, axes), "node int, axis int, cut array<long>"), "node", "left")

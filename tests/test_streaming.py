@@ -11,7 +11,7 @@ from tidemark.plans.silver import transform_buffers
 from tidemark.plans.store import FolderStore
 from tidemark.sources.messages import FILE_FLUSH, parse_messages
 from tidemark.spec import ScdSpec
-from tidemark.streaming.jobs import bronze_batch, start_bronze, start_silver
+from tidemark.streaming.jobs import bronze_batch, named_by, start_bronze, start_silver
 
 TYPE2 = "geo.public_silver.scalars_type2"
 
@@ -52,7 +52,7 @@ def test_streams_end_to_end(spark, tmp_path):
     ])
 
     def bronze():
-        return start_bronze(spark, store, ledger, str(inbox), str(outbox), str(tmp_path / "cp1"))
+        return start_bronze(spark, store, ledger, str(inbox), str(outbox), str(tmp_path / "cp1"), wait=0)
 
     def silver():
         return start_silver(spark, store, ledger, str(outbox), str(tmp_path / "cp2"))
@@ -107,13 +107,65 @@ def test_no_buffer_is_lost_on_restart_and_none_loaded_twice(spark, tmp_path):
 
     with pytest.raises(OSError):
         bronze_batch(spark, store, ledger, batch, down)
-    assert ledger.read("table_writes").count() == 0  # so that the replay announces the buffer
+    assert ledger.read("table_writes").count() == 0
     assert store.read("geo.public_bronze.scalars").count() == 1
-    bronze_batch(spark, store, ledger, batch, lambda rows: sent.extend(rows.collect()))
-    assert [r["key"] for r in sent] == ["b1"]
+    for _ in range(2):  # the replay announces the buffer, once it has been announced nothing is sent
+        bronze_batch(spark, store, ledger, batch, lambda rows: sent.extend(rows.collect()))
+    assert [r["key"] for r in sent] == ["b1"] and store.read("geo.public_bronze.scalars").count() == 1
     said = json.loads(sent[0]["value"])
     assert said["format"] == "PARQUET" and said["load_date"] == str(spark.sql("SELECT current_date()").first()[0])
-    assert len(letters) == 400 and json.loads(letters[0]["value"])["original_payload"].startswith("bad")
+    assert len(letters) == 600 and json.loads(letters[0]["value"])["original_payload"].startswith("bad")
+
+
+def test_a_file_that_comes_later_is_loaded_and_one_that_never_comes_is_a_dead_letter(spark, tmp_path):
+    store, ledger, sent = FolderStore(spark, str(tmp_path / "lake"), buckets=4), Ledger(spark, str(tmp_path / "ledger")), []
+    late, never, here = (str(tmp_path / f"geo.public.scalars-2026-05-31_02-51-21-000-00000{n}.jsonl") for n in range(3))
+    write_lines(here, [envelope("b2", "c", 3, 12, V1[0])])
+
+    def batch(wait, *lines):
+        records = batch_of(spark, *lines) if lines else None
+        bronze_batch(spark, store, ledger, records, lambda rows: sent.extend(r["key"] for r in rows.collect()), wait=wait)
+
+    batch(600, flush(late, "b0"), flush(never, "b1"))
+    assert sent == [] and ledger.read("dead_letters").isEmpty() and set(ledger.waiting_files()) == {late, never}
+    write_lines(late, [envelope("b0", "c", 1, 10, V1[0])])
+    batch(600, flush(here, "b2"))
+    assert sorted(sent) == ["b0", "b2"] and set(ledger.waiting_files()) == {never}
+    batch(0)
+    letters = ledger.read("dead_letters").collect()
+    assert [(r["extract_buffer_id"], r["exception_class"]) for r in letters] == [("b1", "builtins.FileNotFoundError")]
+    assert not ledger.waiting_files() and store.read("geo.public_bronze.scalars").count() == 2
+
+
+def test_a_group_that_fails_is_given_up_before_its_files_are_loaded_singly(spark, tmp_path, monkeypatch):
+    store, ledger = FolderStore(spark, str(tmp_path / "lake"), buckets=4), Ledger(spark, str(tmp_path / "ledger"))
+    files = [str(tmp_path / f"geo.public.scalars-2026-05-31_02-51-21-000-00000{n}.jsonl") for n in range(2)]
+    for n, path in enumerate(files):
+        write_lines(path, [envelope(f"b{n}", "c", n, 10 + n, V1[0])])
+    real, calls = store.create_append, []
+
+    def once_down(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("the store is out of reach")
+        return real(*args)
+
+    monkeypatch.setattr(store, "create_append", once_down)
+    batch = batch_of(spark, *(flush(path, f"b{n}") for n, path in enumerate(files)))
+    for _ in range(2):
+        bronze_batch(spark, store, ledger, batch, str(tmp_path / "out"))
+        assert store.read("geo.public_bronze.scalars").count() == 2 and len(calls) == 3
+    found = ledger.loads_of_files(files)
+    assert [found[p]["states"] for p in files] == [{"begun", "loaded", "announced"}] * 2
+    assert found[files[0]]["load"] != found[files[1]]["load"] and ledger.read("dead_letters").isEmpty()
+
+
+@pytest.mark.parametrize(("notified", "file", "same"), [
+    ("/a/b.jsonl", "file:///a/b.jsonl", True), ("file:/a/b c.jsonl", "file:///a/b%20c.jsonl", True), ("/a", "file:///a/b.jsonl", True),
+    ("s3a://x/a/*.json", "s3a://x/a/1.json", True), ("/a/b", "file:///a/bc", False), ("/a/*.json", "file:///b/1.json", False),
+])
+def test_raw_files_are_told_by_their_notification(notified, file, same):
+    assert named_by(notified, file) is same
 
 
 def test_buffers_of_several_load_days(spark, tmp_path):

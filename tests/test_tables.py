@@ -1,5 +1,7 @@
 """Bronze and silver tables end to end, on a folder store."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from tidemark.functions.connect import row_schema
 from tidemark.operators.evolve import SILVER, SchemaIncompatibleError, desired_columns, plan_evolution
 from tidemark.plans.bronze import ingest_bronze
 from tidemark.plans.ledger import Ledger
-from tidemark.plans.silver import rebuild_silver, transform_buffers
+from tidemark.plans.silver import SilverWrite, rebuild_silver, transform_buffers
 from tidemark.plans.store import FolderStore
 from tidemark.sources.raw import envelope_schema
 from tidemark.spec import ScdSpec
@@ -65,8 +67,12 @@ def test_versions_deletes_and_replays(lake):
     ]
     assert lake.rows(TYPE2, *columns) == three
     assert lake.rows(TYPE1, "name", "_record_number", "_record_count") == [("three", 3, 3)]
-    # A replay goes through bronze and changes nothing.
-    assert lake.apply("buf-1").rebuilt
+    # A replay changes nothing, and needs no more than the ledger to know.
+    assert lake.apply("buf-1") == SilverWrite(TYPE2, TYPE1, 0, 0, 0, False)
+    assert lake.rows(TYPE2, *columns) == three
+    # The same changes as another buffer are late: their key is rebuilt from bronze.
+    lake.load(envelope("buf-1-again", "u", 1, V1[1], V1[0]))
+    assert lake.apply("buf-1-again").rebuilt
     assert lake.rows(TYPE2, *columns) == three
     assert not {"_is_current", "_valid_from", "_valid_to", "_bucket"} & set(lake.store.read(TYPE1).columns)
 
@@ -182,17 +188,82 @@ def test_rebuild_equals_increments(lake):
     assert (lake.rows(TYPE2, *shown), lake.rows(TYPE1, "id", "version_key", "_is_deleted")) == before
 
 
-def test_interrupted_replacement_is_finished(lake):
-    lake.run("b1", *(envelope("b1", "c", k, k, V1[0]) for k in range(20)))
-    before = lake.rows(TYPE2, "version_key")
-    stored = lake.store._read_stored(TYPE2)
-    staging = lake.store._stage(TYPE2, stored, ["_bucket"])
-    files, _ = lake.store._hadoop(staging)
-    victim = lake.store._path(lake.store.path(TYPE2) + "/" + lake.store._children(staging)[-1].rsplit("/", 1)[-1])
-    files.delete(victim, True)
-    lake.store.recover(TYPE2)
-    assert lake.rows(TYPE2, "version_key") == before
-    assert lake.store._children(lake.store.path(TYPE2) + "/_staging") == []
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, owner, name, number):
+    """The ``number``-th call of a method stops the job instead."""
+    real, calls = getattr(owner, name), []
+
+    def call(*args, **kwargs):
+        calls.append(name)
+        if len(calls) == number:
+            raise Stopped
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, call)
+
+
+@pytest.mark.parametrize(("owner", "step", "number"), [("store", "_write", 1), ("store", "_write", 2), ("ledger", "mark_loads", 1)])
+def test_a_stop_at_any_step_leaves_readable_tables_and_is_made_good(lake, monkeypatch, owner, step, number):
+    shown = ("id", "version_key", "_valid_to", "_is_current", "_record_number", "_record_count")
+    lake.run("b1", *(envelope("b1", "c", k, k, V1[0]) for k in range(6)))
+    before = lake.rows(TYPE2, *shown)
+    lake.load(*(envelope("b2", "u", k, 100 + k, V2[0], more=k) for k in range(3, 9)))
+    stop_at(monkeypatch, getattr(lake, owner), step, number)
+    try:
+        lake.apply("b2")
+    except Stopped:
+        pass
+    monkeypatch.undo()
+    left = lake.rows(TYPE2, *shown)
+    lake.store.read(TYPE1).collect()
+    lake.apply("b2")
+    after = lake.rows(TYPE2, *shown)
+    assert left in (before, after) and len(after) == 12
+    assert sorted(r[0] for r in lake.store.read(TYPE1).select("id").collect()) == [*range(9)]
+
+
+def test_versions_of_an_older_generation_do_not_count(lake):
+    """Rebuilding a key leaves its earlier files alone; readers see the new history only."""
+    lake.run("b1", envelope("b1", "c", 1, 10, V1[0]), envelope("b1", "u", 1, 30, V3[0]), envelope("b1", "c", 2, 11, V1[0]))
+    lake.run("b2", envelope("b2", "u", 1, 20, V2[0]), envelope("b2", "u", 2, 21, V2[0]))
+    shown = ("id", "_source_lsn", "_record_number", "_record_count", "_is_current")
+    assert lake.rows(TYPE2, *shown) == [
+        (1, 10, 1, 3, False), (1, 20, 2, 3, False), (1, 30, 3, 3, True), (2, 11, 1, 2, False), (2, 21, 2, 2, True)
+    ]
+    stored = lake.store._rows(TYPE2)
+    assert stored.where("_side = 'closed'").count() == 4 and stored.where("_side = 'tip'").count() == 2
+
+
+def test_a_key_named_twice_is_refused(lake):
+    rows = lake.spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, v string")
+    with pytest.raises(Exception, match="several source rows for the key"):
+        lake.store.upsert("geo.public_silver.v_type1", rows, ["id"])
+    lake.store.upsert("geo.public_silver.v_type1", rows.where("v <> 'b'"), ["id"])
+    with pytest.raises(Exception, match="several source rows for the key"):
+        lake.store.upsert("geo.public_silver.v_type1", rows, ["id"])
+    assert lake.store.read("geo.public_silver.v_type1").count() == 2
+
+
+def test_a_load_of_the_same_name_replaces_itself(lake):
+    day = datetime(2026, 5, 31, 12)
+    path = write_lines(str(lake.folder / f"{SOURCE}-2026-05-31_02-51-21-000-000001.jsonl"), [envelope("b", "c", k, k, V1[0]) for k in range(9)])
+    for _ in range(2):
+        ingest_bronze(lake.spark, lake.store, path, SOURCE, lake.ledger, load="one", loaded_at=day)
+    assert lake.store.read(BRONZE).count() == 9
+    assert [(r.rows, tuple(r.day), r.applied) for r in lake.ledger.loads_of_buffers(BRONZE, TYPE2, ["b"])] == [(9, (2026, 5, 31), False)]
+    assert not {"_load", "_bucket", "_raw_file"} & set(lake.store.read(BRONZE).columns)
+
+
+def test_a_widened_key_stays_in_its_bucket(lake):
+    fqn, rows = "geo.public_silver.w_type1", lake.spark.range(40).selectExpr("cast(id AS int) AS id", "'old' AS v")
+    lake.store.upsert(fqn, rows, ["id"])
+    wide = rows.selectExpr("cast(id AS bigint) AS id", "'new' AS v")
+    lake.store.evolve(fqn, plan_evolution(fqn, lake.store.schema(fqn), desired_columns(wide.schema, {}, SILVER)))
+    lake.store.upsert(fqn, wide.where("id < 20"), ["id"])
+    assert [(r.v, r["count"]) for r in lake.store.read(fqn).groupBy("v").count().orderBy("v").collect()] == [("new", 20), ("old", 20)]
 
 
 def test_audit_and_schema_versions(lake):
@@ -234,23 +305,24 @@ def test_text_column_becomes_a_timestamp(lake):
 
 def test_columns_only_silver_has_survive_a_rebuild(lake):
     lake.run("buf-1", envelope("buf-1", "u", 1, V1[1], V1[0]), envelope("buf-1", "u", 2, V1[1], V1[0]))
-    silver = lake.store.read(TYPE2).withColumn("note", F.concat(F.lit("n"), F.col("id").cast("string")))
-    known = lake.store.describe(TYPE2)
-    lake.store._save_description(TYPE2, silver.schema, known["partitions"], known["keys"])
-    lake.store.replace_keys(TYPE2, silver, silver.select("id"), SPEC.keys)
+    silver = lake.store.tips(TYPE2).withColumn("note", F.concat(F.lit("n"), F.col("id").cast("string")))
+    wanted = desired_columns(silver.drop("_generation").schema, {}, SILVER)
+    lake.store.evolve(TYPE2, plan_evolution(TYPE2, lake.store.schema(TYPE2), wanted))
+    lake.store.write_history(TYPE2, silver, SPEC.keys, "notes")
     lake.run("buf-2", envelope("buf-2", "u", 1, V2[1], V2[0]))
     assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]
-    assert lake.apply("buf-1").rebuilt
+    lake.load(envelope("buf-3", "u", 1, V1[1], V1[0]), envelope("buf-3", "u", 2, V1[1], V1[0]))
+    assert lake.apply("buf-3").rebuilt
     assert lake.rows(TYPE2, "id", "note") == [(1, "n1"), (1, None), (2, "n2")]
 
 
 def test_older_silver_layout_is_brought_up_to_date(lake):
     lake.run("buf-1", envelope("buf-1", "u", 1, V1[1], V1[0]), envelope("buf-1", "u", 2, V1[1], V1[0]))
     new = {"_is_deleted", "version_key", "_last_lsn"}
-    old = lake.store.read(TYPE2).drop(*new)
-    known = lake.store.describe(TYPE2)
-    lake.store._save_description(TYPE2, old.schema, known["partitions"], known["keys"])
-    lake.store.replace_keys(TYPE2, old, old.select("id"), SPEC.keys)
+    old = lake.store.tips(TYPE2).drop(*new)
+    lake.store = FolderStore(lake.spark, str(lake.folder / "older"), buckets=4)
+    lake.load(envelope("buf-1", "u", 1, V1[1], V1[0]), envelope("buf-1", "u", 2, V1[1], V1[0]))
+    lake.store.write_history(TYPE2, old, SPEC.keys, "older")
     assert not new & set(lake.store.read(TYPE2).columns)
     lake.run("buf-2", envelope("buf-2", "u", 1, V2[1], V2[0]))
     assert new <= set(lake.store.read(TYPE2).columns)
@@ -277,20 +349,16 @@ def test_reading_by_the_declared_schema_alone(lake):
     ]
 
 
-def test_interrupted_rewrite_is_finished_with_its_schema(lake, monkeypatch):
-    store, fqn = lake.store, "geo.public_silver.texts_type2"
-    rows = lake.spark.createDataFrame([(1, "2026-05-31 01:00:00")], "id long, at string")
-    monkeypatch.setattr(store, "_apply", lambda *_: None)
-    store.replace_keys(fqn, rows, rows, ["id"])  # stopped before anything is in place
-    assert not store.exists(fqn)
-    monkeypatch.undo()
-    store.recover(fqn)
-    assert store.read(fqn).count() == 1
-    stored = rows.withColumn("at", F.col("at").cast("timestamp"))
-    plan = plan_evolution(fqn, store.schema(fqn), desired_columns(stored.schema, {}, SILVER))
-    monkeypatch.setattr(store, "_apply", lambda *_: None)
-    store.evolve(fqn, plan)
-    assert store.read(fqn).first()["at"] == "2026-05-31 01:00:00"
-    monkeypatch.undo()
-    store.recover(fqn)
-    assert dict(store.read(fqn).dtypes)["at"] == "timestamp" and store.read(fqn).count() == 1
+def test_text_becomes_a_timestamp_without_rewriting_a_file(lake):
+    store, fqn = lake.store, "geo.public_silver.texts_type1"
+    rows = lake.spark.range(100).selectExpr("id", "'2026-05-31 01:00:00' AS at", "id % 7 AS n")
+    store.upsert(fqn, rows, ["id"])
+    files = sorted(p.name for p in (lake.folder / "lake").rglob("part-*.parquet") if "_tables" not in str(p))
+    stamped = rows.withColumn("at", F.col("at").cast("timestamp"))
+    store.evolve(fqn, plan_evolution(fqn, store.schema(fqn), desired_columns(stamped.schema, {}, SILVER)))
+    assert sorted(p.name for p in (lake.folder / "lake").rglob("part-*.parquet") if "_tables" not in str(p)) == files
+    assert dict(store.read(fqn).dtypes)["at"] == "timestamp"
+    again = FolderStore(lake.spark, store.root, buckets=4)
+    again.upsert(fqn, lake.spark.createDataFrame([(1, datetime(2026, 6, 1), 1)], "id long, at timestamp, n long"), ["id"])
+    seen = again.read(fqn).groupBy(F.col("at").cast("string").alias("at")).count().orderBy("at").collect()
+    assert [tuple(r) for r in seen] == [("2026-05-31 01:00:00", 99), ("2026-06-01 00:00:00", 1)]

@@ -4,7 +4,7 @@ from datetime import timedelta
 import pytest
 
 from tests.walk import DAY0, END, SCHEMA, SHOWN, expected, random_log, text
-from tidemark.operators.incremental import extend_type2, key_state, replace_keys
+from tidemark.operators.incremental import extend_type2, key_state, last_versions, with_new_versions
 from tidemark.operators.versions import build_type2
 from tidemark.spec import END_OF_TIME_YEAR_10000, ScdSpec
 
@@ -106,12 +106,27 @@ def test_buffers_one_by_one_equal_one_batch(spark, seed, in_order, hot_rows):
         bronze = spark.createDataFrame(seen, SCHEMA)
         state = key_state(changes, silver, spec)
         delta = extend_type2(state, changes, silver, bronze, spec)
-        after = delta if silver is None else replace_keys(silver, delta, state, spec.keys)
+        after = delta if silver is None else with_new_versions(silver, delta, state, spec)
         silver = spark.createDataFrame(after.collect(), after.schema)
     assert rows_of(silver) == expected(seen)
     assert rows_of(build_type2(spark.createDataFrame(seen, SCHEMA), spec)) == expected(seen)
 
 
+def test_increments_touch_the_tip_only(spark):
+    """What an in-order increment writes, and what it reads of silver, does not depend on how long the history is."""
+    for length in (5, 50):
+        rows = [(k, f"n{i}", DAY0 + timedelta(days=i), "u", i, 0, "b", "j") for k in range(6) for i in range(length)]
+        silver = build_type2(spark.createDataFrame(rows, SCHEMA), PLAIN)
+        changes = spark.createDataFrame([(k, "new", DAY0 + timedelta(days=900), "u", 1000, 0, "c", "j") for k in range(4)], SCHEMA)
+        tips = spark.createDataFrame(last_versions(silver).collect(), silver.schema)  # nothing but these is needed
+        state = key_state(changes, tips, PLAIN)
+        delta = extend_type2(state, changes, tips, None, PLAIN)
+        got = sorted((r.id, r._record_number, r._record_count, r._is_current) for r in delta.collect())
+        assert got == [(k, length + i, length + 1, bool(i)) for k in range(4) for i in (0, 1)]
+        want = expected(rows + [tuple(r) for r in changes.collect()])
+        assert rows_of(with_new_versions(silver, delta, state, PLAIN)) == want
+
+
 def test_copies_that_arrived_alike_count_the_same_at_any_threshold(spark):
     rows = [(1, f"{c}{i}", DAY0 + timedelta(days=i % 7), "u", i, 0, "b", f"j{c}") for i in range(300) for c in "xy"]
     changes = spark.createDataFrame(rows, SCHEMA)

@@ -84,7 +84,7 @@ class Evolution:
     added: list[str] = field(default_factory=list)
     widened: list[str] = field(default_factory=list)
     rewritten: list[str] = field(default_factory=list)
-    """Widened columns whose stored values a reader cannot widen, so that files must be rewritten."""
+    """Widened columns whose stored values a reader cannot widen: they are converted when read, or rewritten."""
 
     @property
     def changed(self) -> bool:

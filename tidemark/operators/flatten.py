@@ -24,8 +24,8 @@ def _type_at(schema: T.DataType | None, path: tuple[str, ...]) -> T.DataType | N
     return schema
 
 
-def flatten_envelope(raw: DataFrame) -> DataFrame:
-    """One narrow projection: ``before_*``, ``after_*``, ``_source_*``, event metadata, extract lineage.
+def flatten_envelope(raw: DataFrame, *passed: str) -> DataFrame:
+    """One narrow projection: ``before_*``, ``after_*``, ``_source_*``, event metadata, extract lineage, and columns passed on.
 
     An image whose type is not a struct (every value null, so the reader could not infer it) takes the shape of
     the other image, as typed nulls; a part that is no struct otherwise has no columns.
@@ -50,7 +50,8 @@ def flatten_envelope(raw: DataFrame) -> DataFrame:
             for path in COLUMNS_OF
             for field in shapes.get(path, T.StructType()).fields
             if path != PAYLOAD or field.name in METADATA_FIELDS
-        )
+        ),
+        *passed,
     )
 
 

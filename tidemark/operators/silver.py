@@ -48,12 +48,26 @@ def as_of(type2: DataFrame, moment: Column | str) -> DataFrame:
     return type2.where((F.col(VALID_FROM) <= moment) & (moment <= F.col(VALID_TO)))
 
 
+def refuse_repeated(source: DataFrame, keys) -> DataFrame:
+    """``source``, failing when it runs if a key has several rows: a merge could not tell which of them counts.
+
+    Null keys match nothing, so they may repeat. The count shares the merge's exchange.
+    """
+    present = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    why = F.concat(F.lit("several source rows for the key "), F.to_json(F.struct(*keys)))
+    counted = source.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    single = F.when(present & (F.col("_copies") > 1), F.raise_error(why).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(single).drop("_copies")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Keyed merge: source rows replace or join target rows; one exchange on the key.
 
-    Columns only the target has keep their values in matched rows; columns only the source has are added.
+    Columns only the target has keep their values in matched rows; columns only the source has are added. Several source
+    rows for one key are an error.
     """
     keys = list(keys)
+    source = refuse_repeated(source, keys)
     kept_columns = [c for c in target.columns if c not in source.columns]
     if not kept_columns:
         untouched = target.join(source.select(*keys), keys, "left_anti")

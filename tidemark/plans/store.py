@@ -1,8 +1,17 @@
-"""Tables as parquet folders, or in a catalog with row-level merges.
+"""Tables as Parquet folders, or in a catalog with row-level merges.
 
-``FolderStore`` needs nothing but a shared file system. A keyed table is partitioned by a hash bucket of its
-key, so that replacing keys rewrites only the buckets they fall into. ``CatalogStore`` hands the same
-operations to a catalog that has ``MERGE``.
+``FolderStore`` needs nothing but a shared file system. Every change of a table is one Spark write that replaces exactly the
+partitions it brings (dynamic partition overwrite), so a write that is repeated leaves the same table. There are three layouts:
+
+* *log* (bronze): partitions for load date, load and key bucket. A load that is repeated replaces itself.
+* *keyed* (type 1): a partition for each key bucket; an upsert rewrites the buckets its keys fall into.
+* *history* (type 2): the last version of each key in one partition for each bucket, the versions before it in partitions that are
+  only added. What an increment writes depends on its keys and their new versions, not on their history. A closed version counts while
+  its number is below that of its key's last one and it is of the key's present generation: versions that a rebuild of the key
+  replaced are of an older one. The number of versions of a key stands in its last one, and readers join it.
+
+Schemas are rows of a table of their own, ``_tables``; the latest one of a table holds. A column that changes from text to a type that files
+of text cannot be read as goes on under another stored name, and reads as either; so no change of a schema touches a file.
 """
 
 from __future__ import annotations
@@ -10,18 +19,73 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.naming import split_fqn, table_path
 from tidemark.operators.evolve import Evolution, convert
-from tidemark.spec import DATE_PARTITIONS
-
-BUCKET = "_bucket"
-
-
-READY = "_ready.json"
+from tidemark.operators.silver import merge_upsert, refuse_repeated
+from tidemark.sources.fields import record
+from tidemark.spec import DATE_PARTITIONS, GENERATION, RAW_FILE, RECORD_COUNT, RECORD_NUMBER, VERSION_KEY
+
+BUCKET, LOAD, SIDE = "_bucket", "_load", "_side"
+HIDDEN = (BUCKET, LOAD, SIDE, GENERATION, RAW_FILE)
+TIP, CLOSED = "tip", "closed"
+#: Partition of the last versions, which belong to no single load.
+NO_LOAD = "-"
+#: Begins the names of loads that no index knows, and the bucket of rows whose keys were not looked at.
+UNINDEXED = "unindexed-"
+ANY_BUCKET = -1
+
+LOG, KEYED, HISTORY = "log", "keyed", "history"
+PARTITIONS = {LOG: (*DATE_PARTITIONS, LOAD, BUCKET), KEYED: (BUCKET,), HISTORY: (SIDE, BUCKET, LOAD)}
+STORED = {
+    LOG: record("_raw_file string, _load string, _bucket int"),
+    KEYED: record("_bucket int"),
+    HISTORY: record("_generation bigint, _side string, _bucket int, _load string"),
+}
+TABLES = record("fqn string, version int, layout string, columns string, older string, keys array<string>, buckets int")
+
+
+@dataclass(frozen=True)
+class Table:
+    """What the store knows of a table. ``older``: for retyped columns, stored names and types before the present one."""
+
+    fqn: str
+    layout: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    buckets: int
+    version: int = 1
+    older: dict[str, list[dict]] = field(default_factory=dict)
+
+    def stored_name(self, column: str) -> str:
+        return f"{column}__{len(self.older[column])}" if column in self.older else column
+
+    def older_fields(self, column: str) -> list[T.StructField]:
+        return [T.StructField.fromJson(f) for f in self.older.get(column, ())]
+
+    def stored_schema(self) -> T.StructType:
+        fields = []
+        for f in self.schema.fields:
+            retyped = f.name in self.older
+            fields.append(T.StructField(self.stored_name(f.name), f.dataType, True, {} if retyped else f.metadata))
+            fields += self.older_fields(f.name)
+        return T.StructType([*fields, *STORED[self.layout].fields])
+
+    def shown(self, stored: DataFrame) -> DataFrame:
+        """Stored rows with the table's columns, hidden ones included."""
+        columns = []
+        for f in self.schema.fields:
+            value = F.col(f"`{self.stored_name(f.name)}`")
+            if f.name in self.older:
+                earlier = reversed(self.older_fields(f.name))
+                value = F.coalesce(value, *(convert(F.col(f"`{e.name}`"), e.dataType, f.dataType) for e in earlier))
+            columns.append(value.alias(f.name))
+        return stored.select(*columns, *(F.col(f.name) for f in STORED[self.layout].fields))
 
 
 class FolderStore:
@@ -29,198 +93,186 @@ class FolderStore:
 
     table_format = "parquet"
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, log_buckets: int = 16):
+        """``log_buckets`` are those of each load of a log; fewer than ``buckets``, as they multiply with the loads."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.log_buckets = min(log_buckets, buckets)
+        self._tables: dict[str, Table] | None = None
 
-    # Names and files
+    # Tables
 
     def path(self, fqn: str) -> str:
         return table_path(self.root, fqn)
 
-    def _hadoop(self, path: str):
-        jvm = self.spark._jvm
-        location = jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()), location
-
-    def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _children(self, path: str) -> list[str]:
-        files, location = self._hadoop(path)
-        return [s.getPath().toString() for s in files.listStatus(location)] if files.exists(location) else []
-
-    def _write_text(self, path: str, text: str) -> None:
-        files, location = self._hadoop(path)
-        out = files.create(location, True)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-
-    def _read_text(self, path: str) -> str:
-        files, location = self._hadoop(path)
-        source = files.open(location)
+    def refresh(self) -> None:
+        """Look up the present schemas: another job may write the tables that this one reads. One row for each table."""
         try:
-            return bytes(source.readAllBytes()).decode("utf-8")
-        finally:
-            source.close()
-
-    # Description: schema and partition columns, one small file per version
-
-    def describe(self, fqn: str) -> dict | None:
-        versions = sorted(p for p in self._children(f"{self.path(fqn)}/_description") if p.endswith(".json"))
-        return json.loads(self._read_text(versions[-1])) if versions else None
+            rows = self.spark.read.schema(TABLES).parquet(f"{self.root}/_tables")
+        except AnalysisException:  # no table yet
+            self._tables = {}
+            return
+        latest = rows.groupBy("fqn").agg(F.max_by(F.struct(*TABLES.fieldNames()), "version").alias("t"))
+        self._tables = {r.t.fqn: _table(r.t) for r in latest.collect()}
 
-    def _description(self, fqn: str, schema: T.StructType, partitions: list[str], keys: list[str]) -> dict:
-        return {
-            "schema": json.loads(schema.json()), "partitions": partitions, "keys": keys, "buckets": self.bucket_count(fqn)
-        }
+    def exists(self, fqn: str) -> bool:
+        if self._tables is None or fqn not in self._tables:
+            self.refresh()
+        return fqn in self._tables
 
-    def _save_description(self, fqn: str, description: dict) -> None:
-        folder = f"{self.path(fqn)}/_description"
-        number = len(self._children(folder)) + 1
-        self._write_text(f"{folder}/{number:08d}.json", json.dumps(description))
+    def _known(self, fqn: str) -> Table:
+        if not self.exists(fqn):
+            raise ValueError(f"no such table: {fqn}")
+        return self._tables[fqn]
 
-    def exists(self, fqn: str) -> bool:
-        return self.describe(fqn) is not None
+    def _save(self, table: Table) -> None:
+        row = (table.fqn, table.version, table.layout, table.schema.json(), json.dumps(table.older), list(table.keys), table.buckets)
+        self.spark.createDataFrame([row], TABLES).coalesce(1).write.mode("append").parquet(f"{self.root}/_tables")
+        self._tables[table.fqn] = table
 
     def schema(self, fqn: str) -> T.StructType:
-        return T.StructType.fromJson(self._known(fqn)["schema"])
+        return self._known(fqn).schema
 
-    def _known(self, fqn: str) -> dict:
-        known = self.describe(fqn)
-        if known is None:
-            raise ValueError(f"no such table: {fqn}")
-        return known
+    def evolve(self, fqn: str, plan: Evolution) -> None:
+        """Take over an evolved schema; no file is rewritten. Added columns read as their default from older files, widened ones are
+        widened by the reader, and retyped ones go on under another stored name."""
+        if not plan.changed:
+            return
+        table = self._known(fqn)
+        older = dict(table.older)
+        for name in plan.rewritten:
+            before = T.StructField(table.stored_name(name), table.schema[name].dataType)
+            older[name] = [*older.get(name, []), before.jsonValue()]
+        self._save(replace(table, schema=plan.schema, older=older, version=table.version + 1))
 
     # Reads
 
     def read(self, fqn: str, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The table without its bucket column; with buckets given, only those folders are read."""
-        rows = self._read_stored(fqn)
+        """The table without its hidden columns; with buckets given, only those folders are read."""
+        rows = self._rows(fqn, buckets)
+        if self._known(fqn).layout == HISTORY:
+            rows = _counting(rows, self._known(fqn).keys)
+        return rows.drop(*HIDDEN)
+
+    def tips(self, fqn: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The last version of each key, with the generation of its history."""
+        return self._rows(fqn, buckets).where(F.col(SIDE) == TIP).drop(SIDE, BUCKET, LOAD)
+
+    def read_log(
+        self, fqn: str, days: Iterable[tuple] | None = None, loads: Iterable[str] | None = None, buckets: Iterable[int] | None = None
+    ) -> DataFrame:
+        """A log's rows with hidden columns: those of some days, loads or key buckets only, by partition. Loads that
+        no index knows are always among them."""
+        rows = self._rows(fqn)
+        outside = F.col(LOAD).startswith(UNINDEXED)
+        if days is not None:
+            wanted = outside
+            for year, month, day in days:
+                wanted = wanted | ((F.col("_year") == year) & (F.col("_month") == month) & (F.col("_day") == day))
+            rows = rows.where(wanted)
+        if loads is not None:
+            rows = rows.where(outside | F.col(LOAD).isin(*loads))
         if buckets is not None:
-            rows = rows.where(F.col(BUCKET).isin(*buckets))
-        return rows.drop(BUCKET)
+            rows = rows.where(F.col(BUCKET).isin(ANY_BUCKET, *buckets))
+        return rows
 
-    def _read_stored(self, fqn: str) -> DataFrame:
-        known = self._known(fqn)
-        schema = T.StructType.fromJson(known["schema"])
-        if known["keys"]:
-            schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path(fqn))
+    def _rows(self, fqn: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        table = self._known(fqn)
+        try:
+            stored = self.spark.read.schema(table.stored_schema()).parquet(self.path(fqn))
+        except AnalysisException:  # known, but nothing was written
+            stored = self.spark.createDataFrame([], table.stored_schema())
+        rows = table.shown(stored)
+        return rows if buckets is None else rows.where(F.col(BUCKET).isin(*buckets))
 
     # Writes
 
-    def create_append(self, fqn: str, rows: DataFrame, partitions: Iterable[str] = DATE_PARTITIONS) -> None:
-        """Append rows, making the table first if it is new. No deduplication."""
-        partitions = list(partitions)
-        if not self.exists(fqn):
-            self._save_description(fqn, self._description(fqn, rows.schema, partitions, []))
-        rows.write.mode("append").partitionBy(*partitions).parquet(self.path(fqn))
-
-    def bucket_count(self, fqn: str) -> int:
-        return (self.describe(fqn) or {}).get("buckets", self.buckets)
-
-    def same_buckets(self, one: str, other: str) -> bool:
-        return self.bucket_count(one) == self.bucket_count(other)
-
-    def bucket_of(self, fqn: str, keys: Iterable[str]) -> Column:
-        buckets = self.bucket_count(fqn)
-        return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(buckets)).cast("int").alias(BUCKET)
-
-    def replace_keys(
-        self,
-        fqn: str,
-        rows: DataFrame,
-        touched: DataFrame,
-        keys: Iterable[str],
-        unique: Iterable[str] | None = None,
-        concerned: Iterable[int] | None = None,
+    def bucket_of(self, fqn: str, keys: Iterable[str | Column], layout: str = KEYED) -> Column:
+        """Key bucket of a row; of the key's text, so that a widened key stays where it was."""
+        if self._tables is None:
+            self.refresh()
+        count = self._tables[fqn].buckets if fqn in self._tables else self.log_buckets if layout == LOG else self.buckets
+        texts = ((F.col(k) if isinstance(k, str) else k).cast("string") for k in keys)
+        return F.pmod(F.xxhash64(*texts), F.lit(count)).cast("int").alias(BUCKET)
+
+    def create_append(self, fqn: str, rows: DataFrame, load: str | None = None, bucket: Column | None = None) -> None:
+        """Add a load's rows to a log, making it first if it is new. A load of the same name is replaced, in the partitions of its rows."""
+        self._create(fqn, rows, LOG, ())
+        hidden = {LOAD: F.lit(load or UNINDEXED + uuid.uuid4().hex), BUCKET: F.lit(ANY_BUCKET) if bucket is None else bucket}
+        if RAW_FILE not in rows.columns:
+            hidden[RAW_FILE] = F.lit(None).cast("string")
+        self._write(fqn, rows.withColumns(hidden))
+
+    def upsert(self, fqn: str, rows: DataFrame, keys: Iterable[str], buckets: Iterable[int] | None = None) -> None:
+        """Replace or add one row for each key. ``buckets`` are those of the rows' keys, if the caller has them already."""
+        keys = list(keys)
+        known = self.exists(fqn)
+        if not known:
+            self._create(fqn, rows, KEYED, keys)
+            content = refuse_repeated(rows, keys)
+        else:
+            # At most one value per bucket of the table comes back, whatever the number of keys.
+            buckets = self._buckets_of(fqn, rows, keys) if buckets is None else buckets
+            content = merge_upsert(self.read(fqn, buckets), rows, keys)
+        self._write(fqn, content.select("*", self.bucket_of(fqn, keys)))
+
+    def write_history(
+        self, fqn: str, rows: DataFrame, keys: Iterable[str], load: str, buckets: Iterable[int] | None = None
     ) -> None:
-        """Replace all rows of the touched keys by ``rows`` (which hold only such keys).
+        """Take over new versions of some keys: each key's last one, and those between its stored last one and that.
 
-        The new content of the buckets concerned is written next to the table, then its folders take the
-        place of the old ones. If that is interrupted, the next write finishes it from the written copy.
-        Rebalancing splits an oversized bucket over many files and merges small ones. ``concerned`` are the
-        touched keys' buckets, if the caller has them already.
+        ``rows`` hold the ``_generation`` of each key's history. Last versions replace those of the same keys; the
+        rows of the buckets concerned that belong to other keys are written again, a row for each key.
         """
         keys = list(keys)
-        self.recover(fqn)
+        known = self.exists(fqn)
+        if not known:
+            self._create(fqn, rows, HISTORY, keys)
         bucket = self.bucket_of(fqn, keys)
+        last = F.col(RECORD_NUMBER) == F.col(RECORD_COUNT)
+        side = {SIDE: F.when(last, TIP).otherwise(CLOSED), LOAD: F.when(last, NO_LOAD).otherwise(load), BUCKET: bucket}
+        new = rows.withColumns(side)
+        if known:
+            buckets = self._buckets_of(fqn, rows, keys) if buckets is None else buckets
+            tips = self._rows(fqn, buckets).where(F.col(SIDE) == TIP)
+            others = tips.join(rows.where(last).select(*keys), keys, "left_anti")
+            new = new.unionByName(others, allowMissingColumns=True)
+        self._write(fqn, new)
+
+    def _buckets_of(self, fqn: str, rows: DataFrame, keys: list[str]) -> list[int]:
+        return [r[0] for r in rows.select(self.bucket_of(fqn, keys)).distinct().collect()]
+
+    def _create(self, fqn: str, rows: DataFrame, layout: str, keys: Iterable[str]) -> None:
         if not self.exists(fqn):
-            content = rows.select("*", bucket)
-            described = self._description(fqn, rows.schema, [BUCKET], keys)
-        else:
-            described = self._known(fqn)
-            stored = self._read_stored(fqn)
-            if concerned is None:
-                # At most one value per bucket of the table comes back, whatever the number of keys.
-                concerned = [r[0] for r in touched.select(bucket).distinct().collect()]
-            kept = stored.where(F.col(BUCKET).isin(*concerned)).join(
-                touched.select(*keys), keys, "left_anti"
-            )
-            content = kept.unionByName(rows.select("*", bucket), allowMissingColumns=True)
-        self._apply(fqn, self._stage(fqn, content, [BUCKET], described))
+            fields = [f for f in rows.schema.fields if f.name not in HIDDEN]
+            count = self.log_buckets if layout == LOG else self.buckets
+            self._save(Table(fqn, layout, T.StructType(fields), tuple(keys), count))
 
-    def evolve(self, fqn: str, plan: Evolution) -> None:
-        """Take over an evolved schema. Added and widened columns need no rewrite: files are read through the
-        new schema, and a column's default is what files without it read as. Text that becomes a timestamp
-        is rewritten, partition by partition."""
-        if not plan.changed:
-            return
-        self.recover(fqn)
-        known = self._known(fqn)
-        described = self._description(fqn, plan.schema, known["partitions"], known["keys"])
-        if plan.rewritten:
-            old = self._read_stored(fqn)
-            target = {f.name: f.dataType for f in plan.schema.fields}
-            content = old.select(
-                *(
-                    convert(F.col(f"`{f.name}`"), f.dataType, target[f.name]).alias(f.name)
-                    if f.name in plan.rewritten
-                    else F.col(f"`{f.name}`")
-                    for f in old.schema.fields
-                )
-            )
-            self._apply(fqn, self._stage(fqn, content, known["partitions"], described))
-        else:
-            self._save_description(fqn, described)
-
-    # Staged replacement of partitions
-
-    def _stage(self, fqn: str, content: DataFrame, partitions: list[str], description: dict | None = None) -> str:
-        """Write new content, and last of all what the table is to be described by with it."""
-        description = description or self._known(fqn)
-        staging = f"{self.path(fqn)}/_staging/{uuid.uuid4().hex}"
-        content.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(staging)
-        self._write_text(f"{staging}/{READY}", json.dumps(description))
-        return staging
-
-    def _apply(self, fqn: str, staging: str) -> None:
-        """Put the staged description and every staged partition folder in place of the table's: metadata
-        operations only, which may be repeated after a stop anywhere between them."""
-        description = json.loads(self._read_text(f"{staging}/{READY}"))
-        if self.describe(fqn) != description:
-            self._save_description(fqn, description)
-        depth = len(description["partitions"])
-        files, root = self._hadoop(staging)
-        folders = [staging]
-        for _ in range(depth):
-            folders = [c for f in folders for c in self._children(f) if "=" in c.rsplit("/", 1)[-1]]
-        for folder in folders:
-            target = self._path(self.path(fqn) + "/" + "/".join(folder.split("/")[-depth:]))
-            if files.exists(target):
-                files.delete(target, True)
-            files.mkdirs(target.getParent())
-            if not files.rename(self._path(folder), target):
-                raise IOError(f"could not move {folder} into {fqn}")
-        files.delete(root, True)
-
-    def recover(self, fqn: str) -> None:
-        """Finish replacements that were completely written but not yet (fully) put in place."""
-        for staging in self._children(f"{self.path(fqn)}/_staging"):
-            if any(p.endswith(f"/{READY}") for p in self._children(staging)):
-                self._apply(fqn, staging)
+    def _write(self, fqn: str, rows: DataFrame) -> None:
+        """One write, which replaces the partitions of its rows. Rebalancing spreads a large partition over many files, and gathers
+        small ones."""
+        table = self._known(fqn)
+        stored = rows.withColumnsRenamed({name: table.stored_name(name) for name in table.older})
+        partitions = PARTITIONS[table.layout]
+        writer = stored.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(self.path(fqn))
+
+
+def _table(row) -> Table:
+    schema = T.StructType.fromJson(json.loads(row.columns))
+    return Table(row.fqn, row.layout, schema, tuple(row.keys), row.buckets, row.version, json.loads(row.older))
+
+
+def _counting(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """The versions of a history that count, with the number of versions of their keys: one row for each key is joined."""
+    tips, closed = rows.where(F.col(SIDE) == TIP), rows.where(F.col(SIDE) == CLOSED)
+    last = tips.select(
+        *keys, F.col(RECORD_NUMBER).alias("_tip_number"), F.col(RECORD_COUNT).alias("_tip_count"), F.col(GENERATION).alias("_tip_generation")
+    )
+    counts = (F.col(RECORD_NUMBER) < F.col("_tip_number")) & (F.col(GENERATION) == F.col("_tip_generation"))
+    joined = closed.join(last, list(keys)).where(counts).withColumn(RECORD_COUNT, F.col("_tip_count"))
+    return tips.unionByName(joined.select(*rows.columns))
 
 
 class CatalogStore:
@@ -237,6 +289,9 @@ class CatalogStore:
     def path(self, fqn: str) -> str:
         return self.name(fqn)
 
+    def refresh(self) -> None:
+        """Nothing to look up: the catalog does."""
+
     def exists(self, fqn: str) -> bool:
         return self.spark.catalog.tableExists(self.name(fqn))
 
@@ -245,55 +300,59 @@ class CatalogStore:
 
     def read(self, fqn: str, buckets: Iterable[int] | None = None) -> DataFrame:
         self.spark.catalog.refreshTable(self.name(fqn))
-        return self.spark.table(self.name(fqn))
+        return self.spark.table(self.name(fqn)).drop(*HIDDEN)
+
+    def tips(self, fqn: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        return self.read(fqn).where(F.col(RECORD_NUMBER) == F.col(RECORD_COUNT))
 
-    def create_append(self, fqn: str, rows: DataFrame, partitions: Iterable[str] = DATE_PARTITIONS) -> None:
-        writer = rows.writeTo(self.name(fqn))
+    def read_log(self, fqn: str, days=None, loads=None, buckets=None) -> DataFrame:
+        self.spark.catalog.refreshTable(self.name(fqn))
+        rows = self.spark.table(self.name(fqn))
+        if days is not None:
+            dates = F.struct(*DATE_PARTITIONS)
+            rows = rows.where(F.lit(False) if not days else dates.isin(*(F.struct(*map(F.lit, d)) for d in days)))
+        return rows if loads is None else rows.where(F.col(LOAD).isin(*loads))
+
+    def create_append(self, fqn: str, rows: DataFrame, load: str | None = None, bucket: Column | None = None) -> None:
+        """Add a load's rows; rows that an earlier try of the same load left are replaced in the same commit."""
+        load = load or UNINDEXED + uuid.uuid4().hex
+        writer = rows.withColumn(LOAD, F.lit(load)).writeTo(self.name(fqn))
         if self.exists(fqn):
-            writer.append()
+            writer.overwrite(F.col(LOAD) == load)
         else:
-            writer.using(self.provider).partitionedBy(*(F.col(p) for p in partitions)).create()
+            writer.using(self.provider).partitionedBy(*(F.col(p) for p in DATE_PARTITIONS), F.col(LOAD)).create()
 
-    def merge(self, fqn: str, rows: DataFrame, unique: Iterable[str]) -> None:
-        """Merge by ``unique``: matched rows take every other incoming column; target-only columns stay."""
-        unique = list(unique)
-        changed = {c: F.col(f"s.`{c}`") for c in rows.columns if c not in unique}
-        merging = rows.alias("s").mergeInto(self.name(fqn), self._matching(fqn, unique))
+    def upsert(self, fqn: str, rows: DataFrame, keys: Iterable[str], buckets: Iterable[int] | None = None) -> None:
+        """Merge by key: matched rows take every other incoming column; target-only columns stay."""
+        keys = list(keys)
+        if not self.exists(fqn):
+            refuse_repeated(rows, keys).writeTo(self.name(fqn)).using(self.provider).create()
+            return
+        changed = {c: F.col(f"s.`{c}`") for c in rows.columns if c not in keys}
+        merging = refuse_repeated(rows, keys).alias("s").mergeInto(self.name(fqn), self._matching(fqn, keys))
         merging.whenMatched().update(changed).whenNotMatched().insertAll().merge()
 
     def _matching(self, fqn: str, columns: Iterable[str]) -> Column:
         return F.expr(" AND ".join(f"{self.name(fqn)}.`{c}` = s.`{c}`" for c in columns))
 
-    def replace_keys(
-        self,
-        fqn: str,
-        rows: DataFrame,
-        touched: DataFrame,
-        keys: Iterable[str],
-        unique: Iterable[str] | None = None,
-        concerned: Iterable[int] | None = None,
+    def write_history(
+        self, fqn: str, rows: DataFrame, keys: Iterable[str], load: str, buckets: Iterable[int] | None = None
     ) -> None:
-        keys = list(keys)
-        unique = list(unique or keys)
-        if not self.exists(fqn):
-            rows.writeTo(self.name(fqn)).using(self.provider).create()
-            return
-        if unique != keys:
-            # Rows of touched keys that the new state lacks go first; then the rest is merged.
-            stale = self.read(fqn).join(touched.select(*keys), keys, "left_semi").select(*unique)
-            stale = stale.join(rows.select(*unique), unique, "left_anti")
-            stale.alias("s").mergeInto(self.name(fqn), self._matching(fqn, unique)).whenMatched().delete().merge()
-        self.merge(fqn, rows, unique)
-
-    def bucket_of(self, fqn: str, keys: Iterable[str]) -> None:
+        """Merge versions, drop those that a rebuild of their key no longer has, and bring the counts of the others up to date."""
+        keys, rows = list(keys), rows.drop(GENERATION)
+        if self.exists(fqn):
+            number = F.col(f"{self.name(fqn)}.`{RECORD_NUMBER}`")
+            first = rows.groupBy(*keys).agg(F.min(RECORD_NUMBER).alias("_first"), F.max(RECORD_COUNT).alias("_count"))
+            stale = self.read(fqn).join(first, keys).where(F.col(RECORD_NUMBER) >= F.col("_first")).select(VERSION_KEY)
+            stale = stale.join(rows.select(VERSION_KEY), VERSION_KEY, "left_anti")
+            stale.alias("s").mergeInto(self.name(fqn), self._matching(fqn, [VERSION_KEY])).whenMatched().delete().merge()
+            older = first.alias("s").mergeInto(self.name(fqn), self._matching(fqn, keys))
+            older.whenMatched(number < F.col("s._first")).update({RECORD_COUNT: F.col("s._count")}).merge()
+        self.upsert(fqn, rows, [VERSION_KEY])
+
+    def bucket_of(self, fqn: str, keys: Iterable[str | Column], layout: str = KEYED) -> Column:
         """No buckets: which files a key is in is the table format's business."""
-        return None
-
-    def same_buckets(self, one: str, other: str) -> bool:
-        return True
-
-    def recover(self, fqn: str) -> None:
-        """Nothing to finish: the catalog's commits are atomic."""
+        return F.lit(ANY_BUCKET).alias(BUCKET)
 
     def evolve(self, fqn: str, plan: Evolution) -> None:
         fields = {f.name: f for f in plan.schema.fields}

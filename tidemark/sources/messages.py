@@ -47,6 +47,14 @@ RUN_METRIC = record(
     "operation string, table_identity string, extract_buffer_id string, outcome string, rows bigint, "
     "started_at timestamp, ended_at timestamp"
 )
+# One row for each step of a load: for each notified file when it begins, for each raw file and buffer when its rows are in the
+# table, for each load when it is announced, for each load and buffer when silver has it.
+TABLE_LOAD = record(
+    "table_fqn string, load string, state string, loaded_at timestamp, raw_file_path string, extract_buffer_id string, "
+    "buckets array<int>, row_count bigint, source_min_lsn bigint, source_max_lsn bigint, recorded_at timestamp"
+)
+BEGUN, LOADED, ANNOUNCED, APPLIED, ABANDONED = "begun", "loaded", "announced", "applied", "abandoned"
+WAITING_FILE = record("raw_file_path string, message string, first_seen timestamp, waiting int, recorded_at timestamp")
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Kinds of writes and topics.

@@ -25,6 +25,10 @@ DATE_PARTITIONS = ("_year", "_month", "_day")
 
 # Highest change sequence number folded into a silver row (not in the published layout).
 LAST_SEEN = "_last_lsn"
+# Tells a key's present history from versions that a rebuild of the key has replaced (hidden from readers).
+GENERATION = "_generation"
+# The raw file a change came from (hidden from readers).
+RAW_FILE = "_raw_file"
 
 TYPE2_COLUMNS = (
     VALID_FROM,

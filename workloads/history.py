@@ -12,7 +12,7 @@ from tidemark.operators.changes import (
     tombstones as tombstone_rows,
 )
 from tidemark.operators.flatten import deletes, upserts
-from tidemark.operators.incremental import extend_type2, key_state, replace_keys
+from tidemark.operators.incremental import extend_type2, key_state, with_new_versions
 from tidemark.operators.scratch import written
 from tidemark.operators.silver import as_of, derive_type1, ensure_layout, type1_of_complete
 from tidemark.operators.skew import with_ordinals
@@ -150,12 +150,12 @@ def _two_buffers(spark, sf_dir, first, second, bronze):
     silver = written(build_type2(first, SPEC))
     state = written(key_state(second, silver, SPEC))
     delta = extend_type2(state, second, silver, bronze, SPEC)
-    return shown(replace_keys(silver, delta, state, SPEC.keys), *HISTORY)
+    return shown(with_new_versions(silver, delta, state, SPEC), *HISTORY)
 
 
 @query(WITH_DELETES)
 def scd2_incremental_equals_batch(spark, sf_dir):
-    """Two buffers in order: the second extends what the first left in silver; bronze is not read again."""
+    """Two buffers in order: the second extends each key's last version; earlier versions and bronze are not read again."""
     changes = event_changes(spark, sf_dir)
     early = F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz")
     return _two_buffers(spark, sf_dir, changes.where(early), changes.where(~early), None)
@@ -196,25 +196,39 @@ def scd2_leading_tombstones(spark, sf_dir):
     return shown(history.where(F.col("_op") == "d"), *HISTORY)
 
 
+CUSTOMER_DELETES = """
+d AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS value, 1000000000 + c_custkey AS _source_lsn, 1767225600000 + c_custkey * 7 AS _ts_ms
+      FROM customer)
+"""
+ORDER_UPSERTS = ORDER_CHANGES.format(key="o_custkey", unit="day").replace("CASE WHEN o_orderstatus = 'P' THEN 'd' ELSE 'u' END", "'u'")
+
+
+def _orders_and_deletes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All orders as versions of their customer, and a later delete of every customer, with orders or without."""
+    orders = order_changes(spark, sf_dir, "o_custkey", "day").withColumn("_op", F.lit("u"))
+    gone = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("value"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"), F.lit("d").alias("_op"),
+        (F.col("c_custkey") + 1_000_000_000).alias("_source_lsn"), (F.col("c_custkey") * 7 + 1_767_225_600_000).alias("_ts_ms"),
+        F.lit("gone").alias("_extract_buffer_id"),
+    )
+    return orders, gone
+
+
 @query(f"""
-WITH {EVENT_CHANGES},
-d AS (SELECT * FROM e WHERE _op = 'd' AND updated_at >= TIMESTAMP '{CUT}'
-      QUALIFY row_number() OVER (PARTITION BY id ORDER BY _source_lsn DESC) = 1)
+WITH {CUSTOMER_DELETES}
 SELECT id, name, value, _source_lsn, '1970-01-01 00:00:00' AS _valid_from,
        CAST(make_timestamp(_ts_ms * 1000) AS VARCHAR) AS _valid_to, true AS _is_current, true AS _is_deleted,
        id || '-' || _source_lsn AS primary_key,
        sha256(id || '-' || _source_lsn || '|1970-01-01 00:00:00') AS version_key, id AS natural_key,
        1 AS _record_number, 1 AS _record_count
-FROM d WHERE id NOT IN (SELECT id FROM e WHERE _op <> 'd' AND updated_at < TIMESTAMP '2024-01-03 00:00:00')
+FROM d WHERE id NOT IN (SELECT o_custkey FROM orders)
 """)
 def tombstones(spark, sf_dir):
-    """Deletes of users that silver (the first two days) does not know."""
-    changes = event_changes(spark, sf_dir)
-    stamp = F.col("updated_at")
-    known = upserts(changes, SPEC).where(stamp < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
-    gone = deletes(changes, SPEC).where(stamp >= F.lit(CUT).cast("timestamp_ntz"))
+    """Deletes of all customers, of whom silver knows those with orders."""
+    orders, gone = _orders_and_deletes(spark, sf_dir)
     columns = [c for c in HISTORY if c not in ("_extract_buffer_id", "_last_lsn")]
-    return shown(tombstone_rows(gone, build_type2(known, SPEC), SPEC), *columns)
+    return shown(tombstone_rows(gone, build_type2(orders, SPEC), SPEC), *columns)
 
 
 SILVER_AT_CUT = f"""
@@ -222,27 +236,41 @@ s AS (SELECT * FROM e WHERE _op <> 'd' AND updated_at < TIMESTAMP '{CUT}'),
 tip AS (SELECT *, CAST(count(*) OVER (PARTITION BY id) AS INTEGER) AS n FROM s
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY _source_lsn DESC) = 1)
 """
+CLOSED_COLUMNS = (
+    "id", "name", "value", "_source_lsn", "_valid_from", "_valid_to", "_is_current", "_is_deleted", "primary_key",
+)
+CLOSED = f"""
+WITH {ORDER_UPSERTS}, {VERSIONS}, {CUSTOMER_DELETES}
+SELECT t2.id, t2.name, t2.value, t2._source_lsn, _valid_from, CAST(make_timestamp(d._ts_ms * 1000) AS VARCHAR) AS _valid_to,
+       false AS _is_current, true AS _is_deleted, primary_key, {{numbers}}
+FROM t2 JOIN d ON t2.id = d.id WHERE _record_number = _record_count
+"""
+
+
+@query(CLOSED.format(numbers="_record_number, _record_count"))
+def delete_close(spark, sf_dir):
+    """A delete of every customer ends the last version of those that silver knows."""
+    orders, gone = _orders_and_deletes(spark, sf_dir)
+    rows = close_deleted(gone, build_type2(orders, SPEC), SPEC)
+    return shown(rows, *CLOSED_COLUMNS, "_record_number", "_record_count")
+
+
+@query(CLOSED.format(numbers="1 AS _record_number, 1 AS _record_count"))
+def delete_close_without_numbers(spark, sf_dir):
+    """The same in a table from before record numbers: the row to close is found by a window, and gets numbers."""
+    orders, gone = _orders_and_deletes(spark, sf_dir)
+    silver = build_type2(orders, SPEC).drop("_record_number", "_record_count")
+    return shown(close_deleted(gone, silver, SPEC), *CLOSED_COLUMNS, "_record_number", "_record_count")
 
 
 @query(f"""
-WITH {EVENT_CHANGES}, {SILVER_AT_CUT},
-d AS (SELECT id, arg_max(_ts_ms, _source_lsn) AS ended FROM e
-      WHERE _op = 'd' AND updated_at >= TIMESTAMP '{CUT}' GROUP BY id)
-SELECT tip.id, name, value, _source_lsn, CAST(updated_at AS VARCHAR) AS _valid_from,
-       CAST(make_timestamp(ended * 1000) AS VARCHAR) AS _valid_to, false AS _is_current, true AS _is_deleted,
-       tip.id || '-' || _source_lsn AS primary_key, n AS _record_number, n AS _record_count
-FROM tip JOIN d ON tip.id = d.id
+WITH {EVENT_CHANGES}, {VERSIONS.replace("ELSE last_buffer END", "ELSE 'z-copy' END")} {SHOW_HISTORY}
 """)
-def delete_close(spark, sf_dir):
-    """Deletes of the later half end the row each user had at the cut."""
+def scd2_copies(spark, sf_dir):
+    """Every event twice: the image of the first copy to arrive counts, and the lineage of the last."""
     changes = event_changes(spark, sf_dir)
-    early = F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz")
-    silver = build_type2(upserts(changes, SPEC).where(early), SPEC)
-    rows = close_deleted(deletes(changes, SPEC).where(~early), silver, SPEC)
-    return shown(
-        rows, "id", "name", "value", "_source_lsn", "_valid_from", "_valid_to", "_is_current", "_is_deleted",
-        "primary_key", "_record_number", "_record_count",
-    )
+    copies = changes.withColumns({"_extract_buffer_id": F.lit("z-copy"), "name": F.lit("copy"), "value": F.lit(-1.0)})
+    return shown(build_type2(copies.unionByName(changes), SPEC), *HISTORY)
 
 
 @query(f"""

@@ -422,12 +422,42 @@ def declared_schema(spark, sf_dir):
 
 
 @query("""
-SELECT DISTINCT 'iceberg.shop.public_bronze.' || event_type || '-value' AS subject, 2 AS fields FROM events
+SELECT c_custkey, 'iceberg.shop.' || lower(c_mktsegment) || '_bronze.n' || c_nationkey || '-value' AS subject, 2 AS fields FROM customer
 """)
 def schema_subjects(spark, sf_dir):
-    """Subject and wrapped schema for each table named in the data."""
+    """Subject and wrapped schema of the table that each row names."""
     wrapped = wrap_schema(T.StructType().add("id", T.LongType()).add("name", T.StringType()).json())
-    names = table(spark, sf_dir, "events").select("event_type").distinct()
-    subject = F.concat(F.lit("iceberg.shop.public_bronze."), F.col("event_type"), F.lit("-value"))
+    names = table(spark, sf_dir, "customer")
+    space = F.concat(F.lower("c_mktsegment"), F.lit("_bronze"))
+    subject = F.concat_ws(".", F.lit("iceberg.shop"), space, F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit("-value")))
     fields = F.size(F.from_json(F.get_json_object(F.lit(wrapped), "$.x-spark-schema.fields"), "array<string>"))
-    return names.select(subject.alias("subject"), fields.alias("fields"))
+    return names.select("c_custkey", subject.alias("subject"), fields.alias("fields"))
+
+
+IMAGE = "SELECT event_id AS _source_lsn, {id} AS id, {name} AS name, {value} AS value, {stamp} AS updated_at FROM events"
+
+
+def _image_sql(there: str) -> str:
+    parts = {"id": "user_id", "name": "event_type", "value": "value", "stamp": SQL_ISO}
+    return IMAGE.format(**{k: f"CASE WHEN {there} THEN {v} END" for k, v in parts.items()})
+
+
+@query(_image_sql("event_type <> 'error'"))
+def after_images(spark, sf_dir):
+    return after_image(flatten_envelope(parsed_envelopes(spark, sf_dir))).select("_source_lsn", "id", "name", "value", "updated_at")
+
+
+@query(_image_sql("event_type <> 'signup'"))
+def before_images(spark, sf_dir):
+    return before_image(flatten_envelope(parsed_envelopes(spark, sf_dir))).select("_source_lsn", "id", "name", "value", "updated_at")
+
+
+@query("""
+SELECT CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS part, user_id AS id, event_id AS _source_lsn,
+       CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN NULL ELSE 'u' END AS _op FROM events
+""")
+def null_operations(spark, sf_dir):
+    """A change without an operation code is an upsert."""
+    changes = event_changes(spark, sf_dir).withColumn("_op", F.when(F.col("_op") != "c", F.col("_op")))
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "id", "_source_lsn", "_op")
+    return part(deletes(changes, SPEC), "delete").union(part(upserts(changes, SPEC), "upsert"))

@@ -61,3 +61,29 @@ def test_table_reads_are_pruned(lake):  # noqa: F811
     silver = plan(lake.store.read(TYPE2, [1]).select("id"))
     assert re.search(r"PartitionFilters: \[[^\]]*_bucket", silver)
     assert "ReadSchema: struct<id:bigint>" in silver
+
+
+def test_late_keys_read_the_partitions_of_their_buckets_and_days(lake, monkeypatch):  # noqa: F811
+    lake.run("buf-1", *(envelope("buf-1", "c", k, 100 + k, V1[0]) for k in range(20)))
+    lake.spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    text = plan(lake.store.read_log(BRONZE, [(2026, 5, 31)], None, [1, 2]).select("after_id"))
+    lake.spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", text)[1]
+    assert "_bucket" in filters and "_year" in filters and "_load" in filters
+    # A late key's bucket and days are all that is asked for.
+    lake.load(envelope("buf-0", "c", 3, 50, V1[0]))
+    asked, read = [], lake.store.read_log
+    monkeypatch.setattr(lake.store, "read_log", lambda *a: asked.append(a) or read(*a))
+    assert lake.apply("buf-0").rebuilt
+    (_, days, loads, *_), (_, late_days, _, buckets) = asked
+    assert len(days) == len(loads) == len(late_days) == len(buckets) == 1
+    # A replay reads neither bronze nor silver.
+    monkeypatch.setattr(lake.store, "read_log", None)
+    monkeypatch.setattr(lake.store, "tips", None)
+    assert lake.apply("buf-1").type2_rows == lake.apply("buf-0").type2_rows == 0
+
+
+def test_an_increment_reads_last_versions_only(lake):  # noqa: F811
+    lake.run("buf-1", *(envelope("buf-1", "c", k, 100 + k, V1[0]) for k in range(20)))
+    text = plan(lake.store.tips(TYPE2, [1]).select("id"))
+    assert re.search(r"PartitionFilters: \[[^\]]*_side[^\]]* = tip", text) and re.search(r"PartitionFilters: \[[^\]]*_bucket", text)

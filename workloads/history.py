@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.changes import (
     changed_upserts,
     close_deleted,
+    closed,
     latest_deletes,
     lineage_refresh,
     tombstones as tombstone_rows,
@@ -177,6 +178,12 @@ def scd2_replayed_buffer(spark, sf_dir):
     return _two_buffers(spark, sf_dir, changes, replay, changes)
 
 
+@query(f"WITH {EVENT_CHANGES}, {VERSIONS} {SHOW_HISTORY} WHERE NOT _is_current")
+def closed_versions(spark, sf_dir):
+    """What is no longer so: superseded and deleted versions."""
+    return shown(closed(build_type2(event_changes(spark, sf_dir), SPEC)), *HISTORY)
+
+
 @query(f"WITH {ORDER_CHANGES.format(key='o_custkey', unit='year')}, {VERSIONS} {SHOW_HISTORY}")
 def scd2_repeated_stamps(spark, sf_dir):
     """Changes without a new stamp refresh lineage only; stamps that run backwards still load."""

@@ -152,7 +152,7 @@ def _no_sink(_: DataFrame) -> None:
 STAMP_TEXT = "CAST(ts AS VARCHAR)"
 
 
-@query(f"""
+BRONZE_ROWS = f"""
 SELECT {", ".join(f"CASE WHEN event_type <> 'signup' THEN {v} END AS before_{n}" for n, v in (("id", "user_id"), ("name", "event_type"), ("value", "value"), ("updated_at", STAMP_TEXT)))},
        {", ".join(f"CASE WHEN event_type <> 'error' THEN {v} END AS after_{n}" for n, v in (("id", "user_id"), ("name", "event_type"), ("value", "value"), ("updated_at", STAMP_TEXT)))},
        'shop' AS _source_db, event_id AS _source_lsn,
@@ -160,7 +160,10 @@ SELECT {", ".join(f"CASE WHEN event_type <> 'signup' THEN {v} END AS before_{n}"
        epoch_us(ts) // 1000 AS _ts_ms, 'job-1' AS _extract_job_id, strftime(ts, '%Y-%m-%d') AS _extract_buffer_id,
        'stream' AS _extract_type, {STAMP_TEXT} AS _extracted_at
 FROM events
-""")
+"""
+
+
+@query(BRONZE_ROWS)
 def streamed_restart(spark, sf_dir):
     """The bronze stream stops after its append, again before its announcement, is run to its end, and is sent every record once more."""
     store, ledger, root = _two_files_a_day(spark, sf_dir)
@@ -175,6 +178,21 @@ def streamed_restart(spark, sf_dir):
     return shown(store.read(BRONZE), *FLAT)
 
 
+@query(BRONZE_ROWS)
+def streamed_absent_files(spark, sf_dir):
+    """Every file is announced, among records without a value, before half of them are there; those are loaded when they have come."""
+    store, ledger, root = _two_files_a_day(spark, sf_dir)
+    moved = F.regexp_replace("raw_file_path", "/raw/(.*)half=1/", "/late/$1half=1/")
+    spark.read.json(f"{root}/in").withColumn("raw_file_path", moved).coalesce(1).write.json(f"{root}/in2")
+    spark.createDataFrame([("",), ("  ",)], "value string").coalesce(1).write.mode("append").text(f"{root}/in2")
+    for late in (False, True):
+        if late:
+            raw = event_envelopes(spark, sf_dir).withColumns({"day": F.col(BUFFER), "half": F.col("payload.source.lsn") % 2}).where("half = 1")
+            raw.write.partitionBy("day", "half").json(f"{root}/late")
+        start_bronze(spark, store, ledger, f"{root}/in2", f"{root}/out", f"{root}/cp1", SPEC, wait=3600).awaitTermination()
+    return shown(store.read(BRONZE), *FLAT)
+
+
 @query(WITH_DELETES)
 def silver_mixed_load_dates(spark, sf_dir):
     """Buffers whose rows came in three loads on three days, applied at once: bronze is read where the ledger says they are."""

@@ -18,7 +18,7 @@ from tidemark.functions.naming import (
     table_fqn_column,
     table_path_column,
 )
-from tidemark.functions.timestamps import convert_timestamps, with_load_date
+from tidemark.functions.timestamps import convert_timestamps, with_load_date, with_transformed_at
 from tidemark.operators.evolve import SILVER, align, desired_columns, plan_evolution
 from tidemark.operators.flatten import after_image, before_image, change_image, deletes, flatten_envelope, upserts
 from tidemark.operators.silver import merge_upsert
@@ -150,6 +150,14 @@ def load_date_columns(spark, sf_dir):
     return with_load_date(table(spark, sf_dir, "events").select("event_id", "ts"), F.col("ts")).drop("ts")
 
 
+@query("SELECT event_id, event_type, true AS stamped FROM events")
+def transformed_at_stamped(spark, sf_dir):
+    """Every row says when it was transformed: after the query began."""
+    began = spark.sql("SELECT current_timestamp()").first()[0]
+    rows = with_transformed_at(table(spark, sf_dir, "events").select("event_id", "event_type"))
+    return rows.select("event_id", "event_type", (F.col("_transformed_at") >= F.lit(began)).alias("stamped"))
+
+
 FILE_NAMES = """
 SELECT event_id, CASE event_type
     WHEN 'error' THEN 'shop.public.' || event_type || '.avro'

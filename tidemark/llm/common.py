@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,28 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded_sample(rows: DataFrame, most_rows: int, most_chars: int, text: str = "text") -> DataFrame:
+    """At most so many of ``rows``, of at most so many characters in all: those first by a hash of all columns.
+
+    Equal rows are taken once, so a repeated row takes no more than its place. Rows longer than all characters allowed are left out.
+    """
+    rows = rows.distinct().filter(F.length(text) <= most_chars).withColumn("_h", F.xxhash64(*rows.columns))
+    first = rows.orderBy("_h", *rows.columns).limit(most_rows)
+    so_far = F.sum(F.length(text)).over(Window.orderBy("_h", *rows.columns))  # over the few rows taken
+    return first.withColumn("_chars", so_far).filter(F.col("_chars") <= most_chars).drop("_h", "_chars")
+
+
+def labelled(docs: DataFrame, marks: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` with their marks (one row a key), to be read several times.
+
+    Few marks are broadcast and texts stay where they are; with more, texts are shuffled to them, once, and written.
+    """
+    marks = written(marks)
+    if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return docs.join(F.broadcast(marks), key)
+    return written(docs.join(marks, key))
+
+
 def bounded_batches(spark, rows: int = 512) -> None:
     """Let Arrow batches of this session hold at most ``rows`` rows: texts may be long, and Spark bounds batches by rows only."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -32,6 +56,13 @@ def bounded_batches(spark, rows: int = 512) -> None:
         spark.conf.set(name, str(rows))
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: workers live on, and the next operator runs in the same ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def blank_if_null(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

@@ -20,13 +20,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, bounded_batches
+from tidemark.llm.common import blank_if_null, bounded_batches, bounded_sample, labelled
 from tidemark.operators.scratch import written
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -57,25 +59,44 @@ def _band(cues: dict[str, int], word: str) -> int:
     return best
 
 
-def _sentences(cues: dict[str, int], text: str, finder: re.Pattern | None):
+def _sentences(cues: dict[str, int], text: str, finder: "Finder | None"):
     """``(bands, spans)`` of the sentences that hold a cue."""
     last = -1
-    for hit in finder.finditer(text) if finder else ():
-        if hit.start() < last or not _band(cues, _WORD.match(text, hit.start())[0]):
+    for start in finder.starts(text) if finder else ():
+        if start < last or not _band(cues, _WORD.match(text, start)[0]):
             continue
-        begin = max(text.rfind(c, max(last, 0), hit.start()) for c in ".!?\n") + 1 or max(last, 0)
-        end = _END.search(text, hit.start())
+        begin = max(text.rfind(c, max(last, 0), start) for c in ".!?\n") + 1 or max(last, 0)
+        end = _END.search(text, start)
         last = end.start() if end else len(text)
         words = list(_WORD.finditer(text, begin, last))
         yield [_band(cues, w[0]) for w in words], [w.span() for w in words]
 
 
-def _finder(cues: dict[str, int]) -> re.Pattern | None:
-    """Finds words that may carry a cue; starts come as one class of three letters followed by the rest."""
-    if not cues:
-        return None
-    starts = sorted({re.escape(c.lstrip("=")[:3]) for c in cues})
-    return re.compile(rf"(?<![^\W\d_])(?:{'|'.join(starts)})", re.I)
+class Finder:
+    """Finds words that carry a cue: one pass over a text, whatever the number of cues."""
+
+    def __init__(self, cues: dict[str, int]):
+        #: Words that may carry one, by three letters, for texts whose lower case is longer.
+        self.pattern = re.compile(rf"(?<![^\W\d_])(?:{'|'.join(sorted({re.escape(c.lstrip('=')[:3]) for c in cues}))})", re.I)
+        self.automaton = ahocorasick.Automaton()
+        for cue in {c.lstrip("=") for c in cues}:
+            self.automaton.add_word(cue, (len(cue) - 1, cue in cues))
+        self.automaton.make_automaton()
+
+    def starts(self, text: str) -> Iterator[int]:
+        """Where such words begin, in order; a word with several cues may come several times."""
+        lower = text.lower()
+        if len(lower) != len(text):  # a letter became two: places would not be those of the text
+            yield from (hit.start() for hit in self.pattern.finditer(text))
+            return
+        for end, (back, begins) in self.automaton.iter(lower):
+            at = end - back
+            if not (at and _WORD.match(lower, at - 1)) and (begins or not _WORD.match(lower, end + 1)):
+                yield at
+
+
+def _finder(cues: dict[str, int]) -> Finder | None:
+    return Finder(cues) if cues else None
 
 
 def _scores(emit: np.ndarray, bands: np.ndarray) -> np.ndarray:
@@ -139,7 +160,7 @@ def _fit_chain(chains: list[tuple[list[int], list[int], float]], rounds: int = 8
     return emit, move
 
 
-def tag(crf: Crf, text: str, finder: re.Pattern | None) -> tuple[float, list[tuple[int, int, float]]]:
+def tag(crf: Crf, text: str, finder: Finder | None) -> tuple[float, list[tuple[int, int, float]]]:
     """Chance of no toxic token (as a log) and toxic spans ``(start, end, marginal)``."""
     clean, spans = 0.0, []
     found = list(_sentences(crf.cues, text, finder))
@@ -159,13 +180,16 @@ def tag(crf: Crf, text: str, finder: re.Pattern | None) -> tuple[float, list[tup
     return clean, spans
 
 
-def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.5, support: int = 4, sample_docs: int = 1600) -> Crf | None:
-    """``marks``: ``doc_id`` and ``toxic`` of the rows that may be learned from."""
+def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.5, support: int = 4, sample_docs: int = 1600, sample_chars: int = 40_000_000) -> Crf | None:
+    """``marks``: ``doc_id`` and ``toxic`` of the rows that may be learned from.
+
+    The sample holds at most twice ``sample_docs`` rows, however often ids repeat, of at most ``sample_chars`` characters.
+    """
     marks = marks.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     have = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
     if not have.get(1) or not have.get(0):
         return None
-    rows = docs.select("doc_id", blank_if_null().alias("text")).join(marks, "doc_id")
+    rows = labelled(docs.select("doc_id", blank_if_null().alias("text")), marks)
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != ""))
     ones, zeros = F.sum((F.col("toxic") == 1).cast("int")), F.sum((F.col("toxic") != 1).cast("int"))
     word = rows.select("toxic", F.explode(words).alias("w")).groupBy("w").agg(ones.alias("t"), zeros.alias("f"))
@@ -189,7 +213,8 @@ def learn(docs: DataFrame, marks: DataFrame, odds: float = 2.5, support: int = 4
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     taken = {k: min(1.0, sample_docs / 2 / have[k]) for k in (0, 1)}
     sample = rows.filter(chance < F.when(F.col("toxic") == 1, taken[1]).otherwise(taken[0]))
-    sample = sorted(map(tuple, sample.select("text", (F.col("toxic") == 1).cast("int")).collect()))
+    sample = bounded_sample(sample.select("text", (F.col("toxic") == 1).cast("int").alias("y")), 2 * sample_docs, sample_chars)
+    sample = sorted(map(tuple, sample.collect()))
     weigh = {k: 1 / taken[k] for k in (0, 1)}  # the sample holds both labels in equal parts
     finder, chains = _finder(cues), []
     for text, toxic in sample:

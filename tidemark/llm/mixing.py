@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, bounded_batches, buffers, pieces, word_hashes
+from tidemark.llm.common import blank_if_null, bounded_batches, bounded_sample, buffers, labelled, pieces, word_hashes
 from tidemark.operators.scratch import written
 
 DOMAINS = ("good", "poor", "toxic")
@@ -88,7 +88,8 @@ def fit_classifier(texts: list[str], domains: list[int], rounds: int = 150) -> M
     return Mixture(w[:HASHED], w[HASHED:], shift)
 
 
-def learn_domains(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000) -> Mixture:
+def learn_domains(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sample_chars: int = 60_000_000) -> Mixture:
+    """The sample holds at most twice ``sample_docs`` rows, however often ids repeat, of at most ``sample_chars`` characters."""
     toxic, good = F.max(F.coalesce("toxic", F.lit(0))), F.max(F.coalesce("quality", F.lit(0)))
     marks = labels.groupBy("doc_id").agg(F.when(toxic == 1, 2).when(good == 1, 0).otherwise(1).alias("_domain"))
     counts = {r[0]: r[1] for r in marks.groupBy("_domain").count().collect()}
@@ -97,8 +98,8 @@ def learn_domains(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000) -
     share = sample_docs / len(counts)
     odds = F.coalesce(*(F.when(F.col("_domain") == k, share / n) for k, n in counts.items()))
     marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < odds)  # a bounded sample
-    got = docs.select("doc_id", blank_if_null().alias("text")).join(F.broadcast(marks), "doc_id").select("text", "_domain")
-    got = sorted(map(tuple, got.collect()))
+    got = labelled(docs.select("doc_id", blank_if_null().alias("text")), marks).select("text", "_domain")
+    got = sorted(map(tuple, bounded_sample(got, 2 * sample_docs, sample_chars).collect()))
     model = fit_classifier([g[0] for g in got], [g[1] for g in got])
     # The sample holds the domains in equal parts: back to their shares among all labels.
     taken = np.bincount([g[1] for g in got], minlength=len(DOMAINS))

@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, bounded_batches, components, mixed, shingle_sets, sized
+from tidemark.llm.common import blank_if_null, bounded_batches, components, give_back, mixed, shingle_sets, sized
 from tidemark.operators.scratch import written
 
 #: 100 * |A and B| >= PERCENT * |A or B|
@@ -108,9 +108,10 @@ def _signatures(width: int):
                     known.add(marks[-1])
                     held.append(s)
                     size += len(s)
-                if size > 1 << 21:
+                if size > 1 << 20:
                     yield frequent()
                     held, size = [], 0
+                    give_back()
             none = pa.nulls(len(n), pa.int64())
             one, two = (pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1))
             bits = [pa.array(b) for b in np.array(sketches, np.int64).reshape(-1, SKETCH).T]
@@ -157,6 +158,7 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
                 names=["part", "entries", "classes"],
             )
 
+        give_back()
         for batch in batches:
             for s in shingle_sets(batch.column("text"), width):
                 mark = _fingerprint(s)
@@ -172,9 +174,10 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
                     entries[k].append(((key[first] & _TOKEN_BITS) << np.uint64(16)) | np.uint64(len(table)))
                 table.append(mark[0])
                 size += p
-                if len(table) == 1 << 16 or size > 1 << 21:
+                if len(table) == 1 << 16 or size > 1 << 19:
                     yield flushed()
                     table, entries, size = [], [[] for _ in range(orders)], 0
+                    give_back()
         if table:
             yield flushed()
 

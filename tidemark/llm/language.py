@@ -24,7 +24,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import bounded_batches, buffers
+from tidemark.llm.common import bounded_batches, buffers, give_back
 
 UNKNOWN = "und"
 WIDTHS, FILTERS, EMBEDDED, WINDOW = (2, 3, 4, 5), 12, 8, 256
@@ -192,6 +192,7 @@ def predict(docs: DataFrame, net: ByteNetwork | None, text: str = "text") -> Dat
     @F.arrow_udf("struct<lang:string,score:double,known:double>")
     def languages(texts: pa.Array) -> pa.Array:
         p = _scored(net, texts)
+        give_back()
         p[:, [x == UNKNOWN for x in net.labels]] = 0
         known = p.sum(axis=1)
         best = p.argmax(axis=1)

@@ -69,8 +69,13 @@ def slots(text: Column) -> Column:
     return F.transform(found, lambda x: F.lower(F.replace(x, F.lit(" "), F.lit(""))))
 
 
+def hashed(tokens: Column) -> Column:
+    """Each token as a number: windows overlap, so that a token would be read ``width`` times."""
+    return F.transform(tokens, lambda t: F.xxhash64(t))
+
+
 def windows(tokens: Column, width: int | Column, kind: int) -> Column:
-    """Place (from 0) and hash of each run of ``width`` tokens."""
+    """Place (from 0) and hash of each run of ``width`` tokens, given as hashes."""
     width = F.lit(width) if isinstance(width, int) else width
     at = F.sequence(F.lit(1), F.size(tokens) - width + 1)
     every = F.transform(at, lambda i: F.struct((i - 1).alias("place"), F.xxhash64(F.slice(tokens, i, width), F.lit(kind)).alias("h")))
@@ -94,7 +99,8 @@ def _item_windows(items: DataFrame, width: int) -> DataFrame:
 
     def of(kind: int, tokens: Column, values: Column) -> DataFrame:
         rows = mine.withColumn("tokens", tokens).withColumn("values", values).withColumn("length", F.size("tokens"))
-        every = windows(F.col("tokens"), F.least(F.col("length"), F.lit(width)), kind)
+        rows = rows.withColumn("codes", hashed(F.col("tokens")))
+        every = windows(F.col("codes"), F.least(F.col("length"), F.lit(width)), kind)
         return rows.select("item_id", "tokens", "values", "length", F.lit(kind).alias("kind"), F.explode(every).alias("w")).select("*", F.col("w.place").alias("at"), "w.h")
 
     told = of(TEMPLATE, template(F.col("_text")), slots(F.col("_text")))
@@ -138,7 +144,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, evidence: in
     keyed = docs.select("doc_id", F.col("text").alias("_text")).withColumn("key", F.xxhash64("doc_id", "_text"))
     tokens = {TEMPLATE: F.col("tokens"), WORDS: F.col("words")}
     every = F.concat(*(windows(tokens[kind], n, kind) for kind, n in [(TEMPLATE, width), (WORDS, width), *short]))
-    probe = keyed.withColumn("tokens", template(F.col("_text"))).withColumn("words", words(F.col("_text")))
+    probe = keyed.withColumn("tokens", hashed(template(F.col("_text")))).withColumn("words", hashed(words(F.col("_text"))))
     probe = probe.select("doc_id", "key", F.explode(every).alias("w")).select("doc_id", "key", "w.place", "w.h")
     hashes = mine.select("h").distinct()
     met = written(probe.join(sized(hashes), "h", "left_semi").distinct())

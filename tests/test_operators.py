@@ -265,6 +265,15 @@ def test_hot_keys_are_found(spark):
     assert find_hot_keys(df, ["k"], ScdSpec()) is None
 
 
+def test_chunks_of_hot_keys_stay_small(spark):
+    """A threshold that follows the table's size must not make a task's share follow it."""
+    df = spark.range(2_000_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"))
+    assert find_hot_keys(df, ["k"], ScdSpec(hot_rows=900_000)).chunks == 4
+    out = with_ordinals(df, ["k"], "o", ScdSpec(hot_rows=900_000))
+    wrong = (F.col("_record_number") != F.expr("o div 2") + 1) | (F.col("_record_count") != 1_000_000)
+    assert out.count() == 2_000_000 and out.where(wrong).count() == 0
+
+
 def test_notifications(spark):
     text = (
         '{"write_type":"raw","raw_file_path":"/d/f.jsonl","extract_buffer_id":" ","source_min_lsn":5,'

@@ -21,6 +21,10 @@ CHUNK = "_chunk"
 # Relations with a few rows per chunk and hot key are broadcast only up to so many rows.
 BROADCAST_ROWS = 500_000
 
+#: Rows of a chunk, about, at most: a chunk is sorted by one task, so it must not grow with the hot keys.
+CHUNK_ROWS = 500_000
+_PLACE = "_place"
+
 
 def key_hash(keys) -> Column:
     return F.xxhash64(*(F.col(k) for k in keys))
@@ -56,6 +60,12 @@ class HotKeys:
         spread = rows.repartitionByRange(self.chunks, *keys, *order)
         return written(spread.withColumn(CHUNK, F.spark_partition_id()))
 
+    def placed(self, rows: DataFrame, keys, *order: str) -> DataFrame:
+        """As ``chunked``, with each row's place in its chunk by ``(key, order)``: sorted where it is, without another exchange."""
+        spread = rows.repartitionByRange(self.chunks, *keys, *order).sortWithinPartitions(*keys, *order)
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count the rows of a partition
+        return written(spread.withColumns({CHUNK: F.spark_partition_id(), _PLACE: place}))
+
 
 def find_hot_keys(inputs: DataFrame | list[DataFrame], keys, spec: ScdSpec) -> HotKeys | None:
     """Keys with more than ``spec.hot_rows`` rows in the union of the inputs, or None.
@@ -73,7 +83,7 @@ def find_hot_keys(inputs: DataFrame | list[DataFrame], keys, spec: ScdSpec) -> H
     found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
     if not found["keys"]:
         return None
-    return HotKeys(hot.select("_hash"), found["keys"], max(2, -(-found["rows"] // spec.hot_rows)))
+    return HotKeys(hot.select("_hash"), found["keys"], max(2, -(-found["rows"] // min(spec.hot_rows, CHUNK_ROWS))))
 
 
 def null_safe(left: DataFrame, right: DataFrame, names) -> Column:
@@ -95,9 +105,11 @@ def with_ordinals(
     if hot is None:
         return local_ordinals(df, keys, order, number, count)
     cold = local_ordinals(hot.others(df, keys), keys, order, number, count)
-    chunked = hot.chunked(hot.rows(df, keys), keys, *order)
-    local = local_ordinals(chunked, [*keys, CHUNK], order, number, count)
-    offsets = chunk_offsets(chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows")), keys)
+    placed = hot.placed(hot.rows(df, keys), keys, *order)
+    counts = placed.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"), F.min(_PLACE).alias("_first"))
+    offsets = chunk_offsets(counts, keys, "_first")
+    offsets = offsets.withColumn("_before", F.col("_before") - F.col("_first")).drop("_first")
+    local = placed.withColumns({number: F.col(_PLACE) + 1, count: F.lit(0)}).drop(_PLACE)
     return cold.unionByName(add_offsets(local, hot.small(offsets), keys, number, count).select(*cold.columns))
 
 
@@ -109,15 +121,15 @@ def local_ordinals(df: DataFrame, group, order, number: str, count: str) -> Data
     )
 
 
-def chunk_offsets(chunks: DataFrame, keys) -> DataFrame:
-    """Rows before each chunk and in its whole key, from one ``_rows`` count per chunk.
+def chunk_offsets(chunks: DataFrame, keys, *more: str) -> DataFrame:
+    """Rows before each chunk and in its whole key, from one ``_rows`` count per chunk; further columns ``more`` stay.
 
     A chunk spans few keys and a key few chunks, so this relation has at most chunks + hot keys rows.
     """
     ordered = Window.partitionBy(*keys).orderBy(CHUNK)
     before = F.sum("_rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     whole = F.sum("_rows").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return chunks.select(*keys, CHUNK, F.coalesce(before, F.lit(0)).alias("_before"), whole.alias("_all"))
+    return chunks.select(*keys, CHUNK, *more, F.coalesce(before, F.lit(0)).alias("_before"), whole.alias("_all"))
 
 
 def add_offsets(local: DataFrame, offsets: DataFrame, keys, number: str, count: str) -> DataFrame:

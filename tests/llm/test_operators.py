@@ -288,6 +288,23 @@ def leaked(spark, items, texts):
     return {r.doc_id: r for r in out}
 
 
+def test_decontamination_windows_are_told_apart_by_their_tokens(spark):
+    """Of every width, one hash for each place, equal where the tokens are; other widths and kinds have other hashes."""
+    from tidemark.llm.decontaminate import _runs, windows
+
+    lists = [[1, 2, 3] * 6, [1, 2, 3, 1, 2, 4, 1, 2, 3, 1, 2, 3, 9], [2, 1], [], [5]]
+    rows = _runs(spark.createDataFrame(list(enumerate(lists)), "i int, codes array<long>"), "codes", 9)
+    made = [(n, kind) for n in (1, 2, 3, 5, 8, 9) for kind in (0, 1)]
+    told = {}
+    for row in rows.select("i", *(windows("codes", n, kind).alias(f"w{n}_{kind}") for n, kind in made)).collect():
+        codes = lists[row.i]
+        for n, kind in made:
+            want = [(kind, *codes[at : at + n]) for at in range(len(codes) - n + 1)]
+            assert len(row[f"w{n}_{kind}"]) == len(want)
+            assert all(told.setdefault(w, h) == h for w, h in zip(want, row[f"w{n}_{kind}"], strict=True))
+    assert len(set(told.values())) == len(told)
+
+
 def test_decontamination_by_occurrence(spark):
     item = "a boat takes 10 km of water to reach Alpha in 3 days and then 25 km more to Bruno where 40 people wait for 12 boats that carry 7 goods from Carla to Delta"
     change = lambda *v: re.sub(r"\d+", lambda m, it=iter(v): str(next(it)), item)

@@ -33,9 +33,10 @@ UNITS = (
     "mm|cm|m|km|in|ft|yd|mi|mg|g|kg|t|oz|lb|lbs|ml|cl|l|gal|s|sec|min|h|hr|hrs|hours?|minutes?|seconds?|days?|weeks?|months?|years?"
     "|meters?|metres?|miles?|feet|inches|grams?|kilograms?|pounds?|tons?|liters?|litres?|dollars?|euros?|cents?|percent|km/h|mph|kb|mb|gb|tb|w|kw|v|hz"
 )
+# What stands before is looked at behind the first character: most places fail on that one.
 _EDGE = r"(?![\p{L}\p{N}])"
-_NAME = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+" + _EDGE
-_NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,][0-9]+)*"
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+" + _EDGE
+_NUMBER = r"[0-9](?<![\p{L}\p{N}][0-9])[0-9]*(?:[.,][0-9]+)*"
 _QUANTITY = _NUMBER + rf" ?(?:(?:{UNITS}){_EDGE}|[%°€$£])"
 _PLAIN = _NUMBER + _EDGE
 NAME, NUMBER, QUANTITY = "\x01", "\x02", "\x03"
@@ -55,7 +56,7 @@ def template(text: Column) -> Column:
     """Tokens of a text with typed placeholders."""
     clean = F.regexp_replace(F.regexp_replace(_clean(text), _NAME, NAME), _QUANTITY, QUANTITY)
     clean = F.regexp_replace(clean, _PLAIN, NUMBER)
-    return F.regexp_extract_all(F.lower(clean), F.lit("[\x01-\x03]|[\\p{L}\\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(clean), F.lit("[\\p{L}\\p{N}]+|[\x01-\x03]"), F.lit(0))
 
 
 def words(text: Column) -> Column:
@@ -74,12 +75,29 @@ def hashed(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def windows(tokens: Column, width: int | Column, kind: int) -> Column:
-    """Place (from 0) and hash of each run of ``width`` tokens, given as hashes."""
-    width = F.lit(width) if isinstance(width, int) else width
-    at = F.sequence(F.lit(1), F.size(tokens) - width + 1)
-    every = F.transform(at, lambda i: F.struct((i - 1).alias("place"), F.xxhash64(F.slice(tokens, i, width), F.lit(kind)).alias("h")))
-    return F.when((F.size(tokens) >= width) & (width > 0), every).otherwise(F.array().cast("array<struct<place:int,h:long>>"))
+def _runs(rows: DataFrame, codes: str, longest: int) -> DataFrame:
+    """``rows`` with hashes of the runs of 2, 4, ... tokens that begin at each place, as columns beside ``codes`` (tokens as hashes).
+
+    A run's hash is that of its halves. Columns, as an expression that is used twice would be evaluated twice.
+    """
+    length, shorter = 2, codes
+    while length < longest:
+        rows, shorter = rows.withColumn(f"{codes}_{length}", _joined(shorter, length // 2, None)), f"{codes}_{length}"
+        length *= 2
+    return rows
+
+
+def _joined(half: str, apart: int, mark: int | None) -> Column:
+    more = [] if mark is None else [F.lit(mark)]
+    return F.transform(F.col(half), lambda x, i: F.xxhash64(x, F.get(F.col(half), i + apart), *more))
+
+
+def windows(codes: str, width: int, kind: int) -> Column:
+    """Hashes of all runs of ``width`` tokens by place: those of the two runs, of a power of two, that begin and end them (and may overlap)."""
+    mark, half = width << 1 | kind, 1 << max(0, (width - 1).bit_length() - 1)
+    column = codes if half == 1 else f"{codes}_{half}"
+    every = _joined(column, width - half, mark) if width > 1 else F.transform(codes, lambda x: F.xxhash64(x, F.lit(mark)))
+    return F.slice(every, F.lit(1), F.greatest(F.size(codes) - (width - 1), F.lit(0)))
 
 
 def _is_slot(token: Column) -> Column:
@@ -99,9 +117,11 @@ def _item_windows(items: DataFrame, width: int) -> DataFrame:
 
     def of(kind: int, tokens: Column, values: Column) -> DataFrame:
         rows = mine.withColumn("tokens", tokens).withColumn("values", values).withColumn("length", F.size("tokens"))
-        rows = rows.withColumn("codes", hashed(F.col("tokens")))
-        every = windows(F.col("codes"), F.least(F.col("length"), F.lit(width)), kind)
-        return rows.select("item_id", "tokens", "values", "length", F.lit(kind).alias("kind"), F.explode(every).alias("w")).select("*", F.col("w.place").alias("at"), "w.h")
+        rows = _runs(rows.withColumn("codes", hashed(F.col("tokens"))), "codes", width)
+        every = F.when(F.col("length") >= width, windows("codes", width, kind))
+        for n in range(1, width):
+            every = every.when(F.col("length") == n, windows("codes", n, kind))
+        return rows.select("item_id", "tokens", "values", "length", F.lit(kind).alias("kind"), F.posexplode(every).alias("at", "h"))
 
     told = of(TEMPLATE, template(F.col("_text")), slots(F.col("_text")))
     plain = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(width)), lambda t: ~_is_slot(t)))
@@ -142,12 +162,19 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, evidence: in
 
     # A row is known by its id and text: rows equal in both have equal results.
     keyed = docs.select("doc_id", F.col("text").alias("_text")).withColumn("key", F.xxhash64("doc_id", "_text"))
-    tokens = {TEMPLATE: F.col("tokens"), WORDS: F.col("words")}
-    every = F.concat(*(windows(tokens[kind], n, kind) for kind, n in [(TEMPLATE, width), (WORDS, width), *short]))
-    probe = keyed.withColumn("tokens", hashed(template(F.col("_text")))).withColumn("words", hashed(words(F.col("_text"))))
-    probe = probe.select("doc_id", "key", F.explode(every).alias("w")).select("doc_id", "key", "w.place", "w.h")
+    probe = keyed.withColumn("tokens", hashed(template(F.col("_text")))).withColumn("words", hashed(words(F.col("_text")))).drop("_text")
+    probe = _runs(_runs(probe, "tokens", width), "words", width)
+    made = [(TEMPLATE, width), (WORDS, width), *short]
+    every = F.flatten(F.array(*(windows("words" if kind == WORDS else "tokens", n, kind) for kind, n in made)))
+    # Made inside the generator: of a column, Spark would derive a filter that makes all windows once more.
+    probe = probe.select("doc_id", "key", F.size("tokens").alias("n_tokens"), F.size("words").alias("n_words"), F.posexplode(every).alias("pos", "h"))
     hashes = mine.select("h").distinct()
-    met = written(probe.join(sized(hashes), "h", "left_semi").distinct())
+    met = probe.join(sized(hashes), "h", "left_semi")
+    place, end = F.col("pos"), F.lit(0)  # windows of several kinds and widths follow each other: places count from where the own ones begin
+    for kind, n in made[:-1]:
+        end = end + F.greatest(F.col("n_words" if kind == WORDS else "n_tokens") - (n - 1), F.lit(0))
+        place = F.when(F.col("pos") >= end, F.col("pos") - end).otherwise(place)
+    met = written(met.select("doc_id", "key", place.cast("int").alias("place"), "h").distinct())
     hits = written(met.join(sized(mine), "h").select("doc_id", "key", "place", "item_id", "kind", "length", "at", "values"))
 
     # Values of the windows with slots.

@@ -90,6 +90,42 @@ def test_jaccard_equals_brute_force(spark, rows, small_group):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_groups(rows)
 
 
+def test_jaccard_counts_tokens_over_all_tasks(spark, monkeypatch):
+    from tidemark.llm import jaccard
+
+    rng, members, written = random.Random(8), [], jaccard.written
+    line = prose(rng, 20)
+    rows = [(i, prose(rng, 40) + " " + line) for i in range(40)] + [(40, prose(rng, 3))]
+    rows += [(41 + i, rows[i][1] + " end") for i in range(3)]
+
+    def spied(df):
+        out = written(df)
+        members.extend([out.count()] if out.columns == ["token", "node", "part"] else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "written", spied)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(22, "doc_id").cache()
+    got = jaccard.similar_documents(docs).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_groups(rows)
+    assert members == [0]  # the line is in all texts, though in few of any task: no text is compared for its sake
+
+
+def test_jaccard_token_counts():
+    import pandas as pd
+
+    from tidemark.llm import jaccard
+
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 1 << 32, 40, dtype=np.uint32)
+    blocks = [np.concatenate([rng.integers(0, 1 << 32, 2_000_000 if i == 3 else 50, dtype=np.uint32), common[: 2 * i], [0, (1 << 32) - 1]]).astype(np.uint32) for i in range(21)]
+    told = [(k, step, t) for b in blocks for of, step, tokens in [jaccard._sliced(b)] for k, t in zip(of.tolist(), tokens, strict=True)]
+    assert {step for _, step, _ in told} == {2, 4}
+    got = jaccard._counted(pd.DataFrame(told, columns=["slice", "step", "tokens"]))
+    tokens, seen = np.unique(np.concatenate(blocks), return_counts=True)
+    assert dict(zip(got["token"], got["seen"], strict=True)) == {int(t): int(n) for t, n in zip(tokens, seen, strict=True) if n > jaccard.FREQUENT}
+    assert len(got) == 26
+
+
 def test_components_of_chains_and_stars(spark):
     from tidemark.llm.common import components
 

@@ -2,9 +2,10 @@
 
 **Method.** Prefix filtering under several global token orders. Two sets of sizes ``m`` and ``n`` that reach the threshold share a token among
 the first ``n - ceil(0.75 n) + 1`` of each set, under whatever order all tokens are put in. Each order puts tokens seen in many
-documents last and shuffles the others by its own hash. Texts with equal sets form one class; only classes are compared.
+documents last, the most frequent ones at the very end, and shuffles the others by its own hash. Texts with equal sets form one class; only classes are compared.
 
-1. One pass writes each document's set size and 128-bit set fingerprint, and tokens frequent within a task.
+1. One pass writes each document's set size and 128-bit set fingerprint, and 32 bits of all tokens. These are dealt by value and counted over
+   all tasks, so a token is frequent by the number of its documents, however many others there are.
 2. One pass emits prefix tokens of each order as packed blocks, dealt by token, a class once per task.
 3. Each bucket is sorted by token. Groups of up to ``small_group`` classes give pairs. Larger groups are named by their smallest
    class, groups of one name are joined, and each gives one row per member. A pair found under the first order stays only if every other order has it as well, or may have it in a large group.
@@ -35,8 +36,10 @@ from tidemark.operators.scratch import written
 
 #: 100 * |A and B| >= PERCENT * |A or B|
 PERCENT = 75
-#: Tokens that a task has seen in so many documents are taken to be frequent; the list is cut to the most frequent ones.
-FREQUENT, FREQUENT_KEPT = 4, 200_000
+#: Tokens of more classes than this are frequent (a class counts once per task); of more than so many, only the most frequent ones are told to the tasks.
+FREQUENT, FREQUENT_KEPT = 8, 200_000
+#: Tokens that a task holds before it writes them; runs that they are cut into, by their first bits.
+HELD, SLICE_BITS = 1 << 21, 12
 #: Prefix tokens of one order that a bucket holds, about.
 BUCKET_BYTES = 6 << 20
 _SEEDS = np.random.default_rng(9).integers(1, 1 << 63, 16, dtype=np.uint64)
@@ -69,7 +72,7 @@ def _texts(docs: DataFrame, *columns: str) -> DataFrame:
 # -- 1 and 2: signatures and prefixes ----------------------------------------------------------------------------
 
 SKETCH = 8  # longs
-SIGNATURE = "doc_id long, n long, f1 long, f2 long, token long, seen long, " + ", ".join(f"s{i} long" for i in range(SKETCH))
+SIGNATURE = "doc_id long, n long, f1 long, f2 long, slice int, step int, tokens binary, " + ", ".join(f"s{i} long" for i in range(SKETCH))
 
 
 def _sketch(s: np.ndarray) -> np.ndarray:
@@ -87,17 +90,43 @@ def _may_link(x: str, y: str) -> Column:
     return sizes & ((100 + PERCENT) * differ <= (100 - PERCENT) * (n + m))
 
 
+def _short(s: np.ndarray) -> np.ndarray:
+    """First half of each token, by which tokens are counted: others that share it add to the count, which costs time, never a link."""
+    return (s >> np.uint64(32)).astype(np.uint32)
+
+
+def _sliced(tokens: np.ndarray) -> tuple[np.ndarray, int, list[bytes]]:
+    """Slices of short tokens that have any, bytes of a step, steps of each slice: from its lower bound to its first token, then from token to token."""
+    tokens = np.sort(tokens)
+    of = tokens >> np.uint32(32 - SLICE_BITS)
+    start = np.flatnonzero(np.diff(of, prepend=of[:1] + np.uint32(1)))
+    steps = np.diff(tokens, prepend=tokens[:1])
+    steps[start] = tokens[start] & np.uint32((1 << (32 - SLICE_BITS)) - 1)
+    steps = steps.astype(np.uint16) if steps.max() < 1 << 16 else steps
+    return of[start].astype(np.int32), steps.itemsize, [part.tobytes() for part in np.split(steps, start[1:])]
+
+
+def _counted(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Frequent ones of the short tokens of some slices, with the number of times each was written."""
+    steps = {2: np.uint16, 4: np.uint32}
+    rows = zip(pdf["slice"], pdf["step"], pdf["tokens"], strict=True)
+    tokens = [np.cumsum(np.frombuffer(t, steps[w]), dtype=np.uint32) + np.uint32(k << (32 - SLICE_BITS)) for k, w, t in rows]
+    tokens, seen = np.unique(np.concatenate(tokens), return_counts=True)
+    often = seen > FREQUENT
+    return pd.DataFrame({"token": tokens[often].astype(np.int64), "seen": seen[often]})
+
+
 def _signatures(width: int):
+    names = ["doc_id", "n", "f1", "f2", "slice", "step", "tokens", *(f"s{i}" for i in range(SKETCH))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, known = [], 0, set()
 
-        def frequent():
-            tokens, seen = np.unique(np.concatenate(held), return_counts=True)
-            tokens, seen = tokens[seen >= FREQUENT], seen[seen >= FREQUENT]
-            none = pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(tokens)), pa.array(seen), *[none] * SKETCH], names=names)
+        def told():
+            of, step, tokens = _sliced(np.concatenate(held))
+            none, steps = pa.nulls(len(of), pa.int64()), pa.array(np.full(len(of), step, np.int32))
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(of), steps, pa.array(tokens, pa.binary()), *[none] * SKETCH], names=names)
 
-        names = ["doc_id", "n", "f1", "f2", "token", "seen", *(f"s{i}" for i in range(SKETCH))]
         for batch in batches:
             n, marks, sketches = [], [], []
             for s in shingle_sets(batch.column("text"), width):
@@ -106,32 +135,54 @@ def _signatures(width: int):
                 sketches.append(_sketch(s))
                 if len(s) and marks[-1] not in known:
                     known.add(marks[-1])
-                    held.append(s)
+                    held.append(_short(s))
                     size += len(s)
-                if size > 1 << 20:
-                    yield frequent()
+                if size > HELD:
+                    yield told()
                     held, size = [], 0
                     give_back()
-            none = pa.nulls(len(n), pa.int64())
+            none = [pa.nulls(len(n), t) for t in (pa.int32(), pa.int32(), pa.binary())]
             one, two = (pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1))
             bits = [pa.array(b) for b in np.array(sketches, np.int64).reshape(-1, SKETCH).T]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), one, two, none, none, *bits], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), one, two, *none, *bits], names=names)
         if held:
-            yield frequent()
+            yield told()
 
     return run
 
 
-def signatures(docs: DataFrame, width: int = 5) -> tuple[DataFrame, np.ndarray]:
-    """Set size and fingerprint of every row; tokens taken to be frequent."""
+def signatures(docs: DataFrame, width: int = 5) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """Set size and fingerprint of every row; frequent short tokens, sorted, with their level (higher: more classes)."""
     rows = _texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     out = written(rows.mapInArrow(_signatures(width), SIGNATURE))
-    often = out.filter("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
-    often = often.orderBy(F.desc("seen"), "token").limit(FREQUENT_KEPT).select("token").toPandas()["token"]
-    return out.filter("n IS NOT NULL").drop("token", "seen"), np.sort(often.to_numpy(np.int64).view(np.uint64))
+    total = out.agg(F.sum("n")).first()[0] or 0
+    parts = min(1 << SLICE_BITS, max(64, total * 4 // (2 * BUCKET_BYTES)))
+    told = out.filter("n IS NULL").select("slice", "step", "tokens", F.shiftright(F.col("slice") * parts, SLICE_BITS).alias("part"))
+    often = told.groupBy("part").applyInPandas(_counted, "token long, seen long")
+    often = written(often.withColumn("level", F.floor(4 * F.log2("seen")).cast("int")))
+    least, many = 256, 0
+    for level, rows in often.groupBy("level").count().orderBy(F.desc("level")).collect():
+        many += rows
+        if many > FREQUENT_KEPT:
+            break
+        least = level
+    often = often.filter(F.col("level") >= least).select("token", "level").toPandas().sort_values("token")
+    often = often["token"].to_numpy(np.uint32), often["level"].to_numpy(np.uint8)
+    return out.filter("n IS NOT NULL").drop("slice", "step", "tokens"), often
+
+
+def _late(s: np.ndarray, often: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Level of each token in the first byte, 0 if it is not frequent."""
+    late = np.zeros(len(s), np.uint64)
+    if len(often):
+        short = _short(s)
+        at = np.minimum(np.searchsorted(often, short), len(often) - 1)
+        hit = often[at] == short
+        late[hit] = level[at[hit]].astype(np.uint64) << np.uint64(56)
+    return late
 
 
-def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
+def _prefixes(width: int, orders: int, buckets: int, often: tuple[np.ndarray, np.ndarray]):
     """Rows of (part, entries, classes): entries are ``token << 16 | number of the class in classes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,11 +217,10 @@ def _prefixes(width: int, orders: int, buckets: int, often: np.ndarray):
                     continue
                 known.add(mark)
                 p = _prefix_length(len(s))
-                at = np.minimum(np.searchsorted(often, s), max(0, len(often) - 1))
-                late = (often[at] == s if len(often) else np.zeros(len(s), bool)).astype(np.uint64) << np.uint64(63)
+                late = _late(s, *often)
                 for k in range(orders):
                     key = mixed(s ^ _SEEDS[k])
-                    first = np.argpartition((key >> np.uint64(1)) | late, p - 1)[:p] if p < len(s) else slice(None)
+                    first = np.argpartition((key >> np.uint64(8)) | late, p - 1)[:p] if p < len(s) else slice(None)
                     entries[k].append(((key[first] & _TOKEN_BITS) << np.uint64(16)) | np.uint64(len(table)))
                 table.append(mark[0])
                 size += p

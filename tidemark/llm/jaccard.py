@@ -108,6 +108,7 @@ def _sliced(tokens: np.ndarray) -> tuple[np.ndarray, int, list[bytes]]:
 
 def _counted(pdf: pd.DataFrame) -> pd.DataFrame:
     """Frequent ones of the short tokens of some slices, with the number of times each was written."""
+    give_back()  # what the slices before took
     steps = {2: np.uint16, 4: np.uint32}
     rows = zip(pdf["slice"], pdf["step"], pdf["tokens"], strict=True)
     tokens = [np.cumsum(np.frombuffer(t, steps[w]), dtype=np.uint32) + np.uint32(k << (32 - SLICE_BITS)) for k, w, t in rows]
@@ -147,6 +148,8 @@ def _signatures(width: int):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), one, two, *none, *bits], names=names)
         if held:
             yield told()
+        held, known = [], set()
+        give_back()
 
     return run
 
@@ -230,6 +233,8 @@ def _prefixes(width: int, orders: int, buckets: int, often: tuple[np.ndarray, np
                     give_back()
         if table:
             yield flushed()
+        table, entries, known = [], [], set()
+        give_back()
 
     return run
 
@@ -241,6 +246,7 @@ FOUND = "order int, a long, b long, head long, tokens long"
 
 def _found(buckets: int, small_group: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the bucket before took
         order = int(key[0]) // buckets
         entries, docs, base = [], [], 0
         for blob, table in zip(pdf["entries"], pdf["classes"], strict=True):
@@ -304,6 +310,8 @@ def _verified(width: int):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        recent.clear()
+        give_back()
 
     return run
 
@@ -450,5 +458,6 @@ def _matching(width: int, what: str):
                     wide.append(_wide_sketch(s))
             more = {"text": batch.column("text")} if what == "text" else {"n": pa.array(n, pa.int64()), "wide": pa.array(wide, pa.binary())}
             yield pa.RecordBatch.from_arrays([batch.column("node"), *more.values()], names=["node", *more]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return run

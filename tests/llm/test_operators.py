@@ -459,3 +459,35 @@ def test_pipeline_decides_by_row(spark):
     rows = [(None, a + " " + item), (None, a), (5, c), (5, item), (6, None)]
     out = collections.Counter((r.doc_id, r.text) for r in p.decontaminate(spark, df(rows), "/root/testdata/sf0.001").collect())
     assert out == collections.Counter([(None, a), (5, c), (6, None)])
+
+
+def test_stages_keep_no_more_scratch_than_their_results_read(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as p
+    from tidemark.operators import scratch
+
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: str(tmp_path))
+    rng = random.Random(7)
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first().text
+    texts = [prose(rng, 60) for _ in range(8)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*texts, texts[0], texts[1] + " end", texts[2] + " " + item])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    tables = lambda: {d for d in tmp_path.rglob("tidemark-*") if any(d.glob("*.parquet"))}
+    stages, want, most = dict(p.STAGES), [set(range(8)) | {10}, set(range(10))], {"ngram_jaccard": 2, "decontaminate": 1, "mix_sources": 0}
+    for name, most_tables in most.items():
+        before = tables()
+        out = stages[name](spark, docs, "/root/testdata/sf0.001")
+        assert len(tables() - before) <= most_tables, name
+        kept = {r.doc_id for r in out.collect()}
+        assert name == "mix_sources" or kept == want.pop(0)
+
+
+def test_whole_pipeline_keeps_its_last_table_alone(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as p
+    from tidemark.operators import scratch
+
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(p, "STAGES", [(n, s) for n, s in p.STAGES if n != "language_id"])
+    out = p.run(spark, "/root/testdata/sf0.001")
+    assert len([d for d in tmp_path.rglob("tidemark-*") if any(d.glob("*.parquet"))]) == 1
+    rows = sorted(out.collect(), key=lambda r: r.start)
+    assert [r.start for r in rows] == [0, *itertools.accumulate(r.n_tokens for r in rows)][:-1] and len(rows) > 100

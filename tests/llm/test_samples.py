@@ -1,5 +1,6 @@
 """What is taken to the driver to fit a model is bounded by rows and characters, whatever ids say."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -35,6 +36,24 @@ def test_one_id_on_many_rows_does_not_fill_the_driver(spark, monkeypatch):
     assert len(sizes) == 2 and max(sizes) <= 200
 
 
+def test_many_short_texts_do_not_fill_the_driver():
+    import random
+    import tracemalloc
+
+    from tidemark.llm import mixing
+
+    rng = random.Random(3)
+    words = ["w%d" % i for i in range(500)]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(2000)] + ["", " ", "one"]
+    mixing.fit_classifier(texts[:3], [0, 1, 2], rounds=1)  # tables that are made once
+    tracemalloc.start()
+    model = mixing.fit_classifier(texts, [i % 3 for i in range(len(texts))], rounds=2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * 4 * len(texts) * mixing.HASHED
+    assert model.words.shape == (mixing.HASHED, len(mixing.DOMAINS)) and np.isfinite(model.words).all() and np.abs(model.words).sum() > 0
+
+
 def test_labels_are_joined_alike_with_and_without_a_broadcast(spark, monkeypatch):
     from tidemark.llm import common
 

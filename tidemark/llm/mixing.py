@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blank_if_null, bounded_batches, bounded_sample, buffers, labelled, pieces, word_hashes
+from tidemark.llm.common import blank_if_null, bounded_batches, bounded_sample, buffers, give_back, labelled, pieces, word_hashes
 from tidemark.operators.scratch import written
 
 DOMAINS = ("good", "poor", "toxic")
@@ -70,12 +70,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit_classifier(texts: list[str], domains: list[int], rounds: int = 150) -> Mixture:
-    bags, dense = [], []
-    for words, doc, n, d in _features(pa.array([t + " " for t in texts], pa.string())):
-        bag = np.bincount(doc * HASHED + words, minlength=len(n) * HASHED).reshape(len(n), HASHED)
-        bags.append((bag / np.sqrt(np.maximum(n, 1))[:, None]).astype(np.float32))
-        dense.append(d)
-    x = np.concatenate([np.concatenate(bags), np.concatenate(dense)], axis=1)
+    x, row = np.zeros((len(texts), HASHED + _DENSE), np.float32), 0  # the only large array of the driver
+    for at in range(0, len(texts), 256):
+        for words, doc, n, dense in _features(pa.array([t + " " for t in texts[at : at + 256]], pa.string())):
+            cell, times = np.unique(doc * HASHED + words, return_counts=True)
+            doc, word = cell // HASHED, cell % HASHED
+            x[row + doc, word] = times / np.sqrt(n)[doc]
+            x[row : row + len(n), HASHED:] = dense
+            row += len(n)
     y = np.eye(len(DOMAINS), dtype=np.float32)[domains]
     w, shift = np.zeros((x.shape[1], len(DOMAINS)), np.float32), np.zeros(len(DOMAINS), np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -117,6 +119,7 @@ def _posterior(model: Mixture) -> Column:
             z = z / np.sqrt(np.maximum(n, 1))[:, None] + dense @ model.dense + model.shift
             sizes.append(n)
             probabilities.append(_softmax(z))
+        give_back()
         p = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(probabilities).reshape(-1)), len(DOMAINS)).cast(pa.list_(pa.float64()))
         return pa.StructArray.from_arrays([pa.array(np.concatenate(sizes)), p], names=["n", "p"])
 

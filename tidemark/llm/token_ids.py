@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import blank_if_null, bounded_batches, sized, spread
+from tidemark.llm.common import blank_if_null, bounded_batches, give_back, sized, spread
 from tidemark.operators.scratch import scratch_path
 
 BLOCKS = "doc_ids array<long>, offsets array<int>, shard int, block int, bits int, first long, n_ids long, payload binary"
@@ -135,6 +135,7 @@ class Encoder:
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > WORDS_KEPT:
             self._forget()
+            give_back()
         out: list = [None] * len(texts)
         for i, text in enumerate(texts):
             if not self.by_words or not _latin(text) or any(s in text for s in self.special):
@@ -198,8 +199,12 @@ def _blocks(tokenizer: str, end_id: int):
                         yield closed()
                         written_ids += held
                         docs, ids, held, block = [], [], 0, block + 1
+                        if block % 8 == 0:
+                            give_back()
         if docs:
             yield closed()
+        docs, ids = [], []
+        give_back()
 
     return run
 
@@ -237,7 +242,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):  # a block at a time
                 offsets = row["offsets"]
                 ids = unpack(row["payload"], row["bits"], 0, offsets[-1])
                 ends = zip(offsets[:-1], offsets[1:], strict=True)

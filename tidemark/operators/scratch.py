@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -60,6 +61,15 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` returns, written; scratch tables that were written on the way to it are removed."""
+    path = scratch_path(spark)
+    with scratch_scope(spark):
+        table = make()
+        table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write once, read back: every later use sees the same rows without recomputing them."""
     spark = df.sparkSession

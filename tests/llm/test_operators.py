@@ -341,6 +341,19 @@ def test_decontamination_windows_are_told_apart_by_their_tokens(spark):
     assert len(set(told.values())) == len(told)
 
 
+def test_decontamination_windows_are_made_once_as_a_column(spark, monkeypatch):
+    """The generator reads them: windows made inside it would take every probing row out of compiled code, and a filter would make them again."""
+    from tidemark.llm import decontaminate
+
+    plans, write = [], decontaminate.written
+    monkeypatch.setattr(decontaminate, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    texts = ["so one two three four five six seven eight nine", None, "", "one two", "two three", "one, two three"]
+    assert leaked(spark, ["one two three four five six seven eight nine", "two three"], texts).keys() == {0, 4, 5}
+    probe = next(p for p in plans if "LeftSemi" in p and "posexplode" in p).splitlines()
+    asked = [line for line in probe if re.match(r"[ :+*()\d-]*(Generate posexplode|Filter)", line)]
+    assert any("Generate" in line for line in asked) and not any("transform(" in line for line in asked)
+
+
 def test_decontamination_by_occurrence(spark):
     item = "a boat takes 10 km of water to reach Alpha in 3 days and then 25 km more to Bruno where 40 people wait for 12 boats that carry 7 goods from Carla to Delta"
     change = lambda *v: re.sub(r"\d+", lambda m, it=iter(v): str(next(it)), item)

@@ -92,12 +92,29 @@ def _joined(half: str, apart: int, mark: int | None) -> Column:
     return F.transform(F.col(half), lambda x, i: F.xxhash64(x, F.get(F.col(half), i + apart), *more))
 
 
-def windows(codes: str, width: int, kind: int) -> Column:
-    """Hashes of all runs of ``width`` tokens by place: those of the two runs, of a power of two, that begin and end them (and may overlap)."""
+def _begun(codes: str, width: int, kind: int) -> Column:
+    """Like ``windows``, with a hash for every place: the last ones, where no whole window begins, are of fewer runs and equal no window's."""
     mark, half = width << 1 | kind, 1 << max(0, (width - 1).bit_length() - 1)
     column = codes if half == 1 else f"{codes}_{half}"
-    every = _joined(column, width - half, mark) if width > 1 else F.transform(codes, lambda x: F.xxhash64(x, F.lit(mark)))
-    return F.slice(every, F.lit(1), F.greatest(F.size(codes) - (width - 1), F.lit(0)))
+    return _joined(column, width - half, mark) if width > 1 else F.transform(codes, lambda x: F.xxhash64(x, F.lit(mark)))
+
+
+def windows(codes: str, width: int, kind: int) -> Column:
+    """Hashes of all runs of ``width`` tokens by place: those of the two runs, of a power of two, that begin and end them (and may overlap)."""
+    return F.slice(_begun(codes, width, kind), F.lit(1), F.greatest(F.size(codes) - (width - 1), F.lit(0)))
+
+
+def _probes(keyed: DataFrame, made: list[tuple[int, int]], width: int) -> DataFrame:
+    """``doc_id, key, n_tokens, n_words, pos, h``: for every kind and width of ``made``, one after the other, a hash for each token of the text.
+
+    A text without windows has one row, with null as hash: the outer generator reads windows from a column as they are. Of the inner one Spark would
+    derive a filter that makes all windows once more; and of windows made inside the generator each row would leave compiled code.
+    """
+    rows = keyed.withColumn("tokens", hashed(template(F.col("_text")))).withColumn("words", hashed(words(F.col("_text")))).drop("_text")
+    rows = _runs(_runs(rows, "tokens", width), "words", width)
+    every = F.flatten(F.array(*(_begun("words" if kind == WORDS else "tokens", n, kind) for kind, n in made)))
+    rows = rows.select("doc_id", "key", F.size("tokens").alias("n_tokens"), F.size("words").alias("n_words"), every.alias("every"))
+    return rows.select("doc_id", "key", "n_tokens", "n_words", F.posexplode_outer("every").alias("pos", "h"))
 
 
 def _is_slot(token: Column) -> Column:
@@ -162,17 +179,13 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, evidence: in
 
     # A row is known by its id and text: rows equal in both have equal results.
     keyed = docs.select("doc_id", F.col("text").alias("_text")).withColumn("key", F.xxhash64("doc_id", "_text"))
-    probe = keyed.withColumn("tokens", hashed(template(F.col("_text")))).withColumn("words", hashed(words(F.col("_text")))).drop("_text")
-    probe = _runs(_runs(probe, "tokens", width), "words", width)
     made = [(TEMPLATE, width), (WORDS, width), *short]
-    every = F.flatten(F.array(*(windows("words" if kind == WORDS else "tokens", n, kind) for kind, n in made)))
-    # Made inside the generator: of a column, Spark would derive a filter that makes all windows once more.
-    probe = probe.select("doc_id", "key", F.size("tokens").alias("n_tokens"), F.size("words").alias("n_words"), F.posexplode(every).alias("pos", "h"))
+    probe = _probes(keyed, made, width)
     hashes = mine.select("h").distinct()
     met = probe.join(sized(hashes), "h", "left_semi")
     place, end = F.col("pos"), F.lit(0)  # windows of several kinds and widths follow each other: places count from where the own ones begin
-    for kind, n in made[:-1]:
-        end = end + F.greatest(F.col("n_words" if kind == WORDS else "n_tokens") - (n - 1), F.lit(0))
+    for kind, _ in made[:-1]:
+        end = end + F.col("n_words" if kind == WORDS else "n_tokens")
         place = F.when(F.col("pos") >= end, F.col("pos") - end).otherwise(place)
     met = written(met.select("doc_id", "key", place.cast("int").alias("place"), "h").distinct())
     hits = written(met.join(sized(mine), "h").select("doc_id", "key", "place", "item_id", "kind", "length", "at", "values"))

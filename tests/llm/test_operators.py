@@ -395,6 +395,20 @@ def test_mixing_meets_targets(spark, rows):
     assert all(r.copies in (int(np.floor(r.rate)), int(np.floor(r.rate)) + 1) for r in got) and len(got) == len(docs)
 
 
+def test_mixing_runs_its_classifier_once(spark, rows, monkeypatch):
+    """A task that runs it twice keeps twice the workers, which stay for the stages after."""
+    import corpus_pipeline as p
+    from tidemark.llm import mixing
+
+    plans, write = [], mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    docs = spark.createDataFrame([(*r[:2], "en", r[2], 1) for r in rows[:60]] + [(-1, None, "en", "s", 1), (-2, "", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = p.mix_sources(spark, docs, "/root/testdata/sf0.001")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert [t.count("ArrowEvalPython") for t in plans if "ArrowEvalPython" in t] == [1, 1]
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
+
+
 def test_empty_tables(spark):
     from tidemark.llm import language, mixing, queries, toxicity
     from tidemark.llm.decontaminate import contaminated

@@ -139,7 +139,8 @@ def _rate(p: Column, steps: list[list[float]]) -> Column:
 def fit_rates(docs: DataFrame, model: Mixture, targets: dict[str, float] = TARGETS, rounds: int = 30, close: float = 1e-9) -> Mixture:
     """Steps whose rates bring expected totals to ``targets`` (shares, which need not add up to 1)."""
     bounded_batches(docs.sparkSession)
-    table = written(docs.select(_posterior(model).alias("x")).select("x.n", "x.p").filter("n > 0"))
+    # Filtered when read: of a filter before that, Spark would run the classifier a second time, in further workers.
+    table = written(docs.select(_posterior(model).alias("x")).select("x.n", "x.p")).filter("n > 0")
     share = np.array([targets[d] for d in DOMAINS], float)
     share /= share.sum()
     p, n, k = F.col("p"), F.col("n"), range(len(DOMAINS))
